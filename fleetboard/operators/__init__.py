@@ -26,6 +26,7 @@ from fleetboard.operators.serving import (
     flag_trip_stops,
     roster,
     route_shapes,
+    routes_in_use,
     trip_stop_lists,
     vehicle_route,
 )
@@ -50,6 +51,7 @@ __all__ = [
     "pack",
     "roster",
     "route_shapes",
+    "routes_in_use",
     "stop_board_groups",
     "stop_board_latest",
     "stop_entries",

@@ -87,16 +87,23 @@ def route_shapes(shapes: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
     return path.withColumn("feature", F.to_json(feature))
 
 
-def vehicle_route(vehicles: DataFrame, shapes: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Route path of each vehicle on a board; NULL where the shape is unknown.
+def routes_in_use(
+    vehicles: DataFrame, shapes: DataFrame, *, page_rows: int = PAGE_ROWS
+) -> DataFrame:
+    """``route_shapes`` of the shapes that vehicles on a board follow, each once."""
+    used = vehicles.select(F.col("shapeId").try_cast("double").alias("_shape"))
+    keyed = shapes.withColumn("_shape", F.col("shape_id").try_cast("double"))
+    points = keyed.join(used.distinct(), "_shape", "left_semi").drop("_shape")
+    return route_shapes(points, page_rows=page_rows)
 
-    Only the points of shapes in use are collected.
-    """
-    wanted = vehicles.select("id", F.col("shapeId").try_cast("double").alias("shape"))
-    keyed = shapes.withColumn("shape", F.col("shape_id").try_cast("double"))
-    used = keyed.join(wanted.select("shape").distinct(), "shape", "left_semi")
-    paths = route_shapes(used.select(*shapes.columns), page_rows=page_rows)
-    return wanted.join(paths, "shape", "left").select("id", "shape", "page", "slice", "path", "feature")
+
+def vehicle_route(
+    vehicles: DataFrame, shapes: DataFrame, vehicle_id: str, *, page_rows: int = PAGE_ROWS
+) -> DataFrame:
+    """Route path of the selected vehicle; no row when its shape is unknown."""
+    selected = vehicles.where(F.col("id") == vehicle_id)
+    routes = routes_in_use(selected, shapes, page_rows=page_rows)
+    return routes.select(F.lit(vehicle_id).alias("id"), *routes.columns)
 
 
 def flag_trip_stops(

@@ -14,6 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetboard import schemas as S
 from fleetboard.functions.timefn import epoch_seconds
 
 
@@ -65,26 +66,46 @@ def positions(events: DataFrame) -> DataFrame:
     )
 
 
-def _stop_entry(i: Column, count: Column, feed: Column) -> Column:
+def _stop_lists(rows: DataFrame) -> DataFrame:
+    """Add ``stopTimeUpdate``, ``n`` entries long, from columns of the row.
+
+    Sequences are zipped rather than mapped, so that the lists are built in
+    generated code.
+    """
+    n = F.col("n").cast("int")
     nothing = F.lit(None).cast("string")
-    start = feed - (F.col("l_suppkey") % 7) * 400
-    at = start + i * (F.lit(60) + F.col("l_quantity").cast("bigint"))
-    delay = F.when(
-        (F.col("l_linenumber") + i) % 3 != 0, (F.col("l_partkey") + i * 7) % 121 - 60
-    )
-    call = F.struct(
-        delay.cast("string").alias("delay"),
-        at.cast("string").alias("time"),
-        nothing.alias("uncertainty"),
+
+    def steps(first: Column, step: Column) -> Column:
+        # One more than needed, as a sequence cannot be empty.
+        return F.sequence(first, first + step * F.col("n"), step).cast("array<string>")
+
+    start = F.col("feed") - (F.col("l_suppkey") % 7) * 400
+    delays = steps(F.col("l_partkey") % 121 - 60, F.lit(7).cast("bigint"))
+    rows = rows.withColumns(
+        {
+            "time": steps(start, F.lit(60) + F.col("l_quantity").cast("bigint")),
+            "delay": F.when(F.col("l_linenumber") % 3 == 0, F.array_repeat(nothing, n))
+            .when(F.col("l_partkey") % 5 == 0, F.concat(F.array(nothing), F.slice(delays, 2, n)))
+            .otherwise(delays),
+            "uncertainty": F.array(nothing),
+        }
     )
-    arrival_only = (F.col("l_returnflag") == "R") & (i == count - 1)
-    return F.struct(
-        (i + 1).cast("string").alias("stopSequence"),
-        F.when(~arrival_only, call).alias("departure"),
-        F.when(arrival_only, call).alias("arrival"),
-        (F.col("l_suppkey") + i * 3).cast("string").alias("stopId"),
-        nothing.alias("scheduleRelationship"),
+    rows = rows.withColumn("call", F.arrays_zip("delay", "time", "uncertainty"))
+    ends = (F.col("l_returnflag") == "R") & (n > 0)
+    no_call = F.array(F.lit(None).cast(S.CALL_TIME))
+    rows = rows.withColumns(
+        {
+            "stopSequence": steps(F.lit(1).cast("bigint"), F.lit(1).cast("bigint")),
+            "departure": F.when(ends, F.slice("call", 1, n - 1)).otherwise(F.col("call")),
+            "arrival": F.when(
+                ends, F.concat(F.array_repeat(F.lit(None).cast(S.CALL_TIME), n - 1), F.slice("call", n, 1))
+            ).otherwise(no_call),
+            "stopId": steps(F.col("l_suppkey"), F.lit(3).cast("bigint")),
+            "scheduleRelationship": F.array(nothing),
+        }
     )
+    entries = F.arrays_zip(*[F.col(name) for name in S.STOP_TIME_UPDATE.names])
+    return rows.withColumn("stopTimeUpdate", F.slice(entries, 1, n))
 
 
 def trip_updates(lineitem: DataFrame) -> DataFrame:
@@ -95,27 +116,24 @@ def trip_updates(lineitem: DataFrame) -> DataFrame:
         + F.col("l_linenumber").cast("bigint") * 3600
         + F.col("l_partkey") % 3600
     )
-    count = F.col("l_partkey") % 23
-    numbers = F.slice(F.sequence(F.lit(0).cast("bigint"), count), 1, count.cast("int"))
-    stops = F.transform(numbers, lambda i: _stop_entry(i, count, feed))
+    rows = _stop_lists(lineitem.withColumns({"feed": feed, "n": F.col("l_partkey") % 23}))
     trip_id = F.col("l_orderkey").cast("string")
     minute = F.lpad((F.col("l_partkey") % 60).cast("string"), 2, "0")
     trip = F.struct(
         trip_id.alias("tripId"),
-        F.concat(F.lit("0"), F.col("l_linenumber").cast("string"), F.lit(":"), minute, F.lit(":00")).alias("startTime"),
+        F.concat(
+            F.lit("0"), F.col("l_linenumber").cast("string"), F.lit(":"), minute, F.lit(":00")
+        ).alias("startTime"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("startDate"),
         nothing.alias("routeId"),
         nothing.alias("scheduleRelationship"),
         nothing.alias("directionId"),
     )
     vehicle = F.struct(nothing.alias("id"), nothing.alias("label"))
-    return lineitem.select(
+    return rows.select(
         trip_id.alias("id"),
         F.struct(
-            trip.alias("trip"),
-            stops.alias("stopTimeUpdate"),
-            vehicle.alias("vehicle"),
-            feed.alias("timestamp"),
+            trip.alias("trip"), "stopTimeUpdate", vehicle.alias("vehicle"), F.col("feed").alias("timestamp")
         ).alias("tripUpdate"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("seq"),
     )

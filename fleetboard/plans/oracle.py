@@ -5,7 +5,7 @@ The leading CTEs rebuild the transit-shaped views of ``feeds.py``.
 
 from __future__ import annotations
 
-from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW
+from fleetboard.plans.queries import POS_HORIZON, POS_NOW, SELECTED, TRIP_HORIZON, TRIP_NOW
 
 
 def _local(seconds: str, zone: str = "America/Chicago") -> str:
@@ -34,7 +34,8 @@ stu AS (
   SELECT id, ts_sec, seq, i + 1 AS idx, CAST(l_suppkey + i * 3 AS VARCHAR) AS stop_id,
          l_returnflag = 'R' AND i = n - 1 AS arrival_only,
          ts_sec - (l_suppkey % 7) * 400 + i * (60 + qty) AS t,
-         CASE WHEN (l_linenumber + i) % 3 <> 0 THEN (l_partkey + i * 7) % 121 - 60 END AS d
+         CASE WHEN l_linenumber % 3 <> 0 AND NOT (l_partkey % 5 = 0 AND i = 0)
+              THEN l_partkey % 121 - 60 + i * 7 END AS d
   FROM (SELECT *, unnest(range(n)) AS i FROM upd)),
 trips AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS shape_id,
@@ -88,6 +89,12 @@ board AS (
   WHERE {POS_NOW} - p.ts_sec < {POS_HORIZON})"""
 
 
+PLACED = f"""
+placed AS (
+  SELECT p.id, p.trip_id, t.shape_id AS "shapeId" FROM lpos p LEFT JOIN trips t USING (trip_id)
+  WHERE {POS_NOW} - p.ts_sec < {POS_HORIZON})"""
+
+
 def _entries(source: str) -> str:
     return f"""
 entries AS (
@@ -265,17 +272,28 @@ FROM lpos WHERE {POS_NOW} - ts_sec <= {POS_HORIZON - 1}""",
 FROM (SELECT trip_id, stop_sequence, stop_id, count(*) AS n FROM calls GROUP BY ALL) GROUP BY trip_id""",
         VIEWS,
     ),
-    "route_shapes": _sql(f"SELECT shape, {_PATH} FROM points GROUP BY shape", VIEWS),
+    "route_shapes": _sql(
+        f"""SELECT shape, {_PATH},
+       '{{"type":"Feature","properties":{{}},"geometry":{{"type":"LineString","coordinates":[' ||
+       string_agg('[' || lon || '.0,' || lat || '.0]', ',' ORDER BY pt) || ']}}}}' AS feature
+FROM points GROUP BY shape""",
+        VIEWS,
+    ),
+    "routes_in_use": _sql(
+        f"""SELECT shape, {_PATH} FROM points
+WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed) GROUP BY shape""",
+        VIEWS, LATEST, PLACED,
+    ),
     "vehicle_route": _sql(
-        f"""SELECT b.id, CAST(b."shapeId" AS DOUBLE) AS shape, r.path
-FROM board b LEFT JOIN (SELECT shape, {_PATH} FROM points GROUP BY shape) r ON CAST(b."shapeId" AS DOUBLE) = r.shape""",
-        VIEWS, LATEST, NEXT, BOARD,
+        f"""SELECT '{SELECTED}' AS id, shape, {_PATH} FROM points
+WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed WHERE id = '{SELECTED}') GROUP BY shape""",
+        VIEWS, LATEST, PLACED,
     ),
     "flag_trip_stops": _sql(
-        """SELECT s.stop_id, s.stop_name, EXISTS (
-  SELECT 1 FROM calls c JOIN board b ON c.trip_id = b."tripId"
-  WHERE b.id = '3' AND c.stop_id = s.stop_id) AS "onTrip" FROM stops s""",
-        VIEWS, LATEST, NEXT, BOARD,
+        f"""SELECT s.stop_id, s.stop_name, EXISTS (
+  SELECT 1 FROM calls c JOIN placed p ON c.trip_id = p.trip_id
+  WHERE p.id = '{SELECTED}' AND c.stop_id = s.stop_id) AS "onTrip" FROM stops s""",
+        VIEWS, LATEST, PLACED,
     ),
     "stream_trip_join": _sql(
         """SELECT p.id, p.trip_id AS "tripId", p.ts_sec AS "updateSec", n.ts_sec AS "feedSec",

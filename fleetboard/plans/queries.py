@@ -27,6 +27,9 @@ POS_NOW, POS_HORIZON = 1706659200, 86400
 # "Now" and horizon of the trip queries (line items end 2001-11-04).
 TRIP_NOW, TRIP_HORIZON = 1004918400, 400 * 86400
 
+# The vehicle a user has picked on the map.
+SELECTED = "2"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -394,7 +397,7 @@ def trip_stop_lists(spark: SparkSession, d: str) -> DataFrame:
 @query
 def route_shapes(spark: SparkSession, d: str) -> DataFrame:
     return O.route_shapes(V.shapes(spark, d)).select(
-        "shape", F.array_join(_points("path"), " ").alias("path")
+        "shape", F.array_join(_points("path"), " ").alias("path"), "feature"
     )
 
 
@@ -404,17 +407,28 @@ def _points(path: str) -> Column:
     )
 
 
+def _placed_vehicles(spark: SparkSession, d: str) -> DataFrame:
+    """Fresh vehicles with their route, without the next stop."""
+    state = O.vehicle_state(_fresh_positions(spark, d), as_of=POS_NOW, horizon_s=POS_HORIZON)
+    return O.join_trips(state, V.trip_lookup(spark, d), "tripId")
+
+
+@query
+def routes_in_use(spark: SparkSession, d: str) -> DataFrame:
+    routes = O.routes_in_use(_placed_vehicles(spark, d), V.shapes(spark, d))
+    return routes.select("shape", F.array_join(_points("path"), " ").alias("path"))
+
+
 @query
 def vehicle_route(spark: SparkSession, d: str) -> DataFrame:
-    routes = O.vehicle_route(_vehicle_board(spark, d), V.shapes(spark, d))
+    routes = O.vehicle_route(_placed_vehicles(spark, d), V.shapes(spark, d), SELECTED)
     return routes.select("id", "shape", F.array_join(_points("path"), " ").alias("path"))
 
 
 @query
 def flag_trip_stops(spark: SparkSession, d: str) -> DataFrame:
-    board = _vehicle_board(spark, d)
     stops = V.stop_lookup(spark, d).select("stop_id", "stop_name")
-    return O.flag_trip_stops(stops, V.stop_times(spark, d), board, "3")
+    return O.flag_trip_stops(stops, V.stop_times(spark, d), _placed_vehicles(spark, d), SELECTED)
 
 
 @query
@@ -527,7 +541,7 @@ def stream_trip_join(spark: SparkSession, d: str) -> DataFrame:
         own.conf.set(name, spark.conf.get(name))
     vehicles = B.slim_positions(V.positions(V.table_stream(own, d, "events")))
     trips = O.trip_state(V.trip_updates(V.table_stream(own, d, "lineitem")))
-    joined = join_trip_stream(vehicles, trips, vehicle_ttl_s=None)
+    joined = join_trip_stream(vehicles, trips, salts=2, vehicle_ttl_s=None)
     (
         joined.writeStream.outputMode("update")
         .foreachBatch(
