@@ -1,0 +1,33 @@
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import rows_of
+from fleetboard.plans.oracle import ORACLE
+from fleetboard.plans.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def db(sf_dir):
+    con = duckdb.connect()
+    for name in ("customer", "events", "lineitem", "orders", "supplier"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def test_every_query_has_its_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_its_sql(spark, db, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    want = db.sql(ORACLE[name])
+    assert sorted(df.columns) == sorted(want.columns)
+    rows = rows_of(df.columns, df.collect())
+    assert rows == rows_of(want.columns, want.fetchall())
+    assert rows
