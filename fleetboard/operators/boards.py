@@ -188,6 +188,7 @@ def stop_entries(
         calls = fresh(calls, "feedSec", horizon_s, as_of)
     if dedupe:
         calls = latest_by_key(calls, "tripId", _order(calls, "feedSec"))
+        calls = calls.where(F.size("calls") > 0)
     return entries_of_calls(calls, trip_lookup, zone=zone)
 
 
@@ -195,15 +196,18 @@ def entries_of_calls(
     calls: DataFrame, trip_lookup: DataFrame, *, zone: str = DEFAULT_ZONE
 ) -> DataFrame:
     """Board entries of (tripId, feedSec, calls) rows whose trip is known."""
-    known = join_trips(calls.where(F.size("calls") > 0), trip_lookup, "tripId", "inner")
-    return known.select(
+    known = join_trips(calls, trip_lookup, "tripId", "inner")
+    # The outer form with a filter on a field no call lacks: the plain one makes
+    # the optimizer compute the lists a second time, for a test of their size.
+    entries = known.select(
         F.col("tripId").alias("id"),
         "routeName",
         "tripHeadSign",
         F.col("feedSec").alias("updateSec"),
         local_time(F.col("feedSec"), zone).alias("updateTime"),
-        F.inline("calls"),
-    ).select(
+        F.inline_outer("calls"),
+    ).where(F.col("arrivalSec").isNotNull())
+    return entries.select(
         "stopId",
         "updateTime",
         "updateSec",

@@ -194,7 +194,8 @@ def trip_stop_entries(spark: SparkSession, d: str) -> DataFrame:
     call = F.col("col")
     return (
         _updates(spark, d)
-        .select("id", u["timestamp"].alias("feedSec"), "seq", F.posexplode(u["stopTimeUpdate"]))
+        .select("id", u["timestamp"].alias("feedSec"), "seq", F.posexplode_outer(u["stopTimeUpdate"]))
+        .where(F.col("pos").isNotNull())
         .select(
             "id",
             "feedSec",
