@@ -12,7 +12,14 @@ from fleetboard.operators.boards import (
     vehicle_board,
     vehicle_state,
 )
-from fleetboard.operators.joins import join_latest_trip, join_same, join_stops, join_trips
+from fleetboard.operators.joins import (
+    BROADCAST_ROWS,
+    join_latest_trip,
+    join_same,
+    join_stops,
+    join_trips,
+    matching,
+)
 from fleetboard.operators.latest import (
     compact,
     fresh,
@@ -32,6 +39,7 @@ from fleetboard.operators.serving import (
 )
 
 __all__ = [
+    "BROADCAST_ROWS",
     "PAGE_ROWS",
     "board_of_states",
     "calls_of",
@@ -48,6 +56,7 @@ __all__ = [
     "latest_by_key",
     "latest_trip_state",
     "live_vehicles",
+    "matching",
     "pack",
     "roster",
     "route_shapes",

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from fleetboard.functions.timefn import DEFAULT_ZONE, epoch_of, iso_date, local_time
 from fleetboard.functions.transit import SENTINEL, is_upcoming, next_stop
-from fleetboard.operators.joins import join_latest_trip, join_same, join_stops, join_trips
+from fleetboard.operators.joins import (
+    BROADCAST_ROWS,
+    join_latest_trip,
+    join_same,
+    join_stops,
+    join_trips,
+    matching,
+)
 from fleetboard.operators.latest import fresh, latest_by_key
 from fleetboard.operators.paging import PAGE_ROWS, pack
 
@@ -144,15 +151,22 @@ def vehicle_board(
     zone: str = DEFAULT_ZONE,
     ingested_at: int | Column | None = None,
     sentinel: str | None = SENTINEL,
+    broadcast_rows: int = BROADCAST_ROWS,
     **next_stop_options,
 ) -> DataFrame:
     """One row per fresh vehicle with its route and next stop.
 
-    ``vehicles`` and ``trips`` are parsed events; keyed by ``id``.
+    ``vehicles`` and ``trips`` are parsed events; keyed by ``id``. The fresh
+    vehicles are counted when the board is built: if few, only the updates of
+    their trips are read further, out of a history of any size.
     """
+    state = vehicle_state(vehicles, as_of=as_of, horizon_s=horizon_s)
+    followed = matching(trips, "id", state.select("tripId"), broadcast_rows)
     return board_of_states(
-        vehicle_state(vehicles, as_of=as_of, horizon_s=horizon_s),
-        latest_trip_state(trips, sentinel=sentinel, **next_stop_options),
+        state,
+        latest_trip_state(
+            trips if followed is None else followed, sentinel=sentinel, **next_stop_options
+        ),
         trip_lookup,
         stop_lookup,
         zone=zone,

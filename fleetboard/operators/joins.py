@@ -1,10 +1,10 @@
 """Enrichment joins.
 
-No side carries a broadcast hint: a lookup is broadcast when its size, known
-from the files or measured at run time, is under
+No lookup carries a broadcast hint: it is broadcast when its size, known from
+the files or measured at run time, is under
 ``spark.sql.autoBroadcastJoinThreshold``, and is shuffled otherwise. The probe
 side of the shuffled form may be skewed; adaptive execution splits it, as the
-lookups have one row per key.
+lookups have one row per key. The one hint here is behind a count (``matching``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from fleetboard.functions.transit import SENTINEL, no_next_stop
 
+# Keys up to this many rows, some tens of megabytes, may be sent to every task.
+BROADCAST_ROWS = 500_000
+
 
 def join_same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
     """Equi-join on the named columns where NULL equals NULL."""
@@ -27,6 +30,19 @@ def join_same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: st
     return left.join(right, reduce(and_, matches), how).drop(*theirs.values())
 
 
+def matching(df: DataFrame, on: str, wanted: DataFrame, broadcast_rows: int) -> DataFrame | None:
+    """Rows of ``df`` whose ``on`` is among the values of ``wanted``'s only column.
+
+    ``wanted`` is counted first, and sent to all tasks if it has at most
+    ``broadcast_rows`` rows. None if it has more: the caller then takes the way
+    that fits its data.
+    """
+    if df.isStreaming or wanted.isStreaming or wanted.count() > broadcast_rows:
+        return None
+    keys = wanted.toDF(on).where(F.col(on).isNotNull()).distinct()
+    return df.join(F.broadcast(keys), on, "left_semi").select(*df.columns)
+
+
 def join_latest_trip(
     vehicles: DataFrame, trips: DataFrame, sentinel: str | None = SENTINEL
 ) -> DataFrame:

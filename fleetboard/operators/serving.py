@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetboard.functions.transit import eta_minutes
+from fleetboard.operators.joins import BROADCAST_ROWS, matching
 from fleetboard.operators.paging import PAGE_ROWS, pack
 
 
@@ -88,21 +89,40 @@ def route_shapes(shapes: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
 
 
 def routes_in_use(
-    vehicles: DataFrame, shapes: DataFrame, *, page_rows: int = PAGE_ROWS
+    vehicles: DataFrame,
+    shapes: DataFrame,
+    *,
+    page_rows: int = PAGE_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``route_shapes`` of the shapes that vehicles on a board follow, each once."""
     used = vehicles.select(F.col("shapeId").try_cast("double").alias("_shape"))
     keyed = shapes.withColumn("_shape", F.col("shape_id").try_cast("double"))
-    points = keyed.join(used.distinct(), "_shape", "left_semi").drop("_shape")
-    return route_shapes(points, page_rows=page_rows)
+    points = matching(keyed, "_shape", used, broadcast_rows)
+    if points is None:
+        points = keyed.join(used.distinct(), "_shape", "left_semi")
+    return route_shapes(points.drop("_shape"), page_rows=page_rows)
+
+
+def _selected(vehicles: DataFrame, vehicle_id: str, column: str) -> DataFrame:
+    """One row with the newest value of ``column`` for the vehicle, or NULL.
+
+    As a global aggregate it has one row by construction, which makes any join
+    with it a broadcast.
+    """
+    newest = F.max(F.struct("updateSec", column))
+    return vehicles.where(F.col("id") == vehicle_id).agg(newest[column].alias(column))
 
 
 def vehicle_route(
     vehicles: DataFrame, shapes: DataFrame, vehicle_id: str, *, page_rows: int = PAGE_ROWS
 ) -> DataFrame:
     """Route path of the selected vehicle; no row when its shape is unknown."""
-    selected = vehicles.where(F.col("id") == vehicle_id)
-    routes = routes_in_use(selected, shapes, page_rows=page_rows)
+    selected = _selected(vehicles, vehicle_id, "shapeId")
+    selected = selected.select(F.col("shapeId").try_cast("double").alias("_shape"))
+    keyed = shapes.withColumn("_shape", F.col("shape_id").try_cast("double"))
+    points = keyed.join(selected, "_shape", "left_semi").drop("_shape")
+    routes = route_shapes(points, page_rows=page_rows)
     return routes.select(F.lit(vehicle_id).alias("id"), *routes.columns)
 
 
@@ -115,7 +135,7 @@ def flag_trip_stops(
     """
     if vehicle_id is None:
         return stops.withColumn("onTrip", F.lit(False))
-    trip = vehicles.where(F.col("id") == vehicle_id).select(F.col("tripId").alias("trip_id"))
+    trip = _selected(vehicles, vehicle_id, "tripId").withColumnRenamed("tripId", "trip_id")
     called = (
         stop_times.join(trip, "trip_id", "left_semi")
         .select("stop_id")

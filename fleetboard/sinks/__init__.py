@@ -3,6 +3,7 @@ from fleetboard.sinks.upsert import (
     append_changes,
     read_board,
     read_changes,
+    served,
     stop_upserts,
     to_upsert,
     write_archive,
@@ -15,6 +16,7 @@ __all__ = [
     "append_changes",
     "read_board",
     "read_changes",
+    "served",
     "stop_upserts",
     "to_upsert",
     "write_archive",

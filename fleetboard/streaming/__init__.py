@@ -1,5 +1,5 @@
-from fleetboard.streaming.boards import BoardJob, run_boards, write_latest
+from fleetboard.streaming.boards import BoardJob, print_messages, relay, run_boards, write_latest
 from fleetboard.streaming.folders import shared_folder
 from fleetboard.streaming.state import join_trip_stream
 
-__all__ = ["BoardJob", "join_trip_stream", "run_boards", "shared_folder", "write_latest"]
+__all__ = ["BoardJob", "join_trip_stream", "print_messages", "relay", "run_boards", "shared_folder", "write_latest"]

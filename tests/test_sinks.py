@@ -7,6 +7,7 @@ from fleetboard.sinks import (
     append_changes,
     read_board,
     read_changes,
+    served,
     stop_upserts,
     to_upsert,
     write_archive,
@@ -46,3 +47,10 @@ def test_archive_is_partitioned_by_date(spark, workdir):
     got = spark.read.parquet(f"{workdir}/a").where("startDate = '2023-08-06'")
     assert [r.id for r in got.collect()] == ["b", "b"]
     assert "PartitionFilters: [isnotnull(startDate" in got._jdf.queryExecution().toString()
+
+
+def test_served_rows_skip_deletes(spark):
+    upserts = stop_upserts(_stops(spark, ("a", 0, 0))).unionByName(
+        spark.createDataFrame([("a", None)], "key string, value string")
+    )
+    assert [r.stopId for r in served(upserts, S.STOP_BOARD).collect()] == ["a"]

@@ -10,7 +10,15 @@ from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.sinks import append_changes, read_board, read_changes
 from fleetboard.sources import parse_trip_update, parse_vehicle
-from fleetboard.streaming import BoardJob, join_trip_stream, run_boards, shared_folder, write_latest
+from fleetboard.streaming import (
+    BoardJob,
+    join_trip_stream,
+    print_messages,
+    relay,
+    run_boards,
+    shared_folder,
+    write_latest,
+)
 
 NOW_DONE = {"availableNow": True}
 
@@ -224,3 +232,20 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_folder(spark, "x")
     assert folder.startswith(root) if root else folder
+
+
+def test_relay_hands_on_new_rows_without_deletes(spark, workdir):
+    rows = [("a", json.dumps({"stopId": "a"})), ("b", None)]
+    spark.createDataFrame(rows, "key string, value string").write.parquet(f"{workdir}/in")
+    stream = spark.readStream.schema("key string, value string").parquet(f"{workdir}/in")
+    sent = []
+    relay(
+        stream, S.STOP_BOARD, lambda b: sent.extend(r.stopId for r in b.collect()), f"{workdir}/ck",
+        trigger=NOW_DONE,
+    ).awaitTermination()
+    assert sent == ["a"]
+
+
+def test_print_messages(spark, workdir):
+    folder = _landed(_events()[:2], f"{workdir}/in", 1)
+    print_messages(_stream(spark, folder), trigger=NOW_DONE).awaitTermination()
