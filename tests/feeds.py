@@ -25,7 +25,7 @@ def stop(sequence, stop_id, departure=None, delay=None, arrival=None, arrival_de
 def trip_update(trip_id, stops, ts=NOW, start_time="21:50:00"):
     update = {
         "trip": {"tripId": trip_id, "startTime": start_time, "startDate": "20230805"},
-        "vehicle": {"id": "2439", "label": "979"},
+        "vehicle": {"id": "4712", "label": "512"},
         "timestamp": str(ts),
     }
     if stops is not None:
@@ -37,10 +37,10 @@ def vehicle(vehicle_id, trip_id, ts=NOW, start_date="20230805", latitude=43.0):
     event = {
         "position": {"latitude": latitude, "longitude": -89.5, "bearing": 225.0},
         "timestamp": str(ts),
-        "vehicle": {"id": "2592", "label": vehicle_id},
+        "vehicle": {"id": "4711", "label": vehicle_id},
     }
     if trip_id is not None:
-        event["trip"] = {"tripId": trip_id, "startDate": start_date, "routeId": "10468"}
+        event["trip"] = {"tripId": trip_id, "startDate": start_date, "routeId": "810"}
     return {"id": vehicle_id, "vehicle": event}
 
 
@@ -51,7 +51,7 @@ def long_trip(trip_id="T1"):
     for i in range(1, 23):
         at = str(NOW + (i - 11) * 60 + 15)
         if i == 19:
-            stops.append({"stop_sequence": 28 + i, "stop_id": "353", "departure": {"time": at}})
+            stops.append({"stop_sequence": 28 + i, "stop_id": "s19", "departure": {"time": at}})
         elif i == 22:
             stops.append({"stopSequence": 28 + i, "stopId": f"s{i}", "arrival": {"time": at}})
         else:

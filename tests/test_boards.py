@@ -11,7 +11,7 @@ def _board(spark, vehicles, trips, **options):
     board = O.vehicle_board(
         parse_vehicle(messages(spark, vehicles)),
         parse_trip_update(messages(spark, trips)),
-        trip_lookup(spark, ("T1", "700", "L", "CHEROKEE")),
+        trip_lookup(spark, ("T1", "700", "L", "EAST")),
         stop_lookup(spark, ("s11", "Eleven"), ("a", "A")),
         as_of=NOW,
         ingested_at=NOW,
@@ -24,7 +24,7 @@ def _board(spark, vehicles, trips, **options):
 def _entries(spark, trips, **options):
     return O.stop_entries(
         parse_trip_update(messages(spark, trips)),
-        trip_lookup(spark, ("T1", "700", "L", "CHEROKEE"), ("T2", "701", "M", "NORTH")),
+        trip_lookup(spark, ("T1", "700", "L", "EAST"), ("T2", "701", "M", "NORTH")),
         as_of=NOW,
         **options,
     )
@@ -37,7 +37,7 @@ def test_vehicle_board_row(spark):
         "tripId": "T1",
         "shapeId": "700",
         "routeName": "L",
-        "tripHeadSign": "CHEROKEE",
+        "tripHeadSign": "EAST",
         "startDate": "2023-08-05",
         "startTime": "21:50:00",
         "latitude": 43.0,
@@ -103,7 +103,7 @@ def test_stop_board_groups_and_latest(spark):
         {
             "id": "T1",
             "routeName": "L",
-            "tripHeadSign": "CHEROKEE",
+            "tripHeadSign": "EAST",
             "arrivalTime": "2023-08-05 22:18:10",
             "delay": "30",
             "n": 1,
@@ -138,4 +138,4 @@ def test_null_stop_keeps_its_group(spark):
 
 def test_archive(spark):
     row = O.vehicle_archive(parse_vehicle(messages(spark, [vehicle("v", "T1")]))).first()
-    assert (row.routeId, row.bearing, row.vehicleLabel) == ("10468", 225.0, "2592")
+    assert (row.routeId, row.bearing, row.vehicleLabel) == ("810", 225.0, "4711")
