@@ -295,11 +295,13 @@ def stop_board_latest(
         return board.withColumn("updateTime", local_time(F.col("updateSec"), zone))
     keys = ["stopId", "updateTime"]
     counted = count_copies(entries, keys)
-    newest = counted.groupBy("stopId").agg(
+    # The filter drops nothing; using ``n`` here lets both uses of ``counted``
+    # share one aggregate.
+    newest = counted.where(F.col("n") > 0).groupBy("stopId").agg(
         F.max(F.struct("updateSec", "updateTime")).alias("_newest")
     )
     newest = newest.select("stopId", F.col("_newest.updateTime").alias("updateTime"))
-    last = join_same(counted, newest, keys, "left_semi")
+    last = join_same(counted, newest, keys, "inner")
     return _board_of(last, keys, stop_lookup, page_rows, typed)
 
 

@@ -139,3 +139,21 @@ def test_null_stop_keeps_its_group(spark):
 def test_archive(spark):
     row = O.vehicle_archive(parse_vehicle(messages(spark, [vehicle("v", "T1")]))).first()
     assert (row.routeId, row.bearing, row.vehicleLabel) == ("810", 225.0, "4711")
+
+
+def test_many_vehicles_take_the_unnarrowed_way(spark):
+    vehicles = [vehicle(f"v{i}", f"T{i % 3}") for i in range(9)] + [vehicle("n", None)]
+    trips = [long_trip("T1"), long_trip("T2"), long_trip("T8")]
+    assert _board(spark, vehicles, trips, broadcast_rows=0) == _board(spark, vehicles, trips)
+
+
+def test_pages_of_a_busy_stop_hold_all_its_calls(spark):
+    trips = [trip_update("T1", [stop(i, "a", NOW + i) for i in range(300)] + [stop(301, "b", NOW)])]
+    stops = stop_lookup(spark, ("a", "A"))
+    rows = O.stop_board_latest(_entries(spark, trips), stops, page_rows=20).collect()
+    busy = [r for r in rows if r.stopId == "a"]
+    assert len(busy) > 10 and all(r.stopName == "A" for r in busy)
+    assert len({r["slice"] for r in busy}) == len(busy)
+    calls = [e["arrivalTime"] for r in busy for e in json.loads(r.info)]
+    assert len(calls) == len(set(calls)) == 300
+    assert [(r.page, r["slice"]) for r in rows if r.stopId == "b"] == [(0, 0)]

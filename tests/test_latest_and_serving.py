@@ -91,7 +91,9 @@ def test_route_shapes_and_selected_route(spark):
     live = _live(spark, ("v", NOW, "T", "7.0"), ("w", NOW, "T", "9"), ("u", NOW, "T", None))
     assert [(r.id, r["shape"]) for r in O.vehicle_route(live, shapes, "v").collect()] == [("v", 7.0)]
     assert O.vehicle_route(live, shapes, "w").count() == 0
-    assert [r["shape"] for r in O.routes_in_use(live, shapes).collect()] == [7.0]
+    for rows in (0, 100):  # the shuffled and the broadcast way
+        used = O.routes_in_use(live, shapes, broadcast_rows=rows)
+        assert [r["shape"] for r in used.collect()] == [7.0]
 
 
 def test_flag_trip_stops(spark):

@@ -31,3 +31,29 @@ def test_query_equals_its_sql(spark, db, sf_dir, name):
     rows = rows_of(df.columns, df.collect())
     assert rows == rows_of(want.columns, want.fetchall())
     assert rows
+
+
+_BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", _BATCH)
+def test_plans_have_no_cross_join_and_no_python(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+    for word in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEvalPython"):
+        assert word not in plan
+
+
+@pytest.mark.parametrize("name", ["stop_board_groups", "stop_board_latest", "trip_stop_lists"])
+def test_the_fact_table_is_scanned_once(spark, sf_dir, name):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shows reuse in the plan
+    try:
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.count("FileScan parquet [l_") == 1
+
+
+def test_freshness_reaches_the_position_scan(spark, sf_dir):
+    plan = QUERIES["live_vehicles"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts," in plan
