@@ -40,7 +40,7 @@ def matching(df: DataFrame, on: str, wanted: DataFrame, broadcast_rows: int) ->
     if df.isStreaming or wanted.isStreaming or wanted.count() > broadcast_rows:
         return None
     keys = wanted.toDF(on).where(F.col(on).isNotNull()).distinct()
-    return df.join(F.broadcast(keys), on, "left_semi").select(*df.columns)
+    return df.join(F.broadcast(keys), on, "left_semi")
 
 
 def join_latest_trip(
