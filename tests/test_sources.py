@@ -13,6 +13,7 @@ from fleetboard.sources import (
     read_shapes,
     read_stop_lookup,
     read_stop_times,
+    read_topic,
     read_trip_lookup,
     split_corrupt,
     with_rowtime,
@@ -124,3 +125,36 @@ def test_rowtime(spark):
     df = spark.range(1).select(F.lit(NOW).cast("bigint").alias("s"))
     row = with_rowtime(df, "s").select(F.unix_seconds("rowtime").alias("t")).first()
     assert row.t == NOW
+
+
+class _Reader:
+    """Stands in for the session where the topic source is not installed."""
+
+    def __init__(self):
+        self.options_seen = {}
+        self.read = self.readStream = self
+
+    def format(self, name):
+        self.options_seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.options_seen.update(options)
+        return self
+
+    def option(self, name, value):
+        self.options_seen[name] = value
+        return self
+
+    def load(self):
+        return self.options_seen
+
+
+def test_topic_options():
+    broker = {"kafka.bootstrap.servers": "b:9092", "subscribe": "t"}
+    assert read_topic(_Reader(), broker) == {
+        "format": "kafka", **broker, "startingOffsets": "latest"
+    }
+    assert read_topic(_Reader(), broker, starting="earliest")["startingOffsets"] == "earliest"
+    once = read_topic(_Reader(), broker, stream=False)
+    assert (once["startingOffsets"], once["endingOffsets"]) == ("earliest", "latest")
