@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -54,8 +55,13 @@ def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on machines that have this folder import the package from it.
+
+    On a cluster the package is shipped as any other, with ``--py-files`` or an image.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

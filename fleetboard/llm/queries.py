@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetboard.llm import simhash, tokens
+from fleetboard.llm import decontaminate, simhash, tokens
+from fleetboard.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -18,10 +21,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark"), drop_text=True)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op9_tokens": op9_tokens}
+QUERIES = {"op1_simhash": op1_simhash, "op7_decontaminate": op7_decontaminate, "op9_tokens": op9_tokens}
 
 ORACLE: dict[str, str] = {}
