@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import decontaminate, simhash, tokens
+from fleetboard.llm import decontaminate, quality, simhash, tokens, toxicity
 from fleetboard.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark"), drop_text=True)
@@ -34,6 +42,6 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op7_decontaminate": op7_decontaminate, "op9_tokens": op9_tokens}
+QUERIES = {"op1_simhash": op1_simhash, "op3_quality": op3_quality, "op5_toxicity": op5_toxicity, "op7_decontaminate": op7_decontaminate, "op9_tokens": op9_tokens}
 
 ORACLE: dict[str, str] = {}
