@@ -77,7 +77,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> Linear:
+def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1, decay: float = 3e-4) -> Linear:
     """Minimise the non-negative risk. Without toxic or unlabelled texts the score is the prior's."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     constant = float(np.log(prior / (1 - prior)))
@@ -90,9 +90,9 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *,
     at = np.minimum(np.searchsorted(ids_u, ids_p), max(len(ids_u) - 1, 0))
     if len(ids_u):
         of_u = np.where(ids_u[at] == ids_p, in_u[at], 0)
-    # Features commoner among toxic texts; in U they cannot be rarer than the prior times that.
+    # A feature of toxic texts only is 1 / prior times as common among them as in U; half that will do.
     lift = ((in_p + 0.5) / (n_p + 1)) / ((of_u + 0.5) / (n_u + 1))
-    use = np.flatnonzero((in_p >= max(2, n_p // 2000)) & (lift > 2))
+    use = np.flatnonzero((in_p >= max(3, n_p // 500)) & (lift > 0.5 / prior))
     use = use[np.argsort(-in_p[use] * np.log(lift[use]), kind="stable")][:FEATURES]
     known = np.sort(ids_p[use])
 
