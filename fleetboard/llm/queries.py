@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import decontaminate, quality, simhash, tokens, toxicity
-from fleetboard.llm.common import importable
+from fleetboard.llm import chat, decontaminate, phrases, quality, simhash, tokens, toxicity
+from fleetboard.llm.common import cut, importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -25,6 +25,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op4_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.5)
 
@@ -42,6 +46,23 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_quality": op3_quality, "op5_toxicity": op5_toxicity, "op7_decontaminate": op7_decontaminate, "op9_tokens": op9_tokens}
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    turns = chat.paths(chat.threads(rows.unionAll(own)))
+    written = cut(chat.format_paths(turns), "chats")
+    return chat.digests(written).drop("rank").withColumnRenamed("tree", "conv_id")
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op3_quality": op3_quality,
+    "op4_phrases": op4_phrases,
+    "op5_toxicity": op5_toxicity,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_tokens": op9_tokens,
+    "op10_chat": op10_chat,
+}
 
 ORACLE: dict[str, str] = {}
