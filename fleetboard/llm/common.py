@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -76,12 +77,12 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 def create_file(uri: str) -> pa.NativeFile:
     fs, path = filesystem(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
-    return fs.open_output_stream(path)
+    return fs.open_output_stream(path, compression=None)
 
 
-def open_stream(uri: str) -> pa.NativeFile:
+def open_stream(uri: str) -> io.BufferedReader:
     fs, path = filesystem(uri)
-    return fs.open_input_stream(path)
+    return io.BufferedReader(fs.open_input_stream(path, compression=None), 1 << 20)
 
 
 def open_file(uri: str) -> pa.NativeFile:

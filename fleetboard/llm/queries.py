@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import chat, decontaminate, phrases, quality, simhash, tokens, toxicity
+from fleetboard.llm import arc, chat, decontaminate, phrases, quality, simhash, tokens, toxicity
 from fleetboard.llm.common import cut, importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op2_arc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.archive_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -57,6 +61,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_arc": op2_arc,
     "op3_quality": op3_quality,
     "op4_phrases": op4_phrases,
     "op5_toxicity": op5_toxicity,
