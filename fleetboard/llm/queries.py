@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import arc, chat, decontaminate, phrases, quality, simhash, tokens, toxicity
+from fleetboard.llm import arc, chat, decontaminate, phrases, quality, simhash, substrings, tokens, toxicity
 from fleetboard.llm.common import cut, importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.5)
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=50, digest_only=True).drop("spans")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark"), drop_text=True)
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_phrases": op4_phrases,
     "op5_toxicity": op5_toxicity,
+    "op6_substrings": op6_substrings,
     "op7_decontaminate": op7_decontaminate,
     "op9_tokens": op9_tokens,
     "op10_chat": op10_chat,
