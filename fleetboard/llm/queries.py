@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import arc, chat, decontaminate, phrases, quality, simhash, substrings, tokens, toxicity
+from fleetboard.llm import arc, chat, decontaminate, mixing, phrases, quality, simhash, substrings, tokens, toxicity
 from fleetboard.llm.common import cut, importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,6 +50,23 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of domains: the languages of the documents that have a label."""
+    return labels.select(F.col("doc_id").alias("id")).distinct().join(
+        docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("domain")), "id"
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found, _ = mixing.rates(docs, labelled_domains(docs, _table(spark, sf_dir, "labels")))
+    each = found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    return each.select(
+        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_words"),
+        F.transform("posterior", lambda p: F.round(p, 6)).alias("posterior"), "rate", "copies",
+    )
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -71,6 +88,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_substrings": op6_substrings,
     "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing,
     "op9_tokens": op9_tokens,
     "op10_chat": op10_chat,
 }
