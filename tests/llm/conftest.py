@@ -1,0 +1,50 @@
+import random
+
+import pytest
+from fleetboard.llm.common import importable
+
+WORDS = [a + b for a in ("ba", "ko", "lu", "mi", "né", "Ro", "tza") for b in ("da", "fen", "gu", "lír", "so", "x", "")]
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    importable(spark)
+
+
+@pytest.fixture(scope="session")
+def prose():
+    """Makes texts of so many words."""
+
+    def make(n, seed):
+        own = random.Random(seed)
+        return " ".join(own.choice(WORDS) + own.choice(["", "", "", ",", "."]) for _ in range(n))
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def texts(prose):
+    """(id, text): copies, near copies, shared passages, NULL and empty texts, ties, a long one."""
+    shared, base = prose(80, 1), prose(200, 2)
+    near = base.split(" ")
+    rows = [(i, prose(3 + 17 * i, 100 + i)) for i in range(12)]
+    rows += [(20 + i, base) for i in range(4)]
+    rows += [(30 + i, " ".join(near[:50] + [f"new{i}"] + near[51:])) for i in range(4)]
+    rows += [(40, prose(30, 5) + " " + shared + " " + prose(10, 6)), (41, shared), (42, prose(5, 7) + "\n" + shared)]
+    rows += [(50, None), (51, ""), (52, " \t\n "), (53, "ko"), (54, "KO"), (55, "ko lu"), (56, "x" * 5000)]
+    rows += [(60, " ".join(["same"] * 300)), (61, " ".join(["same"] * 120)), (62, prose(6000, 8)), (62, prose(40, 9))]
+    rows += [(63, base), (63, base), (None, base), (None, prose(60, 10)), (None, None)]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs(spark, texts):
+    """``texts`` with further columns whose names the operators use inside."""
+    rows = [(i, t, "k", 1, "v", None) for i, t in texts]
+    schema = "doc_id long, text string, key string, n int, id string, fingerprint string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(docs):
+    return docs.limit(0)

@@ -1,0 +1,94 @@
+"""ARC to WARC: round trips, both versions, revisits."""
+
+import base64
+import gzip
+import hashlib
+import io
+import zlib
+
+import pytest
+from fleetboard.llm import arc
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    same, big = "<p>same</p>", "<b>é</b>" * 300_000
+    rows = [
+        (7, "http://a.example/x y", same), (3, "http://b.example/", same), (9, None, None), (4, "http://c.example/é", ""),
+        (5, "http://d.example/", big), (6, "http://d.example/", big), (8, "u\nv", "HTTP/1.1 200 OK\r\n\r\nin\r\n\r\nside"),
+        (3, "http://again.example/", same), (None, "http://n.example/", "no number"), (None, "http://n.example/", same),
+    ]
+    return spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, arc int, type string").repartition(3)
+
+
+def want(rows):
+    first, out = {}, []
+    for r in sorted(rows, key=lambda r: (r.page_id is None, r.page_id or 0)):
+        body = (r.html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        seen = digest in first
+        out.append((r.page_id, len(body), digest, "revisit" if seen else "response", first.get(digest) if seen else None))
+        first.setdefault(digest, r.page_id)
+    return sorted(out, key=repr)
+
+
+def test_pages_come_back(pages):
+    got = arc.archive_pages(pages, arc_bytes=2000).collect()
+    assert sorted(map(tuple, got), key=repr) == want(pages.collect())
+
+
+def test_short_payloads_are_no_revisits(pages):
+    got = arc.archive_pages(pages, min_bytes=100).collect()
+    assert [r.page_id for r in got if r.record_type == "revisit"] == [6]
+
+
+def test_empty_table(pages):
+    assert arc.archive_pages(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_reads_the_header_lines_of_its_version(version):
+    bodies = [b"HTTP/1.0 404 Not Found\r\nA: b\r\n\r\nbody\n\nhttp://not.a/header 1 2 3 4\n", b"", b"plain\n"]
+    data = arc.version_block("x.arc", version)
+    for i, body in enumerate(bodies):
+        fields = {"URL": f"http://e/{i} z", "IP-address": "1.2.3.4", "Archive-date": "19990102", "Content-type": "text/html",
+                  "Result-code": "404", "Checksum": "c", "Location": "-", "Offset": "9", "Filename": "f"}
+        data += arc.arc_record(fields, body, version)
+    found = [(r.fields, r.length, r.body.read(), data[r.offset :][:8]) for r in arc.read_arc(io.BytesIO(data))]
+    assert found[0][0]["URL"] == "filedesc://x.arc"
+    assert [f[2] for f in found[1:]] == bodies
+    assert [f[0]["URL"] for f in found[1:]] == [f"http://e/{i}%20z" for i in range(3)]
+    assert all(f[3] == b"http://e" for f in found[1:])
+    assert set(found[1][0]) == set(arc.FIELDS[version])
+
+
+def test_a_url_with_spaces_and_unread_bodies():
+    data = b"filedesc://y 0.0.0.0 1996 text/plain 77\n1 0 Other\nURL IP-address Archive-date Content-type Archive-length\n"
+    data = data.replace(b" 77\n", b" %d\n" % (len(data) - data.index(b"\n") - 1))
+    data += b"\nhttp://a b c 1.1.1.1 19970102030405 text/html 3\nabc\nhttp://d 1.1.1.1 199701 dns 2\nxy"
+    found = list(arc.read_arc(io.BytesIO(data)))
+    assert [r.fields["URL"] for r in found[1:]] == ["http://a b c", "http://d"]
+    with pytest.raises(ValueError, match="early"):
+        [r.body.read() for r in arc.read_arc(io.BytesIO(data[:-1]))]
+
+
+def test_what_is_made_up_is_the_same_each_time(tmp_path):
+    data = arc.version_block("z.arc", 1) + arc.arc_record(
+        {"URL": "http://a/", "IP-address": "5.6.7.8", "Archive-date": "19970102", "Content-type": "text/plain"}, b"just text", 1
+    )
+    (tmp_path / "z.arc").write_bytes(data)
+    offset = data.index(b"http://a/")
+    seen = arc.capture(io.BytesIO(b"just text"))
+    known = {offset: {"refers_id": None, "is_http": False, "head_bytes": 0, "payload_digest": arc.base32_sha1(seen.payload), "block_digest": arc.base32_sha1(seen.block)}}
+    for name in ("one", "two"):
+        arc.convert(f"file://{tmp_path}/z.arc", "z.arc", f"file://{tmp_path}/{name}.warc.gz", known)
+    one, two = ((tmp_path / f"{n}.warc.gz").read_bytes() for n in ("one", "two"))
+    plain = gzip.decompress(one).decode()
+    assert plain.replace("one.warc", "two.warc") == gzip.decompress(two).decode()
+    assert "WARC-Type: warcinfo" in plain and "WARC-Type: resource" in plain
+    assert "WARC-Date: 1997-01-02T00:00:00Z" in plain and "WARC-IP-Address: 5.6.7.8" in plain
+    assert arc.record_id("z.arc", offset) in plain
+    # Each record is a gzip member of its own.
+    first = zlib.decompressobj(31)
+    first.decompress(one)
+    assert first.unused_data.startswith(b"\x1f\x8b")

@@ -1,0 +1,95 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from fleetboard.llm import tokens
+from fleetboard.llm.common import open_file
+from tokenizers import Tokenizer
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_ids_are_the_library_s(library, texts):
+    own = random.Random(1)
+    bits = [" ", "  ", "\n", "\t", " \n", "\r\n", "a", "É", "b's", "'t", "don't", ",", "!!", "中文", "1", "²", "\x1c", "\x85", "　",
+            "é", "<|endoftext|>", "​", "ª", "🙂", "_", "Word.\nNext"]
+    values = ["".join(own.choices(bits, k=own.randrange(15))) for _ in range(3000)] + [t for _, t in texts]
+    got = tokens.Encoder(PATH, 2, 2).encode(values)
+    for value, data in zip(values, got):
+        assert list(np.frombuffer(data, "<u2")) == [*library.encode(value or "", add_special_tokens=False).ids, 2]
+
+
+def test_a_small_memory_gives_the_same_ids(library, prose, monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 20)
+    monkeypatch.setattr(tokens, "PARTS", 10)
+    small = tokens.Encoder(PATH, 4, 2)
+    for seed in range(30):
+        value = prose(50, seed)
+        (data,) = small.encode([value])
+        assert list(np.frombuffer(data, "<u4")) == [*library.encode(value, add_special_tokens=False).ids, 2]
+
+
+def expected(rows, library):
+    order = sorted(((i, t) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, (r[1] is not None, (r[1] or "").encode())))
+    out, at = [], 0
+    for i, t in order:
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        out.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"shards": 1, "width": 4}, {"shards": 7}])
+def test_round_trip(docs, texts, library, options):
+    got = tokens.round_trip(docs, PATH, **options).collect()
+    assert sorted(map(tuple, got), key=repr) == expected(texts, library)
+
+
+def test_many_parts(docs, texts, library, monkeypatch):
+    monkeypatch.setattr(tokens, "PART_KEYS", 3)
+    assert sorted(map(tuple, tokens.round_trip(docs, PATH).collect()), key=repr) == expected(texts, library)
+
+
+def test_foreign_keys_are_not_found(spark, docs, texts):
+    store = tokens.write_store(docs, PATH)
+    asked = spark.createDataFrame([(i,) for i in range(3, 400, 7)], "k long")
+    found = {r.key for r in store.find(asked).collect()}
+    assert found == {i for i in range(3, 400, 7)} & {i for i, _ in texts}
+
+
+def test_read_gives_the_ids(spark, docs, library, texts):
+    store = tokens.write_store(docs, PATH)
+    (row,) = store.read(store.find(spark.createDataFrame([(5,)], "k long"))).collect()
+    assert list(np.frombuffer(row.ids, "<u2"))[:-1] == library.encode(dict(texts)[5], add_special_tokens=False).ids
+
+
+def test_empty_table(no_docs):
+    assert tokens.round_trip(no_docs, PATH).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 5000])
+def test_the_hash_is_minimal_and_perfect(n):
+    keys = [f"k{i}" for i in range(n)]
+    numbers = np.arange(n)
+    data = tokens.build_part(keys, numbers, numbers * 2, numbers * 0 + 1)
+    rows, there = tokens.find_in_part(data, keys)
+    assert there.all() and list(rows["shard"]) == list(numbers) and list(rows["first"]) == list(numbers * 2)
+    hashes, _ = tokens._hashes(keys, 0)
+    assert sorted(tokens.PerfectHash.build(hashes).slots(hashes)) == list(range(n))
+    _, there = tokens.find_in_part(data, [f"x{i}" for i in range(200)])
+    assert not there.any()
+
+
+def test_a_shard_is_raw_ids(spark, docs, library, texts):
+    store = tokens.write_store(docs, PATH, shards=1)
+    (row,) = store.shards.collect()
+    with open_file(row.path) as file:
+        ids = np.frombuffer(file.read(2 * row.n_ids), "<u2")
+    assert (ids == 2).sum() >= len(texts) and row.n == len(texts)
