@@ -35,64 +35,133 @@ PART_KEYS = 50_000
 MAGIC = b"TOKSHRD1"
 INDEX_MAGIC = b"TOKINDX1"
 FOOTER = "<8sQQ"
-#: Pieces of text whose ids a Python worker remembers.
-REMEMBERED = 400_000
+#: Pieces and parts of texts whose ids a Python worker remembers; up to twice as many at times.
+PIECES, PARTS = 300_000, 500_000
 #: Bits per key of a level of the hash.
 GAMMA = 1.6
 
 
+class Memory:
+    """A dictionary of bounded size that forgets what was not asked for lately."""
+
+    def __init__(self, size: int):
+        self.size, self.now, self.before = size, {}, {}
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that are to be learned; all others are in ``now`` after this."""
+        if len(self.now) > self.size:
+            self.now, self.before = {}, self.now
+        new = []
+        for key in keys.difference(self.now):
+            if (value := self.before.get(key)) is None:
+                new.append(key)
+            else:
+                self.now[key] = value
+        return new
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    The library's pattern never joins a non-space character to a following space, so a text
-    may be cut before each space that a non-space follows, and the pieces encoded each for
-    itself. Their ids are remembered; equal pieces are the bulk of any text. A file with
-    another pre-tokenizer or with a normalizer is encoded whole.
+    The library's pattern joins no character to a space behind it, so a text may be cut before
+    each space that a non-space follows, and the pieces encoded each for itself. A piece may be
+    cut around a single line break inside it, and between Latin letters and punctuation (without
+    apostrophes, which contractions have). Ids of pieces and parts are remembered, and new parts
+    are encoded together, with line breaks between. A text with a special token is encoded
+    whole, as are all with another pre-tokenizer or with a normalizer.
     """
 
+    #: Texts that the library encodes at once.
+    TOGETHER = 1000
+
     def __init__(self, path: str, width: int, end_id: int):
         from tokenizers import Tokenizer
 
         with open(path, "rb") as file:
             made = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = (made.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not made.get("normalizer")
-        self.cuts = self.cuts and not made["pre_tokenizer"].get("add_prefix_space")
+        pre = made.get("pre_tokenizer") or {}
+        self.cuts = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not made.get("normalizer")
         self.specials = re.compile("|".join(re.escape(t["content"]) for t in made["added_tokens"]) or r"(?!)")
         self.kind = f"<u{width}"
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], pieces: list[str], prefix: str) -> None:
-        new = list(set(pieces).difference(known))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False)
-            known.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(some, found))
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian ids with the end id; NULL as empty."""
-        if not text:
-            return self.end
-        # A special token may hold or touch spaces, so such texts stay whole.
-        if not self.cuts or self.specials.search(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, self.kind).tobytes() + self.end
-        if len(self.spaced) > REMEMBERED:
-            self.spaced.clear()
-        if len(self.first) > REMEMBERED // 4:
-            self.first.clear()
-        pieces = re.split(r" (?=\S)", text) if re.search(r" (?:\s|$)", text) else text.split(" ")
-        head, rest = pieces[:1], pieces[1:]
-        try:
-            out = [self.first[head[0]], *map(self.spaced.__getitem__, rest), self.end]
-        except KeyError:
-            self._learn(self.first, head, "")
-            self._learn(self.spaced, rest, " ")
-            out = [self.first[head[0]], *map(self.spaced.__getitem__, rest), self.end]
-        return b"".join(out)
-
+        self.end = self._bytes([end_id])
+        self.line = self._bytes(self._ids(["\n"])[0])
+        self.pieces, self.parts = Memory(PIECES), Memory(PARTS)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_parts(self, wanted: set[str]) -> None:
+        new = self.parts.unknown(wanted)
+        groups = [new[at : at + self.TOGETHER] for at in range(0, len(new), self.TOGETHER)]
+        for group, ids in zip(groups, self._ids(["\n".join(g) for g in groups])):
+            data = np.array(ids, self.kind)
+            at = np.flatnonzero(data == np.frombuffer(self.line, self.kind)[0])
+            if len(at) == len(group) - 1:
+                found = [x.tobytes() for x in np.split(data, at)]
+                size = len(self.line)
+                self.parts.now.update(zip(group, [found[0], *(x[size:] for x in found[1:])]))
+            else:
+                self.parts.now.update(zip(group, map(self._bytes, self._ids(group))))
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Pieces; those after a space begin with it."""
+        new = self.pieces.unknown(wanted)
+        parts: dict[str, list[list[str]]] = {}
+        whole = []
+        for piece in new:
+            lines = piece.split("\n")
+            found = []
+            for line in lines:
+                cut = _WORD.fullmatch(line)
+                if cut:
+                    found.append([cut[1], cut[2]])
+                elif _SOLID.fullmatch(line):
+                    found.append([line])
+                else:
+                    break
+            if len(found) == len(lines):
+                parts[piece] = found
+            else:
+                whole.append(piece)
+        self._learn_parts({p for lines in parts.values() for line in lines for p in line})
+        known, line_break = self.parts.now, self.line
+        self.pieces.now.update(
+            (piece, line_break.join([b"".join([known[p] for p in line]) for line in lines])) for piece, lines in parts.items()
+        )
+        for at in range(0, len(whole), self.TOGETHER):
+            some = whole[at : at + self.TOGETHER]
+            self.pieces.now.update(zip(some, map(self._bytes, self._ids(some))))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Of each text the little-endian ids with the end id; NULL as empty."""
+        out: list = [None] * len(texts)
+        for i, text in enumerate(texts):
+            if not text:
+                out[i] = self.end
+            elif not self.cuts or self.specials.search(text):
+                out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+            else:
+                own = _SPACE.split(text) if _WIDE.search(text) else text.split(" ")
+                first = own[0]
+                own = [" " + p for p in own]
+                own[0] = first
+                out[i] = own
+        cut = [own for own in out if isinstance(own, list)]
+        self._learn(set().union(*cut) if cut else set())
+        known = self.pieces.now
+        return [
+            own if isinstance(own, bytes) else b"".join(map(known.__getitem__, own)) + self.end for own in out
+        ]
+
+
+#: A space that a non-space follows; a space that none follows; a line without white space;
+#: Latin letters and the punctuation behind them.
+_SPACE, _WIDE, _SOLID = re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)"), re.compile(r" ?\S+")
+_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)")
 
 _encoders: dict[tuple, Encoder] = {}
 
@@ -132,8 +201,7 @@ def write_shards(
                 continue
             file = file or create_file(path)
             own = []
-            for value in batch.column(1).to_pylist():
-                data = ids.encode(value)
+            for data in ids.encode(batch.column(1).to_pylist()):
                 file.write(data)
                 own.append(len(data) // width)
             n, before = len(own), len(lengths)
