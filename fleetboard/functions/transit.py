@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Entries that the shortened search looks at (``max_lookahead=MAX_LOOKAHEAD``).
 MAX_LOOKAHEAD = 20
 SENTINEL = "0"
 
@@ -45,7 +46,7 @@ def next_stop(
     stops: Column,
     feed_ts: Column,
     *,
-    max_lookahead: int | None = MAX_LOOKAHEAD,
+    max_lookahead: int | None = None,
     sentinel: str | None = SENTINEL,
     null_delay_as_zero: bool = False,
     add_delay: bool = True,

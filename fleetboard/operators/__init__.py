@@ -13,12 +13,11 @@ from fleetboard.operators.boards import (
     vehicle_state,
 )
 from fleetboard.operators.joins import (
-    BROADCAST_ROWS,
     join_latest_trip,
     join_same,
     join_stops,
     join_trips,
-    matching,
+    with_probe,
 )
 from fleetboard.operators.latest import (
     compact,
@@ -27,7 +26,7 @@ from fleetboard.operators.latest import (
     live_vehicles,
     within_service_hours,
 )
-from fleetboard.operators.paging import PAGE_ROWS, pack
+from fleetboard.operators.paging import PAGE_SECONDS, PAGE_SIZE, pack, page_of
 from fleetboard.operators.serving import (
     feed_status,
     flag_trip_stops,
@@ -39,8 +38,8 @@ from fleetboard.operators.serving import (
 )
 
 __all__ = [
-    "BROADCAST_ROWS",
-    "PAGE_ROWS",
+    "PAGE_SECONDS",
+    "PAGE_SIZE",
     "board_of_states",
     "calls_of",
     "count_copies",
@@ -56,8 +55,8 @@ __all__ = [
     "latest_by_key",
     "latest_trip_state",
     "live_vehicles",
-    "matching",
     "pack",
+    "page_of",
     "roster",
     "route_shapes",
     "routes_in_use",
@@ -70,5 +69,6 @@ __all__ = [
     "vehicle_board",
     "vehicle_route",
     "vehicle_state",
+    "with_probe",
     "within_service_hours",
 ]

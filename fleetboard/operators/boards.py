@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from fleetboard.functions.timefn import DEFAULT_ZONE, epoch_of, iso_date, local_time
 from fleetboard.functions.transit import SENTINEL, is_upcoming, next_stop
 from fleetboard.operators.joins import (
-    BROADCAST_ROWS,
     join_latest_trip,
     join_same,
     join_stops,
     join_trips,
-    matching,
+    with_probe,
 )
 from fleetboard.operators.latest import fresh, latest_by_key
-from fleetboard.operators.paging import PAGE_ROWS, pack
+from fleetboard.operators.paging import PAGE_SECONDS, pack, page_of
 
 # Column that breaks ties between events of the same second, where present:
 # a topic offset or another arrival number.
@@ -89,6 +88,7 @@ def trip_state(trips: DataFrame, *, calls: bool = False, **next_stop_options) ->
     ``calls=True`` keeps the upcoming entries as well, for the stop board.
     """
     u = F.col("tripUpdate")
+    judged = {k: v for k, v in next_stop_options.items() if k in ("add_delay", "use_arrival")}
     columns = [
         F.col("id").alias("tripId"),
         u["timestamp"].alias("feedSec"),
@@ -96,7 +96,7 @@ def trip_state(trips: DataFrame, *, calls: bool = False, **next_stop_options) ->
         u["trip"]["startTime"].alias("startTime"),
         next_stop(u["stopTimeUpdate"], u["timestamp"], **next_stop_options).alias("next"),
     ]
-    return trips.select(*columns, *([calls_of(u).alias("calls")] if calls else []))
+    return trips.select(*columns, *([calls_of(u, **judged).alias("calls")] if calls else []))
 
 
 def latest_trip_state(trips: DataFrame, **next_stop_options) -> DataFrame:
@@ -116,8 +116,9 @@ def board_of_states(
     sentinel: str | None = SENTINEL,
 ) -> DataFrame:
     """Vehicle board from ``vehicle_state`` and ``latest_trip_state`` rows."""
-    board = join_latest_trip(vehicles, trips, sentinel)
-    board = join_trips(board, trip_lookup, "tripId").withColumn("nextStopId", F.col("next.stopId"))
+    # One key for both joins, so that the second needs no shuffle of the board.
+    board = join_latest_trip(with_probe(vehicles, "tripId"), trips, sentinel, on="_probe")
+    board = join_trips(board, trip_lookup, "_probe").withColumn("nextStopId", F.col("next.stopId"))
     board = join_stops(board, stop_lookup, "nextStopId")
     return board.select(
         "id",
@@ -151,22 +152,19 @@ def vehicle_board(
     zone: str = DEFAULT_ZONE,
     ingested_at: int | Column | None = None,
     sentinel: str | None = SENTINEL,
-    broadcast_rows: int = BROADCAST_ROWS,
     **next_stop_options,
 ) -> DataFrame:
     """One row per fresh vehicle with its route and next stop.
 
-    ``vehicles`` and ``trips`` are parsed events; keyed by ``id``. The fresh
-    vehicles are counted when the board is built: if few, only the updates of
-    their trips are read further, out of a history of any size.
+    ``vehicles`` and ``trips`` are parsed events; keyed by ``id``. Only the
+    updates of trips that fresh vehicles are on go further, out of a history of
+    any size; execution measures whether these few keys can be sent to all.
     """
     state = vehicle_state(vehicles, as_of=as_of, horizon_s=horizon_s)
-    followed = matching(trips, "id", state.select("tripId"), broadcast_rows)
+    followed = trips.join(state.select(F.col("tripId").alias("id")), "id", "left_semi")
     return board_of_states(
         state,
-        latest_trip_state(
-            trips if followed is None else followed, sentinel=sentinel, **next_stop_options
-        ),
+        latest_trip_state(followed, sentinel=sentinel, **next_stop_options),
         trip_lookup,
         stop_lookup,
         zone=zone,
@@ -185,8 +183,9 @@ def stop_entries(
     dedupe: bool = True,
     add_delay: bool = True,
     use_arrival: bool = False,
+    page_s: int = PAGE_SECONDS,
 ) -> DataFrame:
-    """One row per upcoming call of a known trip.
+    """One row per upcoming call of a known trip, with its ``page`` on the board.
 
     Past entries leave the arrays before they are exploded or shuffled. By
     default only the newest update of a trip counts; ``dedupe=False`` keeps all.
@@ -203,13 +202,20 @@ def stop_entries(
     if dedupe:
         calls = latest_by_key(calls, "tripId", _order(calls, "feedSec"))
         calls = calls.where(F.size("calls") > 0)
-    return entries_of_calls(calls, trip_lookup, zone=zone)
+    return entries_of_calls(calls, trip_lookup, zone=zone, page_s=page_s)
 
 
 def entries_of_calls(
-    calls: DataFrame, trip_lookup: DataFrame, *, zone: str = DEFAULT_ZONE
+    calls: DataFrame,
+    trip_lookup: DataFrame,
+    *,
+    zone: str = DEFAULT_ZONE,
+    page_s: int = PAGE_SECONDS,
 ) -> DataFrame:
-    """Board entries of (tripId, feedSec, calls) rows whose trip is known."""
+    """Board entries of (tripId, feedSec, calls) rows whose trip is known.
+
+    ``page`` numbers the stretch of ``page_s`` seconds in which the call arrives.
+    """
     known = join_trips(calls, trip_lookup, "tripId", "inner")
     # The outer form with a filter on a field no call lacks: the plain one makes
     # the optimizer compute the lists a second time, for a test of their size.
@@ -230,6 +236,7 @@ def entries_of_calls(
         "tripHeadSign",
         local_time(F.col("arrivalSec"), zone).alias("arrivalTime"),
         "delay",
+        page_of("arrivalSec", page_s).alias("page"),
     )
 
 
@@ -242,20 +249,19 @@ def count_copies(entries: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _board_of(
-    counted: DataFrame, keys: list[str], stop_lookup: DataFrame, page_rows: int, typed: bool
+    counted: DataFrame, keys: list[str], stop_lookup: DataFrame, typed: bool
 ) -> DataFrame:
     # The lookup depends on the stop alone, so it is joined after grouping.
-    lists = pack(counted, keys, _ENTRY, page_rows=page_rows, newest="updateSec")
+    lists = pack(counted, keys, _ENTRY, newest="updateSec")
     board = join_stops(lists, stop_lookup, "stopId", typed=typed)
     return board.select(
         "stopId",
         "stopName",
         "stopLat",
         "stopLon",
-        *[k for k in keys if k != "stopId"],
+        *[k for k in keys if k not in ("stopId", "page")],
         "updateSec",
         "page",
-        "slice",
         F.to_json("entries", {"ignoreNullFields": "false"}).alias("info"),
     )
 
@@ -264,15 +270,14 @@ def stop_board_groups(
     entries: DataFrame,
     stop_lookup: DataFrame,
     *,
-    page_rows: int = PAGE_ROWS,
     typed: bool = False,
 ) -> DataFrame:
-    """Expected calls per stop and feed time, as a sorted JSON array ``info``.
+    """Expected calls per stop, feed time and page, as a sorted JSON array ``info``.
 
     Equal entries are one element with their number ``n``.
     """
-    keys = ["stopId", "updateTime"]
-    return _board_of(count_copies(entries, keys), keys, stop_lookup, page_rows, typed)
+    keys = ["stopId", "updateTime", "page"]
+    return _board_of(count_copies(entries, keys), keys, stop_lookup, typed)
 
 
 def stop_board_latest(
@@ -281,20 +286,19 @@ def stop_board_latest(
     *,
     group_by_time: bool = True,
     zone: str = DEFAULT_ZONE,
-    page_rows: int = PAGE_ROWS,
     typed: bool = False,
 ) -> DataFrame:
-    """The board by stop: of each stop's groups only the newest feed time.
+    """The board by stop and page: of each stop's groups only the newest feed time.
 
-    ``group_by_time=False`` lists all fresh trips of a stop together instead.
+    ``group_by_time=False`` lists all fresh trips of a stop together instead,
+    each page with its own newest feed time.
     """
     if not group_by_time:
-        board = _board_of(
-            count_copies(entries, ["stopId"]), ["stopId"], stop_lookup, page_rows, typed
-        )
+        keys = ["stopId", "page"]
+        board = _board_of(count_copies(entries, keys), keys, stop_lookup, typed)
         return board.withColumn("updateTime", local_time(F.col("updateSec"), zone))
     keys = ["stopId", "updateTime"]
-    counted = count_copies(entries, keys)
+    counted = count_copies(entries, [*keys, "page"])
     # The filter drops nothing; using ``n`` here lets both uses of ``counted``
     # share one aggregate.
     newest = counted.where(F.col("n") > 0).groupBy("stopId").agg(
@@ -302,7 +306,7 @@ def stop_board_latest(
     )
     newest = newest.select("stopId", F.col("_newest.updateTime").alias("updateTime"))
     last = join_same(counted, newest, keys, "inner")
-    return _board_of(last, keys, stop_lookup, page_rows, typed)
+    return _board_of(last, [*keys, "page"], stop_lookup, typed)
 
 
 def vehicle_archive(vehicles: DataFrame, *, zone: str = DEFAULT_ZONE) -> DataFrame:

@@ -4,7 +4,7 @@ No lookup carries a broadcast hint: it is broadcast when its size, known from
 the files or measured at run time, is under
 ``spark.sql.autoBroadcastJoinThreshold``, and is shuffled otherwise. The probe
 side of the shuffled form may be skewed; adaptive execution splits it, as the
-lookups have one row per key. The one hint here is behind a count (``matching``).
+lookups have one row per key.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 
 from fleetboard.functions.transit import SENTINEL, no_next_stop
 
-# Keys up to this many rows, some tens of megabytes, may be sent to every task.
-BROADCAST_ROWS = 500_000
-
 
 def join_same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
     """Equi-join on the named columns where NULL equals NULL."""
@@ -30,29 +27,25 @@ def join_same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: st
     return left.join(right, reduce(and_, matches), how).drop(*theirs.values())
 
 
-def matching(df: DataFrame, on: str, wanted: DataFrame, broadcast_rows: int) -> DataFrame | None:
-    """Rows of ``df`` whose ``on`` is among the values of ``wanted``'s only column.
+def with_probe(df: DataFrame, on: str, name: str = "_probe") -> DataFrame:
+    """``df`` with ``on`` as a join key, rows where it is NULL spread by their ``id``.
 
-    ``wanted`` is counted first, and sent to all tasks if it has at most
-    ``broadcast_rows`` rows. None if it has more: the caller then takes the way
-    that fits its data.
+    They match nothing, as no key begins with a zero character, but would
+    otherwise all be shuffled to one task.
     """
-    if df.isStreaming or wanted.isStreaming or wanted.count() > broadcast_rows:
-        return None
-    keys = wanted.toDF(on).where(F.col(on).isNotNull()).distinct()
-    return df.join(F.broadcast(keys), on, "left_semi")
+    return df.withColumn(name, F.coalesce(on, F.concat(F.lit("\0"), F.coalesce("id", F.lit("")))))
 
 
 def join_latest_trip(
-    vehicles: DataFrame, trips: DataFrame, sentinel: str | None = SENTINEL
+    vehicles: DataFrame, trips: DataFrame, sentinel: str | None = SENTINEL, *, on: str = "tripId"
 ) -> DataFrame:
-    """Vehicles left-joined with the state of their trip.
+    """Vehicles left-joined with the state of the trip named by ``on``.
 
     ``trips`` holds one row per ``tripId`` (``latest_trip_state``). A vehicle
     without a trip update gets the "no next stop" value.
     """
-    trips = trips.select("tripId", "startTime", "next")
-    return vehicles.join(trips, "tripId", "left").withColumn(
+    trips = trips.select(F.col("tripId").alias(on), "startTime", "next")
+    return vehicles.join(trips, on, "left").withColumn(
         "next", F.coalesce("next", no_next_stop(sentinel))
     )
 
@@ -60,12 +53,14 @@ def join_latest_trip(
 def join_trips(df: DataFrame, trip_lookup: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Add shapeId, routeName and tripHeadSign of the trip named by ``on``."""
     trips = trip_lookup.select(
-        F.col("trip_id").alias(on),
+        F.col("trip_id").alias("_probe"),
         F.col("shape_id").alias("shapeId"),
         F.col("route_short_name").alias("routeName"),
         F.col("trip_headsign").alias("tripHeadSign"),
     )
-    return df.join(trips, on, how)
+    if how != "left" or "id" not in df.columns or on == "_probe":
+        return df.join(trips.withColumnRenamed("_probe", on), on, how)
+    return with_probe(df, on).join(trips, "_probe", how).drop("_probe")
 
 
 def join_stops(

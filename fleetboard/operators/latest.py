@@ -47,10 +47,11 @@ def live_vehicles(
     """Latest row per vehicle, without those older than ``ttl_s``.
 
     A row of exactly that age stays. Age is tested first: a vehicle's newest
-    row is live whenever any of its rows is, and fewer rows are grouped.
+    row is live whenever any of its rows is, and fewer rows are grouped. Of rows
+    of the same second the last to arrive counts, by ``seq`` where present.
     """
     alive = updates.where(F.col(seconds) >= epoch_of(as_of) - ttl_s)
-    return latest_by_key(alive, key, seconds)
+    return latest_by_key(alive, key, [seconds, *(["seq"] if "seq" in updates.columns else [])])
 
 
 def within_service_hours(

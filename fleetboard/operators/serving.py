@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetboard.functions.transit import eta_minutes
-from fleetboard.operators.joins import BROADCAST_ROWS, matching
-from fleetboard.operators.paging import PAGE_ROWS, pack
+from fleetboard.operators.paging import PAGE_SIZE, pack, page_of
 
 
 def roster(live: DataFrame, *, null_as_zero: bool = True) -> DataFrame:
@@ -31,26 +32,25 @@ def feed_status(live: DataFrame) -> DataFrame:
     )
 
 
-def trip_stop_lists(stop_times: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Stops of each trip in calling order.
+def _repeated(entries: str, value: Callable[[Column], Column]) -> Column:
+    """``value`` of each entry as often as the entry counts."""
+    return F.flatten(F.transform(entries, lambda e: F.array_repeat(value(e), e["n"].cast("int"))))
+
+
+def trip_stop_lists(stop_times: DataFrame, *, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Stops of each trip in calling order, ``page_size`` sequence numbers a page.
 
     ``stops`` holds struct(stop_sequence, stop_id, n) with n copies counted;
-    ``stop_ids`` the ids alone. Very long trips continue on further pages.
+    ``stop_ids`` the ids alone, repeats included.
     """
     calls = stop_times.groupBy("trip_id", "stop_sequence", "stop_id").agg(F.count("*").alias("n"))
-    lists = pack(
-        calls,
-        ["trip_id"],
-        ["stop_sequence", "stop_id", "n"],
-        order="stop_sequence",
-        page_rows=page_rows,
-    )
+    paged = calls.withColumn("page", page_of("stop_sequence", page_size))
+    lists = pack(paged, ["trip_id"], ["stop_sequence", "stop_id", "n"])
     return lists.select(
         "trip_id",
         "page",
-        "slice",
         F.col("entries").alias("stops"),
-        F.col("entries.stop_id").alias("stop_ids"),
+        _repeated("entries", lambda e: e["stop_id"]).alias("stop_ids"),
     )
 
 
@@ -63,21 +63,20 @@ def _numeric_shapes(shapes: DataFrame) -> DataFrame:
     ).where("shape is not null")
 
 
-def route_shapes(shapes: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
+def route_shapes(shapes: DataFrame, *, page_size: int = PAGE_SIZE) -> DataFrame:
     """Path of each shape in point order, as coordinates and a GeoJSON Feature.
 
-    Shapes are keyed by the numeric value of their id. Very long paths continue
-    on further pages.
+    Shapes are keyed by the numeric value of their id; a page holds
+    ``page_size`` point numbers. Every row is a point, repeated ones too.
     """
-    points = _numeric_shapes(shapes).distinct()
+    points = _numeric_shapes(shapes).groupBy("shape", "point", "lon", "lat").agg(F.count("*").alias("n"))
     lists = pack(
-        points, ["shape"], ["point", "lon", "lat"], order="point", page_rows=page_rows
+        points.withColumn("page", page_of("point", page_size)), ["shape"], ["point", "lon", "lat", "n"]
     )
     path = lists.select(
         "shape",
         "page",
-        "slice",
-        F.transform("entries", lambda p: F.array(p["lon"], p["lat"])).alias("path"),
+        _repeated("entries", lambda p: F.array(p["lon"], p["lat"])).alias("path"),
     )
     geometry = F.struct(F.lit("LineString").alias("type"), F.col("path").alias("coordinates"))
     feature = F.struct(
@@ -89,19 +88,13 @@ def route_shapes(shapes: DataFrame, *, page_rows: int = PAGE_ROWS) -> DataFrame:
 
 
 def routes_in_use(
-    vehicles: DataFrame,
-    shapes: DataFrame,
-    *,
-    page_rows: int = PAGE_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    vehicles: DataFrame, shapes: DataFrame, *, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """``route_shapes`` of the shapes that vehicles on a board follow, each once."""
     used = vehicles.select(F.col("shapeId").try_cast("double").alias("_shape"))
     keyed = shapes.withColumn("_shape", F.col("shape_id").try_cast("double"))
-    points = matching(keyed, "_shape", used, broadcast_rows)
-    if points is None:
-        points = keyed.join(used.distinct(), "_shape", "left_semi")
-    return route_shapes(points.drop("_shape"), page_rows=page_rows)
+    points = keyed.join(used, "_shape", "left_semi")
+    return route_shapes(points.drop("_shape"), page_size=page_size)
 
 
 def _selected(vehicles: DataFrame, vehicle_id: str, column: str) -> DataFrame:
@@ -115,14 +108,14 @@ def _selected(vehicles: DataFrame, vehicle_id: str, column: str) -> DataFrame:
 
 
 def vehicle_route(
-    vehicles: DataFrame, shapes: DataFrame, vehicle_id: str, *, page_rows: int = PAGE_ROWS
+    vehicles: DataFrame, shapes: DataFrame, vehicle_id: str, *, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """Route path of the selected vehicle; no row when its shape is unknown."""
     selected = _selected(vehicles, vehicle_id, "shapeId")
     selected = selected.select(F.col("shapeId").try_cast("double").alias("_shape"))
     keyed = shapes.withColumn("_shape", F.col("shape_id").try_cast("double"))
     points = keyed.join(selected, "_shape", "left_semi").drop("_shape")
-    routes = route_shapes(points, page_rows=page_rows)
+    routes = route_shapes(points, page_size=page_size)
     return routes.select(F.lit(vehicle_id).alias("id"), *routes.columns)
 
 

@@ -115,6 +115,5 @@ STOP_BOARD = _of(
     updateTime=STR,
     updateSec=LONG,
     page=LONG,
-    slice=LONG,
     info=STR,
 )

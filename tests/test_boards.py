@@ -141,19 +141,73 @@ def test_archive(spark):
     assert (row.routeId, row.bearing, row.vehicleLabel) == ("810", 225.0, "4711")
 
 
-def test_many_vehicles_take_the_unnarrowed_way(spark):
+def _inputs(spark):
     vehicles = [vehicle(f"v{i}", f"T{i % 3}") for i in range(9)] + [vehicle("n", None)]
     trips = [long_trip("T1"), long_trip("T2"), long_trip("T8")]
-    assert _board(spark, vehicles, trips, broadcast_rows=0) == _board(spark, vehicles, trips)
+    return (
+        parse_vehicle(messages(spark, vehicles)),
+        parse_trip_update(messages(spark, trips)),
+        trip_lookup(spark, ("T1", "700", "L", "EAST")),
+        stop_lookup(spark, ("s11", "Eleven")),
+    )
+
+
+def test_building_the_board_starts_no_job(spark):
+    inputs = _inputs(spark)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        board = O.vehicle_board(*inputs, as_of=NOW)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert board.count() == 10
+
+
+def test_vehicles_without_trip_are_not_dealt_to_one_task(spark):
+    vehicles = [vehicle(f"v{i}", None) for i in range(40)]
+    state = O.vehicle_state(parse_vehicle(messages(spark, vehicles)), as_of=NOW)
+    keys = O.with_probe(state, "tripId").select("_probe").distinct()
+    assert keys.count() == 40
 
 
 def test_pages_of_a_busy_stop_hold_all_its_calls(spark):
-    trips = [trip_update("T1", [stop(i, "a", NOW + i) for i in range(300)] + [stop(301, "b", NOW)])]
+    calls = [stop(i, "a", NOW + i) for i in range(300)] + [stop(301, "b", NOW)]
     stops = stop_lookup(spark, ("a", "A"))
-    rows = O.stop_board_latest(_entries(spark, trips), stops, page_rows=20).collect()
-    busy = [r for r in rows if r.stopId == "a"]
-    assert len(busy) > 10 and all(r.stopName == "A" for r in busy)
-    assert len({r["slice"] for r in busy}) == len(busy)
-    calls = [e["arrivalTime"] for r in busy for e in json.loads(r.info)]
-    assert len(calls) == len(set(calls)) == 300
-    assert [(r.page, r["slice"]) for r in rows if r.stopId == "b"] == [(0, 0)]
+
+    def pages(calls):
+        entries = _entries(spark, [trip_update("T1", calls)], page_s=20)
+        rows = O.stop_board_latest(entries, stops).collect()
+        return {(r.stopId, r.page): r for r in rows}
+
+    rows = pages(calls)
+    busy = [r for (s, _), r in rows.items() if s == "a"]
+    assert len(busy) in (15, 16) and all(r.stopName == "A" for r in busy)
+    found = [e["arrivalTime"] for r in busy for e in json.loads(r.info)]
+    assert len(found) == len(set(found)) == 300
+    # Further calls of the stop move no other row.
+    more = pages([*calls, *[stop(400 + i, "a", NOW + 2000 + i) for i in range(500)]])
+    assert {k: more[k] for k in rows} == rows
+
+
+def test_options_of_the_next_stop_hold_for_the_calls(spark):
+    arrives = parse_trip_update(messages(spark, [trip_update("T1", [stop(1, "a", arrival=NOW + 5, arrival_delay=-60)])]))
+    sizes = [
+        len(O.trip_state(arrives, calls=True, **options).first().calls)
+        for options in ({}, {"use_arrival": True}, {"use_arrival": True, "add_delay": False})
+    ]
+    assert sizes == [0, 0, 1]
+
+
+def test_the_wall_clock_is_now_by_default(spark):
+    import time
+
+    now = int(time.time())
+    events = [vehicle("new", "T1", now - 5), vehicle("old", "T1", now - 400)]
+    trips = [trip_update("T1", [stop(1, "a", now + 500)], now)]
+    read = parse_vehicle(messages(spark, events)), parse_trip_update(messages(spark, trips))
+    lookups = trip_lookup(spark, ("T1", "700", "L", "EAST")), stop_lookup(spark, ("a", "A"))
+    (row,) = O.vehicle_board(*read, *lookups).collect()
+    assert row.id == "new" and row.nextStopName == "A" and row.ingestionTime is not None
+    entries = O.stop_entries(read[1], lookups[0])
+    assert O.stop_board_latest(entries, lookups[1]).first().stopName == "A"
+    assert O.live_vehicles(O.vehicle_state(read[0], horizon_s=None)).count() == 1

@@ -9,6 +9,7 @@ from fleetboard.functions import (
     local_time,
     next_stop,
 )
+from fleetboard.functions.transit import MAX_LOOKAHEAD
 from fleetboard.operators import calls_of
 from fleetboard.sources import parse_trip_update
 
@@ -28,13 +29,12 @@ def test_next_stop_of_a_long_trip(spark):
     assert _next(spark, long_trip(), null_delay_as_zero=True) == ("39", "s11", 15, None)
 
 
-def test_only_twenty_entries_are_looked_at(spark):
+def test_all_entries_are_looked_at_unless_limited(spark):
     stops = [stop(i, f"s{i}", NOW + (100 if i > 20 else -100)) for i in range(1, 26)]
     event = trip_update("T", stops)
-    assert _next(spark, event) == ("0", "0", 0, None)
-    assert _next(spark, event, sentinel=None) == (None, None, None, None)
-    assert _next(spark, event, max_lookahead=25)[:2] == ("21", "s21")
-    assert _next(spark, event, max_lookahead=None)[:2] == ("21", "s21")
+    assert _next(spark, event)[:2] == ("21", "s21")
+    assert _next(spark, event, max_lookahead=MAX_LOOKAHEAD) == ("0", "0", 0, None)
+    assert _next(spark, event, max_lookahead=MAX_LOOKAHEAD, sentinel=None) == (None, None, None, None)
 
 
 @pytest.mark.parametrize("stops", [None, []])

@@ -5,7 +5,7 @@ from feeds import NOW
 from pyspark.sql import functions as F
 
 from fleetboard import operators as O
-from fleetboard.operators import pack
+from fleetboard.operators import pack, page_of
 
 
 def _live(spark, *rows):
@@ -71,7 +71,7 @@ def test_trip_stop_lists(spark):
     rows = [("T", "c", 3), ("T", "a", 1), ("T", "b", 2), ("T", "b", 2), ("U", "z", None)]
     df = spark.createDataFrame(rows, "trip_id string, stop_id string, stop_sequence bigint")
     got = {r.trip_id: r for r in O.trip_stop_lists(df).collect()}
-    assert got["T"].stop_ids == ["a", "b", "c"] and [s.n for s in got["T"].stops] == [1, 2, 1]
+    assert got["T"].stop_ids == ["a", "b", "b", "c"] and [s.n for s in got["T"].stops] == [1, 2, 1]
     assert got["U"].stop_ids == ["z"]
 
 
@@ -91,9 +91,7 @@ def test_route_shapes_and_selected_route(spark):
     live = _live(spark, ("v", NOW, "T", "7.0"), ("w", NOW, "T", "9"), ("u", NOW, "T", None))
     assert [(r.id, r["shape"]) for r in O.vehicle_route(live, shapes, "v").collect()] == [("v", 7.0)]
     assert O.vehicle_route(live, shapes, "w").count() == 0
-    for rows in (0, 100):  # the shuffled and the broadcast way
-        used = O.routes_in_use(live, shapes, broadcast_rows=rows)
-        assert [r["shape"] for r in used.collect()] == [7.0]
+    assert [r["shape"] for r in O.routes_in_use(live, shapes).collect()] == [7.0]
 
 
 def test_flag_trip_stops(spark):
@@ -108,35 +106,73 @@ def test_flag_trip_stops(spark):
     assert flags("w") == flags(None) == flags("nobody") == {"a": False, "b": False}
 
 
-def _hot_rows(spark):
-    rows = [("hot", i, f"p{i}") for i in range(1000)] + [("hot", 7, f"q{i}") for i in range(300)]
-    rows += [(None, i, "n") for i in range(120)] + [("cold", i, "c") for i in range(50)]
+def _rows(spark):
+    rows = [("hot", i, f"p{i}") for i in range(1000)] + [("hot", 7, f"q{i}") for i in range(30)]
+    rows += [(None, i, "n") for i in range(120)] + [("cold", i, "c") for i in range(50)] + [("cold", None, "x")]
     random.Random(1).shuffle(rows)
     return rows, spark.createDataFrame(rows, "k string, pos bigint, v string")
 
 
-def test_pack_splits_large_groups_and_keeps_every_row(spark):
-    rows, df = _hot_rows(spark)
-    for order in (None, "pos"):
-        lists = pack(df, ["k"], ["pos", "v"], order=order, page_rows=50).collect()
-        got = [(r.k, e.pos, e.v) for r in lists for e in r.entries]
-        assert sorted(got, key=repr) == sorted(rows, key=repr)
-        assert max(len(r.entries) for r in lists) <= 100
-        assert [(r.page, r.slice) for r in lists if r.k == "cold"] == [(0, 0)]
-        assert len({(r.k, r.page, r.slice) for r in lists}) == len(lists)
-        for r in lists:
-            assert [(e.pos, e.v) for e in r.entries] == sorted((e.pos, e.v) for e in r.entries)
+def _packed(df):
+    return pack(df.withColumn("page", page_of("pos", 50)), ["k"], ["pos", "v"]).collect()
 
 
-def test_ordered_pages_hold_consecutive_ranges(spark):
-    _, df = _hot_rows(spark)
-    lists = pack(df, ["k"], ["pos", "v"], order="pos", page_rows=50).where("k = 'hot'").collect()
+def test_pack_keeps_every_row_in_order(spark):
+    rows, df = _rows(spark)
+    lists = _packed(df)
+    assert sorted(((r.k, e.pos, e.v) for r in lists for e in r.entries), key=repr) == sorted(rows, key=repr)
+    assert len({(r.k, r.page) for r in lists}) == len(lists)
     for r in lists:
-        assert all(e.pos // 50 == r.page for e in r.entries)
-    assert {r.page for r in lists if r.slice > 0} == {0}  # only the range with repeats
+        assert [(e.pos, e.v) for e in r.entries] == sorted(((e.pos, e.v) for e in r.entries), key=lambda x: (x[0] is not None, x))
+        assert all((-1 if e.pos is None else e.pos // 50) == r.page for e in r.entries)
+    assert sorted(r.page for r in lists if r.k == "cold") == [-1, 0]
 
 
-def test_small_groups_are_one_list(spark):
-    rows, df = _hot_rows(spark)
-    lists = pack(df, ["k"], ["pos", "v"], order="pos").collect()
-    assert {r.k: len(r.entries) for r in lists} == {"hot": 1300, None: 120, "cold": 50}
+def test_further_rows_move_no_other_row(spark):
+    _, df = _rows(spark)
+    before = {(r.k, r.page): r for r in _packed(df)}
+    more = spark.createDataFrame([("cold", 5000 + i, "z") for i in range(5000)], df.schema)
+    after = {(r.k, r.page): r for r in _packed(df.unionAll(more))}
+    assert {k: after[k] for k in before} == before
+
+
+def _shape(spark, *rows):
+    return spark.createDataFrame(
+        list(rows), "shape_id string, shape_pt_lon double, shape_pt_lat double, shape_pt_sequence bigint"
+    )
+
+
+def test_pages_of_a_path_joined_in_order_are_the_path(spark):
+    rng = random.Random(4)
+    points = [(rng.random(), rng.random()) for _ in range(40)]
+    shapes = _shape(spark, *[("5", *p, i) for i, p in enumerate(points)]).repartition(4)
+    pages = sorted(O.route_shapes(shapes, page_size=7).collect(), key=lambda r: r.page)
+    assert [tuple(p) for r in pages for p in r.path] == points and len(pages) == 6
+
+
+def test_repeated_points_stay(spark):
+    closed = _shape(spark, ("1", 0.0, 0.0, None), ("1", 1.0, 0.0, None), ("1", 0.0, 0.0, None))
+    (row,) = O.route_shapes(closed).collect()
+    assert sorted(map(tuple, row.path)) == [(0.0, 0.0), (0.0, 0.0), (1.0, 0.0)]
+
+
+def test_a_tie_falls_to_the_last_to_arrive(spark):
+    rows = [("v", NOW, "zz", 1), ("v", NOW, "aa", 2)]
+    df = spark.createDataFrame(rows, "id string, updateSec bigint, tripId string, seq bigint")
+    assert O.live_vehicles(df, as_of=NOW).first().tripId == "aa"
+
+
+def _shuffles(spark, df):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shows reuse in the plan
+    try:
+        plan = df()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    return sum(" Exchange " in line or line.strip().startswith("Exchange") for line in plan.splitlines())
+
+
+def test_lists_need_two_shuffles(spark):
+    times = spark.createDataFrame([("T", "a", 1)], "trip_id string, stop_id string, stop_sequence bigint")
+    assert _shuffles(spark, lambda: O.trip_stop_lists(times)) <= 2
+    assert _shuffles(spark, lambda: O.route_shapes(_shape(spark, ("1", 0.0, 0.0, 1)))) <= 2
