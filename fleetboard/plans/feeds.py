@@ -34,9 +34,17 @@ def since(column: str, seconds: int) -> Column:
     return F.col(column) >= F.lit(f"{first}").cast("timestamp_ntz")
 
 
+# Added to the number of one trip in seven, which the lookup then does not have.
+UNKNOWN_TRIPS = 1_000_000_000
+
+
+def _trip_id(number: Column) -> Column:
+    return F.when(number % 7 == 0, number + UNKNOWN_TRIPS).otherwise(number).cast("string")
+
+
 def positions(events: DataFrame) -> DataFrame:
-    """Vehicle position events; one in 17 is on no trip."""
-    trip_id = (F.col("user_id") * 10 + F.dayofmonth("ts") % 10).cast("string")
+    """Vehicle position events; one in 17 is on no trip, one in seven on an unknown one."""
+    trip_id = _trip_id(F.col("user_id") * 10 + F.dayofmonth("ts") % 10)
     nothing = F.lit(None).cast("string")
     trip = F.struct(
         trip_id.alias("tripId"),
@@ -108,16 +116,20 @@ def _stop_lists(rows: DataFrame) -> DataFrame:
     return rows.withColumn("stopTimeUpdate", F.slice(entries, 1, n))
 
 
-def trip_updates(lineitem: DataFrame) -> DataFrame:
-    """Trip update events; a trip (order) has one update per line item."""
-    nothing = F.lit(None).cast("string")
-    feed = (
+def feed_time() -> Column:
+    """Feed time of a line item's update, hours after its ship date."""
+    return (
         epoch_seconds(F.col("l_shipdate"))
         + F.col("l_linenumber").cast("bigint") * 3600
         + F.col("l_partkey") % 3600
     )
-    rows = _stop_lists(lineitem.withColumns({"feed": feed, "n": F.col("l_partkey") % 23}))
-    trip_id = F.col("l_orderkey").cast("string")
+
+
+def trip_updates(lineitem: DataFrame) -> DataFrame:
+    """Trip update events; a trip (order) has one update per line item."""
+    nothing = F.lit(None).cast("string")
+    rows = _stop_lists(lineitem.withColumns({"feed": feed_time(), "n": F.col("l_partkey") % 23}))
+    trip_id = _trip_id(F.col("l_orderkey"))
     minute = F.lpad((F.col("l_partkey") % 60).cast("string"), 2, "0")
     trip = F.struct(
         trip_id.alias("tripId"),
@@ -140,8 +152,8 @@ def trip_updates(lineitem: DataFrame) -> DataFrame:
 
 
 def trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips lookup; one order in seven is unknown to it."""
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 != 0)
+    """Trips lookup, one trip per order."""
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").cast("string").alias("trip_id"),
@@ -152,16 +164,12 @@ def trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stops lookup; one supplier in eleven is unknown to it."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .where(F.col("s_suppkey") % 11 != 0)
-        .select(
-            F.col("s_suppkey").cast("string").alias("stop_id"),
-            F.col("s_name").alias("stop_name"),
-            F.col("s_nationkey").cast("string").alias("stop_lat"),
-            (-F.col("s_nationkey")).cast("string").alias("stop_lon"),
-        )
+    """Stops lookup, one stop per supplier; trips call at further ones, too."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("stop_id"),
+        F.col("s_name").alias("stop_name"),
+        F.col("s_nationkey").cast("string").alias("stop_lat"),
+        (-F.col("s_nationkey")).cast("string").alias("stop_lon"),
     )
 
 

@@ -5,6 +5,7 @@ The leading CTEs rebuild the transit-shaped views of ``feeds.py``.
 
 from __future__ import annotations
 
+from fleetboard.operators.paging import PAGE_SECONDS, PAGE_SIZE
 from fleetboard.plans.queries import POS_HORIZON, POS_NOW, SELECTED, TRIP_HORIZON, TRIP_NOW
 
 
@@ -12,10 +13,18 @@ def _local(seconds: str, zone: str = "America/Chicago") -> str:
     return f"strftime(timezone('{zone}', to_timestamp({seconds})), '%Y-%m-%d %H:%M:%S')"
 
 
+def _trip(number: str) -> str:
+    return f"CAST(CASE WHEN {number} % 7 = 0 THEN {number} + 1000000000 ELSE {number} END AS VARCHAR)"
+
+
+def _page(number: str, size: int) -> str:
+    return f"CAST(coalesce(floor({number} / {size}), -1) AS BIGINT) AS page"
+
+
 VIEWS = f"""
 pos AS (
   SELECT CAST(user_id AS VARCHAR) AS id,
-         CASE WHEN event_id % 17 <> 0 THEN CAST(user_id * 10 + day(ts) % 10 AS VARCHAR) END AS trip_id,
+         CASE WHEN event_id % 17 <> 0 THEN {_trip("(user_id * 10 + day(ts) % 10)")} END AS trip_id,
          CASE WHEN event_id % 17 <> 0 THEN strftime(ts, '%Y%m%d') END AS start_date,
          CASE WHEN event_id % 17 <> 0 THEN event_type END AS route_id,
          CAST(CAST(value AS FLOAT) AS DOUBLE) AS lat, CAST(CAST(-value AS FLOAT) AS DOUBLE) AS lon,
@@ -23,7 +32,7 @@ pos AS (
          CAST(floor(epoch(ts)) AS BIGINT) AS ts_sec, event_id % 101 AS pct, event_id AS seq
   FROM events),
 upd AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS id,
+  SELECT {_trip("l_orderkey")} AS id,
          CAST(epoch(l_shipdate) AS BIGINT) + l_linenumber * 3600 + l_partkey % 3600 AS ts_sec,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS seq,
          '0' || l_linenumber || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') || ':00' AS start_time,
@@ -40,16 +49,16 @@ stu AS (
 trips AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS shape_id,
          o_orderpriority AS route, c_mktsegment AS headsign
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 <> 0),
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 stops AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS stop_id, s_name AS stop_name,
          CAST(s_nationkey AS VARCHAR) AS lat, CAST(-s_nationkey AS VARCHAR) AS lon
-  FROM supplier WHERE s_suppkey % 11 <> 0),
+  FROM supplier),
 calls AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_suppkey AS VARCHAR) AS stop_id,
          CAST(l_linenumber AS BIGINT) AS stop_sequence FROM lineitem),
 points AS (
-  SELECT CAST(o_custkey AS DOUBLE) AS shape, o_orderkey AS pt,
+  SELECT CAST(o_custkey AS DOUBLE) AS shape, o_orderkey AS pt, {_page("o_orderkey", PAGE_SIZE)},
          o_orderkey % 360 - 180 AS lon, o_orderkey % 180 - 90 AS lat FROM orders)"""
 
 LATEST = """
@@ -60,10 +69,11 @@ lupd AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_sec DESC, seq DESC) AS rn FROM upd)
   WHERE rn = 1)"""
 
-NEXT = """
+def _next(looked_at: str = "") -> str:
+    return f"""
 ahead AS (
   SELECT s.id, s.ts_sec, s.seq, min(s.idx) AS idx FROM stu s JOIN lupd u USING (id, ts_sec, seq)
-  WHERE s.idx <= 20 AND NOT s.arrival_only AND s.t + coalesce(s.d, 0) >= s.ts_sec GROUP BY ALL),
+  WHERE {looked_at} NOT s.arrival_only AND s.t + coalesce(s.d, 0) >= s.ts_sec GROUP BY ALL),
 nxt AS (
   SELECT u.id, u.start_time, u.ts_sec,
          CASE WHEN a.idx IS NULL THEN '0' ELSE CAST(a.idx AS VARCHAR) END AS stop_sequence,
@@ -74,6 +84,9 @@ nxt AS (
   LEFT JOIN stu c ON c.id = u.id AND c.ts_sec = u.ts_sec AND c.seq = u.seq AND c.idx = a.idx
   LEFT JOIN stu f ON f.id = u.id AND f.ts_sec = u.ts_sec AND f.seq = u.seq AND f.idx = 1 AND NOT f.arrival_only)"""
 
+
+NEXT = _next()
+
 BOARD = f"""
 board AS (
   SELECT p.id, p.trip_id AS "tripId", t.shape_id AS "shapeId", t.route AS "routeName",
@@ -100,7 +113,7 @@ def _entries(source: str) -> str:
 entries AS (
   SELECT s.stop_id AS "stopId", {_local("s.ts_sec")} AS "updateTime", s.ts_sec AS "updateSec", s.id,
          t.route AS "routeName", t.headsign AS "tripHeadSign", {_local("s.t")} AS "arrivalTime",
-         CAST(s.d AS VARCHAR) AS delay
+         CAST(s.d AS VARCHAR) AS delay, {_page("s.t", PAGE_SECONDS)}
   FROM stu s JOIN {source} u USING (id, ts_sec, seq) JOIN trips t ON s.id = t.trip_id
   WHERE NOT s.arrival_only AND s.t + coalesce(s.d, 0) >= s.ts_sec AND {TRIP_NOW} - s.ts_sec < {TRIP_HORIZON})"""
 
@@ -120,11 +133,11 @@ _INFO = """
 
 _GROUPS = f"""
 groups AS (
-  SELECT "stopId", "updateTime", max("updateSec") AS "updateSec", {_INFO}
-  FROM counted GROUP BY "stopId", "updateTime")"""
+  SELECT "stopId", "updateTime", page, max("updateSec") AS "updateSec", {_INFO}
+  FROM counted GROUP BY "stopId", "updateTime", page)"""
 
 _BOARD_COLUMNS = """g."stopId", s.stop_name AS "stopName", s.lat AS "stopLat", s.lon AS "stopLon",
-       g."updateTime", g."updateSec", g.info"""
+       g."updateTime", g."updateSec", g.page, g.info"""
 
 _ONE_PER_TRIP = [VIEWS, LATEST, _entries("lupd")]
 
@@ -143,8 +156,9 @@ _PATH = """string_agg(CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR), ' ' O
 _VEHICLE_BOARD = _sql("SELECT * FROM board", VIEWS, LATEST, NEXT, BOARD)
 _STOP_BOARD = _sql(
     f"""SELECT {_BOARD_COLUMNS} FROM groups g LEFT JOIN stops s ON g."stopId" = s.stop_id
-QUALIFY row_number() OVER (PARTITION BY g."stopId" ORDER BY g."updateSec" DESC, g."updateTime" DESC) = 1""",
-    *_ONE_PER_TRIP, _counted('"stopId", "updateTime"'), _GROUPS,
+QUALIFY g."updateTime" = first_value(g."updateTime") OVER (
+  PARTITION BY g."stopId" ORDER BY g."updateSec" DESC, g."updateTime" DESC)""",
+    *_ONE_PER_TRIP, _counted('"stopId", "updateTime", page'), _GROUPS,
 )
 _LIVE = _sql(
     f"SELECT {_POSITION} FROM lpos WHERE {POS_NOW} - ts_sec <= {POS_HORIZON - 1}", VIEWS, LATEST
@@ -165,6 +179,18 @@ FROM upd u LEFT JOIN stu s ON s.id = u.id AND s.ts_sec = u.ts_sec AND s.seq = u.
     "explode_feed_messages": """SELECT '{"id":"' || (user_id + i) || '"}' AS key,
        '{"id":"' || (user_id + i) || '","vehicle":{"timestamp":"' || event_id || '"}}' AS value
 FROM (SELECT *, unnest(range(event_id % 5)) AS i FROM events)""",
+    "explode_feed_quarantine": """SELECT event_id AS seq, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 2 END AS messages,
+       CASE WHEN event_id % 5 = 0 THEN 'bad' ELSE 'good' END AS fate FROM events""",
+    "lookup_csv": _sql(
+        """SELECT 'trip' AS kind, trip_id AS id, headsign AS name, shape_id AS more FROM trips
+UNION ALL SELECT 'stop', stop_id, stop_name, lat FROM stops""",
+        VIEWS,
+    ),
+    "archive_by_date": _sql(
+        f"""SELECT id, trip_id AS "tripId", strftime(strptime(start_date, '%Y%m%d'), '%Y-%m-%d') AS "startDate",
+       {_local("ts_sec")} AS "updateTime", event_type AS "occupancyStatus" FROM pos""",
+        VIEWS,
+    ),
     "latest_vehicle": _sql(f"SELECT {_POSITION} FROM lpos", VIEWS, LATEST),
     "latest_trip_update": _sql(
         'SELECT id, ts_sec AS "feedSec", seq, start_time AS "startTime", n AS stops FROM lupd',
@@ -188,6 +214,11 @@ WHERE NOT arrival_only AND t + coalesce(d, 0) >= ts_sec""",
        stop_id AS "stopId", approach AS "approachSec", delay FROM nxt""",
         VIEWS, LATEST, NEXT,
     ),
+    "next_stop_first20": _sql(
+        """SELECT id, start_time AS "startTime", ts_sec AS "feedSec", stop_sequence AS "stopSequence",
+       stop_id AS "stopId", approach AS "approachSec", delay FROM nxt""",
+        VIEWS, LATEST, _next("s.idx <= 20 AND"),
+    ),
     "next_stop_options": _sql(
         """SELECT u.id, u.ts_sec AS "feedSec", u.seq, CAST(a.idx AS VARCHAR) AS "stopSequence", a.stop_id AS "stopId",
        a.t + coalesce(a.d, 0) - a.ts_sec AS "approachSec",
@@ -224,17 +255,18 @@ WHERE hour(timezone('America/Chicago', to_timestamp(ts_sec))) BETWEEN 5 AND 23""
     "vehicle_board": _VEHICLE_BOARD,
     "board_upserts": _VEHICLE_BOARD,
     "stream_vehicle_board": _VEHICLE_BOARD,
+    "snapshot_to_boards": _VEHICLE_BOARD,
     "stop_board_groups": _sql(
         f"""SELECT {_BOARD_COLUMNS} FROM groups g LEFT JOIN stops s ON g."stopId" = s.stop_id""",
-        *_ONE_PER_TRIP, _counted('"stopId", "updateTime"'), _GROUPS,
+        *_ONE_PER_TRIP, _counted('"stopId", "updateTime", page'), _GROUPS,
     ),
     "stop_board_latest": _STOP_BOARD,
     "stream_stop_board": _STOP_BOARD,
     "stop_board_merged": _sql(
         f"""SELECT {_BOARD_COLUMNS} FROM (
-  SELECT "stopId", max("updateSec") AS "updateSec", {_local('max("updateSec")')} AS "updateTime", {_INFO}
-  FROM counted GROUP BY "stopId") g LEFT JOIN stops s ON g."stopId" = s.stop_id""",
-        *_ONE_PER_TRIP, _counted('"stopId"'),
+  SELECT "stopId", page, max("updateSec") AS "updateSec", {_local('max("updateSec")')} AS "updateTime", {_INFO}
+  FROM counted GROUP BY "stopId", page) g LEFT JOIN stops s ON g."stopId" = s.stop_id""",
+        *_ONE_PER_TRIP, _counted('"stopId", page'),
     ),
     "stop_board_multiplicity": _COUNTS,
     "stream_stop_counts": _COUNTS,
@@ -250,6 +282,7 @@ WHERE hour(timezone('America/Chicago', to_timestamp(ts_sec))) BETWEEN 5 AND 23""
 WHERE rn = 1 AND event_type <> 'error'""",
     "live_vehicles": _LIVE,
     "stream_live_vehicles": _LIVE,
+    "relay_rows": _LIVE,
     "roster": _sql(
         """SELECT id, "routeName", "startTime", "tripHeadSign", "nextStopName",
        CAST(ceil(coalesce("nextStopApproachSec", 0) / 60.0) AS BIGINT) AS "etaMinutes" FROM board ORDER BY id""",
@@ -266,27 +299,28 @@ FROM lpos WHERE {POS_NOW} - ts_sec <= {POS_HORIZON - 1}""",
         VIEWS, LATEST,
     ),
     "trip_stop_lists": _sql(
-        """SELECT trip_id, string_agg(stop_id, ',' ORDER BY stop_sequence, stop_id) AS stop_ids,
+        f"""SELECT trip_id, page, string_agg(repeat(stop_id || ',', n - 1) || stop_id, ',' ORDER BY stop_sequence, stop_id) AS stop_ids,
        CAST(to_json(list(struct_pack(stop_sequence := stop_sequence, stop_id := stop_id, n := n)
                     ORDER BY stop_sequence, stop_id)) AS VARCHAR) AS stops
-FROM (SELECT trip_id, stop_sequence, stop_id, count(*) AS n FROM calls GROUP BY ALL) GROUP BY trip_id""",
+FROM (SELECT trip_id, stop_sequence, stop_id, {_page("stop_sequence", PAGE_SIZE)}, count(*) AS n FROM calls GROUP BY ALL)
+GROUP BY trip_id, page""",
         VIEWS,
     ),
     "route_shapes": _sql(
-        f"""SELECT shape, {_PATH},
+        f"""SELECT shape, page, {_PATH},
        '{{"type":"Feature","properties":{{}},"geometry":{{"type":"LineString","coordinates":[' ||
        string_agg('[' || lon || '.0,' || lat || '.0]', ',' ORDER BY pt) || ']}}}}' AS feature
-FROM points GROUP BY shape""",
+FROM points GROUP BY shape, page""",
         VIEWS,
     ),
     "routes_in_use": _sql(
-        f"""SELECT shape, {_PATH} FROM points
-WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed) GROUP BY shape""",
+        f"""SELECT shape, page, {_PATH} FROM points
+WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed) GROUP BY shape, page""",
         VIEWS, LATEST, PLACED,
     ),
     "vehicle_route": _sql(
-        f"""SELECT '{SELECTED}' AS id, shape, {_PATH} FROM points
-WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed WHERE id = '{SELECTED}') GROUP BY shape""",
+        f"""SELECT '{SELECTED}' AS id, shape, page, {_PATH} FROM points
+WHERE shape IN (SELECT CAST("shapeId" AS DOUBLE) FROM placed WHERE id = '{SELECTED}') GROUP BY shape, page""",
         VIEWS, LATEST, PLACED,
     ),
     "flag_trip_stops": _sql(

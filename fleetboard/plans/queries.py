@@ -9,18 +9,29 @@ from pyspark.sql import functions as F
 
 from fleetboard import schemas as S
 from fleetboard.functions import eta_minutes, iso_date, local_time
+from fleetboard.functions.transit import MAX_LOOKAHEAD
 from fleetboard import operators as O
 from fleetboard.operators import boards as B
 from fleetboard.plans import feeds as V
-from fleetboard.sinks import append_changes, read_board, read_changes, to_upsert
+from fleetboard.sinks import append_changes, read_board, read_changes, to_upsert, write_archive
 from fleetboard.sources import (
     entity_json,
     explode_feed,
     parse_trip_update,
     parse_vehicle,
+    read_stop_lookup,
+    read_trip_lookup,
     split_corrupt,
+    with_rowtime,
+)
+from fleetboard.streaming import (
+    BoardJob,
+    join_trip_stream,
+    relay,
+    run_boards,
+    shared_folder,
+    write_latest,
 )
-from fleetboard.streaming import BoardJob, join_trip_stream, run_boards, shared_folder, write_latest
 
 # "Now" and horizon of the vehicle queries (events end 2024-01-30).
 POS_NOW, POS_HORIZON = 1706659200, 86400
@@ -49,8 +60,7 @@ def _positions(spark: SparkSession, d: str, newer_than: int | None = None) -> Da
 def _updates(spark: SparkSession, d: str, newer_than: int | None = None) -> DataFrame:
     lineitem = V.table(spark, d, "lineitem")
     if newer_than is not None:
-        # The feed time is up to 8 hours after the ship date.
-        lineitem = lineitem.where(V.since("l_shipdate", newer_than - 8 * 3600))
+        lineitem = lineitem.where(V.feed_time() > newer_than)
     return V.trip_updates(lineitem)
 
 
@@ -148,7 +158,44 @@ def explode_feed_messages(spark: SparkSession, d: str) -> DataFrame:
     snapshots = V.table(spark, d, "events").select(
         F.to_json(F.struct(entity.alias("entity"))).alias("value")
     )
-    return explode_feed(snapshots)
+    return explode_feed(snapshots)[0]
+
+
+@query
+def explode_feed_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots of two entities, every fifth cut short: how many messages each gives, and which are bad."""
+    events = V.table(spark, d, "events")
+    entity = F.concat(F.lit('{"id":"'), F.col("user_id").cast("string"), F.lit('"}'))
+    text = F.concat(F.lit('{"entity":['), entity, F.lit(","), entity, F.lit("]}"))
+    cut = F.when(F.col("event_id") % 5 == 0, F.substr(text, F.lit(1), F.length(text) - 3)).otherwise(text)
+    good, bad = explode_feed(events.select(F.col("event_id").alias("seq"), cut.alias("value")))
+    counted = good.groupBy("seq").agg(F.count("*").alias("messages"), F.lit("good").alias("fate"))
+    return counted.unionByName(bad.select("seq", F.lit(0).cast("bigint").alias("messages"), F.lit("bad").alias("fate")))
+
+
+def _written(spark: SparkSession, purpose: str, name: str) -> str:
+    return f"{shared_folder(spark, purpose)}/{name}"
+
+
+def _with_columns_of(df: DataFrame, names: list[str]) -> DataFrame:
+    absent = F.lit(None).cast("string")
+    return df.select(*[(F.col(n) if n in df.columns else absent).alias(n) for n in names])
+
+
+@query
+def lookup_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Lookups through CSV files: trips by position, stops by header names in another order."""
+    trips, stops = (_written(spark, "lookups", n) for n in ("trips", "stops"))
+    _with_columns_of(V.trip_lookup(spark, d), S.TRIP_LOOKUP.names).write.csv(trips)
+    turned = _with_columns_of(V.stop_lookup(spark, d), S.STOP_LOOKUP.names[::-1])
+    turned.write.option("header", True).csv(stops)
+    of_trips = read_trip_lookup(spark, trips).select(
+        F.lit("trip").alias("kind"), F.col("trip_id").alias("id"), F.col("trip_headsign").alias("name"), F.col("shape_id").alias("more")
+    )
+    of_stops = read_stop_lookup(spark, stops, header=True).select(
+        F.lit("stop").alias("kind"), F.col("stop_id").alias("id"), F.col("stop_name").alias("name"), F.col("stop_lat").alias("more")
+    )
+    return of_trips.unionByName(of_stops)
 
 
 @query
@@ -224,12 +271,19 @@ def next_stop(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def next_stop_first20(spark: SparkSession, d: str) -> DataFrame:
+    """The next stop among the first 20 entries only."""
+    return O.latest_trip_state(_updates(spark, d), max_lookahead=MAX_LOOKAHEAD).select(
+        F.col("tripId").alias("id"), "startTime", "feedSec", "next.*"
+    )
+
+
 @query
 def next_stop_options(spark: SparkSession, d: str) -> DataFrame:
     """All options away from their defaults."""
     state = O.trip_state(
         _updates(spark, d),
-        max_lookahead=None,
         sentinel=None,
         null_delay_as_zero=True,
         use_arrival=True,
@@ -307,21 +361,18 @@ def vehicle_board(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stop_board_groups(spark: SparkSession, d: str) -> DataFrame:
-    return O.stop_board_groups(_entries(spark, d), V.stop_lookup(spark, d)).drop("page", "slice")
+    return O.stop_board_groups(_entries(spark, d), V.stop_lookup(spark, d))
 
 
 @query
 def stop_board_latest(spark: SparkSession, d: str) -> DataFrame:
-    return O.stop_board_latest(_entries(spark, d), V.stop_lookup(spark, d)).drop("page", "slice")
+    return O.stop_board_latest(_entries(spark, d), V.stop_lookup(spark, d))
 
 
 @query
 def stop_board_merged(spark: SparkSession, d: str) -> DataFrame:
     """All fresh trips of a stop in one list."""
-    board = O.stop_board_latest(
-        _entries(spark, d), V.stop_lookup(spark, d), group_by_time=False
-    )
-    return board.drop("page", "slice")
+    return O.stop_board_latest(_entries(spark, d), V.stop_lookup(spark, d), group_by_time=False)
 
 
 @query
@@ -330,6 +381,16 @@ def stop_board_multiplicity(spark: SparkSession, d: str) -> DataFrame:
     return O.count_copies(_entries(spark, d, dedupe=False), ["stopId", "updateTime"])
 
 
+@query
+def archive_by_date(spark: SparkSession, d: str) -> DataFrame:
+    """The archive written by service date and read back."""
+    path = _written(spark, "archive", "rows")
+    write_archive(O.vehicle_archive(_positions(spark, d)), path)
+    return spark.read.parquet(path).select(
+        "id", "tripId", F.col("startDate").cast("string").alias("startDate"), "updateTime", "occupancyStatus"
+    )
+
+
 @query
 def vehicle_archive(spark: SparkSession, d: str) -> DataFrame:
     board = _doubles(O.vehicle_archive(_positions(spark, d)), "latitude", "longitude", "bearing")
@@ -391,14 +452,14 @@ def feed_status(spark: SparkSession, d: str) -> DataFrame:
 def trip_stop_lists(spark: SparkSession, d: str) -> DataFrame:
     lists = O.trip_stop_lists(V.stop_times(spark, d))
     return lists.select(
-        "trip_id", F.array_join("stop_ids", ",").alias("stop_ids"), F.to_json("stops").alias("stops")
+        "trip_id", "page", F.array_join("stop_ids", ",").alias("stop_ids"), F.to_json("stops").alias("stops")
     )
 
 
 @query
 def route_shapes(spark: SparkSession, d: str) -> DataFrame:
     return O.route_shapes(V.shapes(spark, d)).select(
-        "shape", F.array_join(_points("path"), " ").alias("path"), "feature"
+        "shape", "page", F.array_join(_points("path"), " ").alias("path"), "feature"
     )
 
 
@@ -417,13 +478,13 @@ def _placed_vehicles(spark: SparkSession, d: str) -> DataFrame:
 @query
 def routes_in_use(spark: SparkSession, d: str) -> DataFrame:
     routes = O.routes_in_use(_placed_vehicles(spark, d), V.shapes(spark, d))
-    return routes.select("shape", F.array_join(_points("path"), " ").alias("path"))
+    return routes.select("shape", "page", F.array_join(_points("path"), " ").alias("path"))
 
 
 @query
 def vehicle_route(spark: SparkSession, d: str) -> DataFrame:
     routes = O.vehicle_route(_placed_vehicles(spark, d), V.shapes(spark, d), SELECTED)
-    return routes.select("id", "shape", F.array_join(_points("path"), " ").alias("path"))
+    return routes.select("id", "shape", "page", F.array_join(_points("path"), " ").alias("path"))
 
 
 @query
@@ -463,8 +524,11 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _replay(spark: SparkSession, d: str, as_of: int, horizon_s: int) -> str:
+def _replay(
+    spark: SparkSession, d: str, as_of: int, horizon_s: int, messages: DataFrame | None = None
+) -> str:
     """Run both boards over all messages; the folder with their changes."""
+    messages = _messages(spark, d) if messages is None else messages
     root = shared_folder(spark, "boards")
     job = BoardJob(
         trip_lookup=V.trip_lookup(spark, d),
@@ -477,7 +541,7 @@ def _replay(spark: SparkSession, d: str, as_of: int, horizon_s: int) -> str:
         horizon_s=horizon_s,
     )
     done = {"availableNow": True}
-    run_boards(_messages(spark, d), job, f"{root}/checkpoint", trigger=done).awaitTermination()
+    run_boards(messages, job, f"{root}/checkpoint", trigger=done).awaitTermination()
     return root
 
 
@@ -492,7 +556,35 @@ def stream_vehicle_board(spark: SparkSession, d: str) -> DataFrame:
 def stream_stop_board(spark: SparkSession, d: str) -> DataFrame:
     root = _replay(spark, d, TRIP_NOW, TRIP_HORIZON)
     board = read_board(read_changes(spark, f"{root}/stops"), S.STOP_BOARD)
-    return board.drop("page", "slice")
+    return board
+
+
+@query
+def snapshot_to_boards(spark: SparkSession, d: str) -> DataFrame:
+    """From landed snapshots to the vehicle board: each event is the one entity of a snapshot."""
+    snapshots = _messages(spark, d).withColumn(
+        "value", F.concat(F.lit('{"header":{},"entity":['), "value", F.lit("]}"))
+    )
+    messages, _ = explode_feed(snapshots)
+    root = _replay(spark, d, POS_NOW, POS_HORIZON, messages)
+    board = read_board(read_changes(spark, f"{root}/vehicles"), S.VEHICLE_BOARD)
+    return _doubles(board, "latitude", "longitude")
+
+
+@query
+def relay_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The live vehicles' upserts handed on by the relay."""
+    root = shared_folder(spark, "relay")
+    live = _live(spark, d)
+    gone = live.select(F.col("id").alias("key"), F.lit(None).cast("string").alias("value"))
+    to_upsert(live, "id").unionByName(gone).write.parquet(f"{root}/upserts")
+    stream = spark.readStream.schema("key string, value string").parquet(f"{root}/upserts")
+    sent = f"{root}/sent"
+    relay(
+        stream, live.schema, lambda rows: rows.write.mode("append").parquet(sent), f"{root}/checkpoint",
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    return spark.read.schema(live.schema).parquet(sent)
 
 
 @query
@@ -509,13 +601,19 @@ def stream_live_vehicles(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_stop_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Board entries counted by a streaming aggregate, one state row per entry."""
+    """Board entries counted by a streaming aggregate, one state row per entry.
+
+    The watermark trails the newest feed time by the horizon: a state row goes
+    when its feed time is no longer fresh, which is when its entries are no
+    longer accepted either.
+    """
     root = shared_folder(spark, "counts")
     updates = V.trip_updates(V.table_stream(spark, d, "lineitem"))
     entries = O.stop_entries(
         updates, V.trip_lookup(spark, d), as_of=TRIP_NOW, horizon_s=TRIP_HORIZON, dedupe=False
     )
-    counted = O.count_copies(entries, ["stopId", "updateTime"])
+    entries = with_rowtime(entries, "updateSec", f"{TRIP_HORIZON} seconds")
+    counted = O.count_copies(entries, ["stopId", "updateTime", "rowtime"])
     key = F.to_json(F.struct(*[c for c in counted.columns if c not in ("n", "updateSec")]))
     sink = _change_sink(f"{root}/counts")
     (
@@ -526,7 +624,10 @@ def stream_stop_counts(spark: SparkSession, d: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    return read_board(read_changes(spark, f"{root}/counts"), counted.schema)
+    rows = read_board(read_changes(spark, f"{root}/counts"), counted.schema).drop("rowtime")
+    # Two feed times share their local text when clocks go back.
+    same = [c for c in rows.columns if c not in ("n", "updateSec")]
+    return rows.groupBy(*same).agg(F.sum("n").alias("n"), F.max("updateSec").alias("updateSec"))
 
 
 @query
@@ -542,7 +643,7 @@ def stream_trip_join(spark: SparkSession, d: str) -> DataFrame:
         own.conf.set(name, spark.conf.get(name))
     vehicles = B.slim_positions(V.positions(V.table_stream(own, d, "events")))
     trips = O.trip_state(V.trip_updates(V.table_stream(own, d, "lineitem")))
-    joined = join_trip_stream(vehicles, trips, salts=2, vehicle_ttl_s=None)
+    joined = join_trip_stream(vehicles, trips, salts=2, vehicle_ttl_s=POS_HORIZON)
     (
         joined.writeStream.outputMode("update")
         .foreachBatch(

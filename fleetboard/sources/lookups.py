@@ -9,25 +9,33 @@ from pyspark.sql import types as T
 from fleetboard import schemas as S
 
 
-def _positional(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
-    return spark.read.schema(schema).option("header", header).csv(path)
+def _named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    raw = spark.read.option("header", True).csv(path)
+    absent = F.lit(None).cast("string")
+    return raw.select(
+        *[
+            (F.col(f.name) if f.name in raw.columns else absent)
+            .try_cast(f.dataType.simpleString())
+            .alias(f.name)
+            for f in schema
+        ]
+    )
 
 
-def read_trip_lookup(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:
-    """Trips, 16 columns bound by position."""
-    return _positional(spark, path, S.TRIP_LOOKUP, header)
+def _lookup(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    if header:
+        return _named(spark, path, schema)
+    return spark.read.schema(schema).csv(path)
 
 
-def read_stop_lookup(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:
-    """Stops, 16 columns bound by position, coordinates as text."""
-    return _positional(spark, path, S.STOP_LOOKUP, header)
+def read_trip_lookup(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:
+    """Trips: 16 columns by position, or by the names in the header, in any order."""
+    return _lookup(spark, path, S.TRIP_LOOKUP, header)
 
 
-def _named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(
-        *[F.col(f.name).try_cast(f.dataType.simpleString()).alias(f.name) for f in schema]
-    )
+def read_stop_lookup(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:
+    """Stops, coordinates as text: 16 columns by position, or by the names in the header."""
+    return _lookup(spark, path, S.STOP_LOOKUP, header)
 
 
 def read_stop_times(spark: SparkSession, path: str) -> DataFrame:

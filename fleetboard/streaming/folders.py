@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which all executors share.
+    """A new folder that the driver and all executors share.
 
-    Only where the session names none, as in tests, a local one is made.
+    It lies under ``spark.checkpoint.dir``, or where the session names none, in
+    its warehouse folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        return tempfile.mkdtemp(prefix=f"{purpose}-")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from fleetboard.functions.timefn import rowtime
 from fleetboard.functions.transit import SENTINEL
 
 _VEHICLE = T.StructType(
@@ -42,19 +44,20 @@ _ID = T.StructType([T.StructField("id", T.StringType())])
 JOINED = T.StructType(_ID.fields + _VEHICLE.fields + _TRIP.fields)
 
 
-def _scalar(value):
-    """A pandas cell as a state value; missing numbers and text are None."""
-    return None if pd.isna(value) else value
+def _rows_at(frame: pd.DataFrame, at: np.ndarray, schema: T.StructType) -> list[tuple]:
+    """The rows at the given places as state values; missing numbers and text are None."""
+    columns = []
+    for f in schema:
+        values = frame[f.name].to_numpy()[at].tolist()
+        kind = int if isinstance(f.dataType, T.LongType) else lambda v: v
+        columns.append([None if v is None or v != v else kind(v) for v in values])
+    return list(zip(*columns))
 
 
-def _cells(row: tuple, schema: T.StructType) -> tuple:
-    cells = []
-    for field in schema:
-        value = _scalar(getattr(row, field.name))
-        if value is not None and isinstance(field.dataType, T.LongType):
-            value = int(value)
-        cells.append(value)
-    return tuple(cells)
+def _places(frame: pd.DataFrame, among: np.ndarray, first: str, second: str) -> np.ndarray:
+    """Places of the rows ``among``, oldest first; missing numbers come before all others."""
+    keys = [np.nan_to_num(frame[c].to_numpy(dtype=float)[among], nan=-1) for c in (second, first)]
+    return among[np.lexsort(keys)]
 
 
 def _rank(*numbers) -> tuple:
@@ -62,32 +65,43 @@ def _rank(*numbers) -> tuple:
 
 
 class _TripJoin(StatefulProcessor):
-    """Newest trip update of a key, and the newest row of each of its vehicles."""
+    """Newest trip update of a key, and the newest row of each of its vehicles.
+
+    A vehicle leaves ``ttl_ms`` of event time after its last row, when the
+    watermark passes that.
+    """
 
     def __init__(self, ttl_ms: int | None):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
         self._trip = handle.getValueState("trip", _TRIP)
-        self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE, self._ttl_ms)
+        self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         trip = tuple(self._trip.get()) if self._trip.exists() else None
         trip_changed, touched = False, {}
         for frame in rows:
-            for row in frame.itertuples(index=False):
-                if row.id is None:
-                    new = _cells(row, _TRIP)
-                    if trip is None or _rank(*new[:2]) >= _rank(*trip[:2]):
-                        trip, trip_changed = new, True
-                    continue
-                new, known = _cells(row, _VEHICLE), touched.get(row.id)
-                if known is None and self._vehicles.containsKey((row.id,)):
-                    known = tuple(self._vehicles.getValue((row.id,)))
+            ids = frame["id"].to_numpy()
+            is_trip = pd.isna(ids)
+            updates = _places(frame, np.flatnonzero(is_trip), "feedSec", "tripSeq")
+            if len(updates):
+                (new,) = _rows_at(frame, updates[-1:], _TRIP)
+                if trip is None or _rank(*new[:2]) >= _rank(*trip[:2]):
+                    trip, trip_changed = new, True
+            moved = _places(frame, np.flatnonzero(~is_trip), "updateSec", "seq")
+            # Later places overwrite earlier ones: the newest row of each vehicle.
+            newest = dict(zip(ids[moved], moved))
+            for vehicle, new in zip(newest, _rows_at(frame, np.array(list(newest.values()), int), _VEHICLE)):
+                known = touched.get(vehicle)
+                if known is None and self._vehicles.containsKey((vehicle,)):
+                    known = tuple(self._vehicles.getValue((vehicle,)))
                 if known is None or _rank(*new[4:]) >= _rank(*known[4:]):
-                    touched[row.id] = new
+                    touched[vehicle] = new
         for vehicle, state in touched.items():
             self._vehicles.updateValue((vehicle,), state)
+        self._wake(state[4] for state in touched.values())
         if trip_changed:
             self._trip.update(trip)
             changed = ((k[0], tuple(v)) for k, v in self._vehicles.iterator())
@@ -96,6 +110,21 @@ class _TripJoin(StatefulProcessor):
         shown = trip or (None, None, None, SENTINEL, SENTINEL, 0, None)
         yield from _frames((vehicle, *state, *shown) for vehicle, state in changed)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last = {tuple(k): v[4] for k, v in self._vehicles.iterator()}
+        until = expiredTimerInfo.getExpiryTimeInMs() - self._ttl_ms
+        gone = [k for k, seconds in last.items() if seconds is not None and seconds * 1000 <= until]
+        for k in gone:
+            self._vehicles.removeKey(k)
+        self._wake(last[k] for k in last.keys() - gone)
+        return iter(())
+
+    def _wake(self, seconds: Iterator[int | None]) -> None:
+        """Be called when the first of these vehicles has run out of time."""
+        known = [s for s in seconds if s is not None]
+        if self._ttl_ms is not None and known:
+            self._handle.registerTimer(min(known) * 1000 + self._ttl_ms)
+
     def close(self) -> None:
         pass
 
@@ -126,9 +155,11 @@ def join_trip_stream(
     ``trips`` are ``trip_state`` rows, both with ``seq``. Emits an unmatched
     vehicle at once and again when its trip update arrives. A trip's vehicles
     are spread over ``salts`` keys, each of which gets the small trip row, so a
-    trip with very many vehicles is not one task's work. A vehicle that changes
-    trips may be emitted again under its old one; order by (updateSec, seq,
-    feedSec, tripSeq) to take the newest.
+    trip with very many vehicles is not one task's work. Vehicles are forgotten
+    ``vehicle_ttl_s`` after their last row in event time (the feeds' own
+    seconds, by a watermark of that length); a replay keeps what a live run
+    keeps. A vehicle that changes trips may until then be emitted again under
+    its old one; order by (updateSec, seq, feedSec, tripSeq) to take the newest.
     """
     nothing = F.lit(None)
     key = F.concat_ws("\u0001", F.coalesce("tripId", F.concat(F.lit("\u0002"), "id")))
@@ -138,6 +169,7 @@ def join_trip_stream(
         "id",
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _VEHICLE],
         *[nothing.cast(f.dataType).alias(f.name) for f in _TRIP],
+        rowtime(F.col("updateSec")).alias("rowtime"),
     )
     t = trips.select(
         F.col("tripId").alias("trip"),
@@ -148,15 +180,17 @@ def join_trip_stream(
         F.col("seq").alias("tripSeq"),
         "startTime",
         *[F.col(f"next.{n}").alias(n) for n in ("stopSequence", "stopId", "approachSec", "delay")],
+        rowtime(F.col("feedSec")).alias("rowtime"),
     )
-    ttl_ms = None if vehicle_ttl_s is None else vehicle_ttl_s * 1000
+    both = v.unionByName(t)
+    if vehicle_ttl_s is not None:
+        both = both.withWatermark("rowtime", f"{vehicle_ttl_s} seconds")
     return (
-        v.unionByName(t)
-        .groupBy("trip", "salt")
+        both.groupBy("trip", "salt")
         .transformWithStateInPandas(
-            statefulProcessor=_TripJoin(ttl_ms),
+            statefulProcessor=_TripJoin(None if vehicle_ttl_s is None else vehicle_ttl_s * 1000),
             outputStructType=JOINED,
             outputMode="Update",
-            timeMode="None" if ttl_ms is None else "ProcessingTime",
+            timeMode="None" if vehicle_ttl_s is None else "EventTime",
         )
     )

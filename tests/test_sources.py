@@ -93,7 +93,12 @@ def test_explode_feed(spark, workdir):
     feed = {"header": {"timestamp": "1"}, "entity": [vehicle("1", "T"), vehicle("2", "T")]}
     with open(f"{workdir}/a.json", "w") as f:
         f.write("\n".join(json.dumps(x) for x in (feed, {"entity": []}, {"header": {}})))
-    rows = explode_feed(read_landed(spark, f"{workdir}/a.json")).collect()
+        f.write('\n{"entity": [{"id": "3"}\n')
+    landed = read_landed(spark, f"{workdir}/a.json").withColumn("topic", F.lit("VehiclePositions"))
+    good, bad = explode_feed(landed)
+    assert [(r.value, r.topic) for r in bad.collect()] == [('{"entity": [{"id": "3"}', "VehiclePositions")]
+    rows = good.collect()
+    assert {r.topic for r in rows} == {"VehiclePositions"}
     assert [json.loads(r.key) for r in rows] == [{"id": "1"}, {"id": "2"}]
     assert json.loads(rows[0].value) == feed["entity"][0]
 
@@ -105,11 +110,22 @@ def test_lookups_bind_by_position(spark, workdir):
     row = read_trip_lookup(spark, f"{workdir}/trips.txt").first()
     assert (row.trip_id, row.shape_id, row.bikes_allowed) == ("c3", "c8", 2)
     with open(f"{workdir}/stops.txt", "w") as f:
-        f.write("head" + ",x" * 15 + "\n" + "s1" + ",y" * 15 + "\n")
-    rows = read_stop_lookup(spark, f"{workdir}/stops.txt", header=True).collect()
+        f.write("s1" + ",y" * 15 + "\n")
+    rows = read_stop_lookup(spark, f"{workdir}/stops.txt").collect()
     assert [(r.stop_id, r.stop_lat) for r in rows] == [("s1", "y")]
 
 
+def test_a_header_binds_lookups_in_any_order(spark, workdir):
+    with open(f"{workdir}/stops.txt", "w") as f:
+        f.write("stop_lat,stop_name,extra,stop_id\n43.1,First,q,s1\n")
+    row = read_stop_lookup(spark, f"{workdir}/stops.txt", header=True).first()
+    assert (row.stop_id, row.stop_name, row.stop_lat, row.stop_code) == ("s1", "First", "43.1", None)
+    with open(f"{workdir}/trips.txt", "w") as f:
+        f.write("shape_id,bikes_allowed,trip_id\n7,1,T\n")
+    row = read_trip_lookup(spark, f"{workdir}/trips.txt", header=True).first()
+    assert (row.trip_id, row.shape_id, row.bikes_allowed) == ("T", "7", 1)
+
+
 def test_schedule_files_bind_by_header(spark, workdir):
     with open(f"{workdir}/stop_times.txt", "w") as f:
         f.write("stop_id,trip_id,extra,stop_sequence\n9,T,q,4\n8,T,q,x\n")
@@ -125,6 +141,10 @@ def test_rowtime(spark):
     df = spark.range(1).select(F.lit(NOW).cast("bigint").alias("s"))
     row = with_rowtime(df, "s").select(F.unix_seconds("rowtime").alias("t")).first()
     assert row.t == NOW
+    stream = spark.readStream.format("rate").load().select(F.col("value").alias("s"))
+    marked = with_rowtime(stream, "s", "3 minutes")._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" in marked and "3 minutes" in marked
+    assert "EventTimeWatermark" not in with_rowtime(stream, "s", None)._jdf.queryExecution().analyzed().toString()
 
 
 class _Reader:

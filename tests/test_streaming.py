@@ -9,7 +9,7 @@ from fleetboard import operators as O
 from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.sinks import append_changes, read_board, read_changes
-from fleetboard.sources import parse_trip_update, parse_vehicle
+from fleetboard.sources import parse_trip_update, parse_vehicle, with_rowtime
 from fleetboard.streaming import (
     BoardJob,
     join_trip_stream,
@@ -79,10 +79,7 @@ def _job(spark, root, **options):
         state_dir=f"{root}/state",
         vehicle_sink=lambda u, b: append_changes(u, f"{root}/vehicles", b),
         stop_sink=lambda u, b: append_changes(u, f"{root}/stops", b),
-        corrupt_sink=lambda u, b: u.write.mode("overwrite").text(f"{root}/bad/batch={b}"),
-        as_of=NOW,
-        ingested_at=NOW,
-        **options,
+        **{"as_of": NOW, "ingested_at": NOW, **options},
     )
 
 
@@ -149,11 +146,14 @@ def test_a_restarted_job_goes_on_from_its_checkpoint(spark, workdir):
 
 def test_malformed_messages_do_not_stop_the_boards(spark, workdir):
     events = [("VehiclePositions", '{"id": "v", ', 1), ("VehiclePositions", vehicle("w", None), 2)]
+    events += [("Odd", "text", 3), (None, "text", 4)]
     folder = _landed(events, f"{workdir}/in", 1)
     run_boards(
         _stream(spark, folder), _job(spark, workdir), f"{workdir}/ck", trigger=NOW_DONE
     ).awaitTermination()
-    assert [r.value for r in spark.read.text(f"{workdir}/bad/batch=0").collect()] == ['{"id": "v", ']
+    bad = spark.read.parquet(f"{workdir}/state/corrupt/batch=0").collect()
+    want = [("VehiclePositions", '{"id": "v", '), ("Odd", "text"), (None, "text")]
+    assert sorted(map(tuple, bad), key=repr) == sorted(want, key=repr)
     assert read_changes(spark, f"{workdir}/vehicles").count() == 1
 
 
@@ -162,7 +162,64 @@ def test_old_trips_can_be_forgotten(spark, workdir):
     folder = _landed(events, f"{workdir}/in", 1)
     job = _job(spark, workdir, trip_retention_s=50)
     run_boards(_stream(spark, folder), job, f"{workdir}/ck", trigger=NOW_DONE).awaitTermination()
-    assert [r.tripId for r in spark.read.parquet(f"{workdir}/state/trips/0").collect()] == ["T2"]
+    assert [r.tripId for r in spark.read.parquet(f"{workdir}/state/trips").collect()] == ["T2"]
+
+
+def _files(folder):
+    import os
+
+    return {f: os.path.getmtime(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_writes_only_the_buckets_that_it_changes(spark, workdir):
+    job = _job(spark, workdir, horizon_s=1000)
+    first = [("TripUpdates", trip_update(f"T{i}", [], NOW - 10), i) for i in range(40)]
+    rows = lambda events: spark.createDataFrame([(t, json.dumps(e), n) for t, e, n in events], _WIRE)
+    job.run_batch(rows(first), 0)
+    before = _files(f"{workdir}/state/trips")
+    job.run_batch(rows([("TripUpdates", trip_update("T3", [], NOW), 99)]), 1)
+    after = _files(f"{workdir}/state/trips")
+    assert len(before) > 8 and {f: after[f] for f in before} == before and len(after) == len(before) + 1
+
+
+def test_calls_leave_the_state_with_their_freshness_but_trips_stay(spark, workdir):
+    old = trip_update("T1", [stop(1, "s1", NOW + 50)], NOW - 500)
+    new = trip_update("T2", [stop(1, "s1", NOW + 50)], NOW - 5)
+    job = _job(spark, workdir)
+    job.run_batch(spark.createDataFrame([("TripUpdates", json.dumps(e), i) for i, e in enumerate((old, new))], _WIRE), 0)
+    rows = {r.tripId: r.calls for r in spark.read.parquet(f"{workdir}/state/trips").collect()}
+    assert rows["T1"] is None and len(rows["T2"]) == 1
+
+
+def test_expired_vehicles_are_deleted_from_the_streamed_board(spark, workdir):
+    job = _job(spark, workdir)
+    row = lambda v, at, n: spark.createDataFrame([("VehiclePositions", json.dumps(vehicle(v, None, at)), n)], _WIRE)
+    job.run_batch(row("v", NOW - 10, 1), 0)
+    job.as_of = NOW + 145
+    job.run_batch(row("w", NOW + 140, 2), 1)
+    board = read_board(read_changes(spark, f"{workdir}/vehicles"), S.VEHICLE_BOARD)
+    assert [r.id for r in board.collect()] == ["w"]
+
+
+def test_a_batch_without_a_next_stop_value_agrees_with_the_batch_board(spark, workdir):
+    job = _job(spark, workdir, next_stop_options={"sentinel": None})
+    events = [("VehiclePositions", vehicle("v", "T1"), 1), ("VehiclePositions", vehicle("w", "T9"), 2), ("TripUpdates", trip_update("T1", []), 3)]
+    job.run_batch(spark.createDataFrame([(t, json.dumps(e), n) for t, e, n in events], _WIRE), 0)
+    board = read_board(read_changes(spark, f"{workdir}/vehicles"), S.VEHICLE_BOARD)
+    assert {(r.id, r.nextStopId, r.nextStopApproachSec) for r in board.collect()} == {("v", None, None), ("w", None, None)}
+
+
+def test_a_repeated_batch_keeps_its_time(spark, workdir):
+    import time
+
+    now = int(time.time())
+    job = _job(spark, workdir, as_of=None, ingested_at=None)
+    rows = spark.createDataFrame([("VehiclePositions", json.dumps(vehicle("v", None, now)), 1)], _WIRE)
+    job.run_batch(rows, 0)
+    first = read_changes(spark, f"{workdir}/vehicles").collect()
+    time.sleep(1.5)
+    job.run_batch(rows, 0)
+    assert read_changes(spark, f"{workdir}/vehicles").collect() == first
 
 
 def test_latest_rows_stream_in_update_mode(spark, workdir):
@@ -179,13 +236,13 @@ def test_latest_rows_stream_in_update_mode(spark, workdir):
     assert _sorted(got) == _sorted(want.select(*got.columns))
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_stateful_join_equals_the_batch_join(spark, workdir, salts):
+@pytest.mark.parametrize(("salts", "ttl"), [(1, None), (3, 500)])
+def test_stateful_join_equals_the_batch_join(spark, workdir, salts, ttl):
     folder = _landed(_events(), f"{workdir}/in", 3)
     stream = _stream(spark, folder)
     vehicles = B.slim_positions(parse_vehicle(stream.where("topic = 'VehiclePositions'")))
     trips = B.trip_state(parse_trip_update(_stream(spark, folder).where("topic = 'TripUpdates'")))
-    joined = join_trip_stream(vehicles, trips, salts=salts, vehicle_ttl_s=None)
+    joined = join_trip_stream(vehicles, trips, salts=salts, vehicle_ttl_s=ttl)
     (
         joined.writeStream.outputMode("update")
         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{workdir}/out/batch={i}"))
@@ -228,10 +285,34 @@ def test_counted_entries_stream_in_update_mode(spark, workdir):
     assert _sorted(got) == _sorted(want)
 
 
+def test_counts_leave_the_state_behind_the_watermark(spark, workdir):
+    events = [("TripUpdates", trip_update(f"T{i % 5}", [stop(1, f"s{i}", NOW + 400 * i + 50)], NOW + 400 * i), i) for i in range(12)]
+    folder = _landed(events, f"{workdir}/in", 4)
+    updates = parse_trip_update(_stream(spark, folder).where("topic = 'TripUpdates'"))
+    trips, _ = _lookups(spark)
+    entries = with_rowtime(O.stop_entries(updates, trips, horizon_s=None, dedupe=False), "updateSec", "150 seconds")
+    counted = O.count_copies(entries, ["stopId", "updateTime", "rowtime"])
+    query = (
+        counted.writeStream.outputMode("update")
+        .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{workdir}/out/batch={i}"))
+        .option("checkpointLocation", f"{workdir}/ck").trigger(**NOW_DONE).start()
+    )
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in map(json.loads, (p.json for p in query.recentProgress))]
+    assert max(kept) < 12 and kept[-1] <= 3
+    assert spark.read.parquet(f"{workdir}/out").count() == 12
+
+
 def test_shared_folder_follows_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    folder = shared_folder(spark, "x")
-    assert folder.startswith(root) if root else folder
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
+
+    named = Session(**{"spark.checkpoint.dir": "s3a://b/c/", "spark.sql.warehouse.dir": "file:/w"})
+    assert shared_folder(named, "x").startswith("s3a://b/c/x-")
+    unnamed = Session(**{"spark.sql.warehouse.dir": "file:/w"})
+    assert shared_folder(unnamed, "x").startswith("file:/w/checkpoints/x-")
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
 
 
 def test_relay_hands_on_new_rows_without_deletes(spark, workdir):
@@ -247,5 +328,8 @@ def test_relay_hands_on_new_rows_without_deletes(spark, workdir):
 
 
 def test_print_messages(spark, workdir):
-    folder = _landed(_events()[:2], f"{workdir}/in", 1)
-    print_messages(_stream(spark, folder), trigger=NOW_DONE).awaitTermination()
+    folder = _landed(_events()[:50], f"{workdir}/in", 2)
+    lines = []
+    print_messages(_stream(spark, folder), trigger=NOW_DONE, out=lines.append).awaitTermination()
+    assert sorted(json.loads(line)["seq"] for line in lines) == sorted(n for _, _, n in _events()[:50])
+    assert {json.loads(line)["topic"] for line in lines} == {"VehiclePositions", "TripUpdates"}
