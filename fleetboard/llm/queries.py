@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetboard.llm import arc, chat, decontaminate, mixing, phrases, quality, simhash, substrings, tokens, toxicity
 from fleetboard.llm.common import cut, importable
+from fleetboard.llm.oracle import ORACLE as ORACLE
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -92,5 +93,3 @@ QUERIES = {
     "op9_tokens": op9_tokens,
     "op10_chat": op10_chat,
 }
-
-ORACLE: dict[str, str] = {}
