@@ -1,0 +1,76 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from fleetboard.llm import common, words
+from pyspark.sql import functions as F
+
+
+def test_components_of_chains_stars_and_strangers(spark):
+    own = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 170)] + [(5, 1000 + i) for i in range(60)] + [(-3, 7), (7, 7), (8, 8)]
+    edges += [(own.randrange(2000, 2090), own.randrange(2000, 2090)) for _ in range(70)]
+    edges += edges[:10] + [(b, a) for a, b in edges[20:30]]
+    root = {n: n for e in edges for n in e if e[0] != e[1]}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted((n, find(n)) for n in root)
+    none = common.components(spark.createDataFrame([], "a long, b long"))
+    assert none.count() == 0
+
+
+def test_cut_and_forget(spark):
+    df = common.cut(spark.range(20).withColumn("x", F.lit(None).cast("string")), "t")
+    assert df.count() == 20 and "Scan parquet" in df._jdf.queryExecution().toString()
+    common.forget(df)
+    assert not any(common.filesystem(f)[0].get_file_info(common.filesystem(f)[1]).is_file for f in df.inputFiles())
+
+
+def test_folders_follow_the_session():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
+
+    named = Session(**{"spark.checkpoint.dir": "s3a://b/c/", "spark.sql.warehouse.dir": "file:/w"})
+    assert common.shared_path(named, "x").startswith("s3a://b/c/x-")
+    unnamed = Session(**{"spark.sql.warehouse.dir": "file:/w"})
+    assert common.shared_path(unnamed, "x").startswith("file:/w/checkpoints/x-")
+
+
+def test_words_are_those_of_the_pattern(texts):
+    values = [t for _, t in texts] + ["a\x0bb\x1cc\x85d\u3000e", "É1_z-9", "\x7f\x00"]
+    cases = [
+        (words.NOT_SPACE, False, r"[^\x20\x09-\x0D]+"),
+        (words.ALPHANUMERIC, True, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"),
+    ]
+    for kind, lower, pattern in cases:
+        for array in (pa.array(values, pa.string()), pa.array(["skip", *values], pa.string()).slice(1)):
+            found = words.Words(array, kind, lower)
+            got = [found.values[c].as_py().decode() for c in found.codes]
+            each = [got[a:b] for a, b in zip(found.first, found.first[1:])]
+            low = [(t or "").translate({c: c + 32 for c in range(65, 91)}) if lower else t or "" for t in values]
+            assert each == [re.findall(pattern, t) for t in low]
+    assert words.Words(pa.array([], pa.string()), words.NOT_SPACE).n == 0
+
+
+def test_grams_and_sliding():
+    own = np.random.default_rng(1)
+    small = own.integers(0, 3, 400).astype(np.uint64)
+    for k in (1, 2, 3, 5, 10, 13, 50):
+        hashes = words.grams(words.mix(small + np.uint64(1)), k)
+        lists = [tuple(small[i : i + k]) for i in range(len(small) - k + 1)]
+        assert len(set(zip(hashes.tolist(), lists))) == len(set(lists)) == len(set(hashes.tolist()))
+        want = [min(small[i : i + k]) for i in range(len(small) - k + 1)]
+        assert words.sliding(small, k).tolist() == want
+    assert len(words.grams(small[:3], 4)) == len(words.sliding(small[:3], 4)) == 0
+    assert words.runs_of(np.array([3, 9, 1]), np.array([5, 9, 4])).tolist() == [3, 4, 1, 2, 3]
