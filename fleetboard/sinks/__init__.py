@@ -1,6 +1,7 @@
 from fleetboard.sinks.upsert import (
     PRODUCER_OPTIONS,
     append_changes,
+    compact_changes,
     read_board,
     read_changes,
     served,
@@ -14,6 +15,7 @@ from fleetboard.sinks.upsert import (
 __all__ = [
     "PRODUCER_OPTIONS",
     "append_changes",
+    "compact_changes",
     "read_board",
     "read_changes",
     "served",

@@ -4,8 +4,10 @@ from feeds import NOW
 from pyspark.sql import functions as F
 
 from fleetboard import schemas as S
+from fleetboard.operators import compact
 from fleetboard.sinks import (
     append_changes,
+    compact_changes,
     read_board,
     read_changes,
     served,
@@ -47,6 +49,21 @@ def test_changes_read_back_as_the_board(spark, workdir):
     assert [r.stopId for r in read_board(changes, S.STOP_BOARD).collect()] == ["b"]
 
 
+def test_summed_up_changes_give_the_same_board(spark, workdir):
+    up = lambda *rows: spark.createDataFrame(list(rows), "key string, value string")
+    batches = [up(("a", "1"), ("b", "1")), up(("a", "2"), ("b", None)), up(("c", "3")), up(("c", None), ("b", "4"))]
+    for n, rows in enumerate(batches):
+        append_changes(rows, f"{workdir}/c", n)
+
+    def board(base=None):
+        return sorted((r.key, r.value) for r in compact(read_changes(spark, f"{workdir}/c", base), "key", "batch").collect())
+
+    compact_changes(spark, f"{workdir}/c", f"{workdir}/base1", 1)
+    assert read_changes(spark, f"{workdir}/c", f"{workdir}/base1").count() == 5
+    compact_changes(spark, f"{workdir}/c", f"{workdir}/base2", 2, before=f"{workdir}/base1")
+    assert board() == board(f"{workdir}/base1") == board(f"{workdir}/base2") == [("a", "2"), ("b", "4")]
+
+
 def test_archive_is_partitioned_by_date(spark, workdir):
     df = spark.createDataFrame([("a", "2023-08-05"), ("b", "2023-08-06")], "id string, startDate string")
     write_archive(df, f"{workdir}/a")
