@@ -101,42 +101,41 @@ def paths(messages: DataFrame, *, best: int | None = None) -> DataFrame:
         .select("tag", "node", F.when(F.col("there"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("length")),
         "step0",
     )
-    # step i: the 2**i-th ancestor, and the score and number of the messages before it.
+    # open i: messages that have a 2**i-th ancestor (up), the score and number of those before
+    # it. The others have met their root, and only go on to be met.
     total = step.count()
-    steps = [step]
-    while (1 << (len(steps) - 1)) <= total and not step.where("up IS NOT NULL").isEmpty():
-        further = step.select(
+    opened, rooted = [step.where("up IS NOT NULL")], step.where("up IS NULL")
+    while (1 << (len(opened) - 1)) <= total and not opened[-1].isEmpty():
+        known = opened[-1].unionAll(rooted)
+        further = known.select(
             "tag", F.col("node").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("length").alias("longer")
         )
         step = cut(
-            step.join(further, ["tag", "up"], "left").select(
-                "tag", "node", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-                (F.col("length") + F.coalesce("longer", F.lit(0))).alias("length"),
+            opened[-1].join(further, ["tag", "up"]).select(
+                "tag", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+                (F.col("length") + F.col("longer")).alias("length"),
             ),
-            f"step{len(steps)}",
+            f"step{len(opened)}",
         )
-        steps.append(step)
+        opened.append(step.where("up IS NOT NULL"))
+        rooted = rooted.unionAll(step.where("up IS NULL"))
     parents = links.select("tag", F.col("parent").alias("node")).distinct()
-    leaves = step.where("up IS NULL").join(parents, ["tag", "node"], "left_anti")
+    leaves = rooted.join(parents, ["tag", "node"], "left_anti")
     by_score = Window.partitionBy("tag").orderBy(F.desc(F.col("score") / F.col("length")), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(by_score))
     if best is not None:
         chosen = chosen.where(F.col("rank") <= best)
     # A stretch: from ``node`` upwards, ``length`` messages; ``top`` counts those above its end.
     stretch = chosen.select("tag", "rank", F.col("node").alias("leaf"), "node", "length", F.lit(0).cast("long").alias("top"))
-    for i in reversed(range(len(steps) - 1)):
-        half = 1 << i
-        long = F.col("length") > half
-        up = steps[i].select("tag", "node", "up")
-        both = stretch.join(up, ["tag", "node"], "left")
-        lower = F.struct("node", F.when(long, half).otherwise(F.col("length")).alias("length"),
-                         F.when(long, F.col("top") + F.col("length") - half).otherwise(F.col("top")).alias("top"))
-        upper = F.when(long, F.struct(F.col("up").alias("node"), (F.col("length") - half).alias("length"), F.col("top")))
-        stretch = both.select("tag", "rank", "leaf", F.explode(F.array_compact(F.array(lower, upper))).alias("s")).select(
-            "tag", "rank", "leaf", "s.node", F.col("s.length").cast("long").alias("length"), F.col("s.top").alias("top")
-        )
-        if i % 4 == 3:
-            stretch = cut(stretch, "stretch")
+    for i in reversed(range(len(opened))):
+        half = F.lit(1 << i).cast("long")
+        long = stretch.where(F.col("length") > half).join(opened[i].select("tag", "node", "up"), ["tag", "node"])
+        lower = F.struct("node", half.alias("length"), (F.col("top") + F.col("length") - half).alias("top"))
+        upper = F.struct(F.col("up").alias("node"), (F.col("length") - half).alias("length"), F.col("top"))
+        split = long.select("tag", "rank", "leaf", F.inline(F.array(lower, upper)))
+        stretch = stretch.where(F.col("length") <= half).unionAll(split)
+        # Both halves of the union read the stretches, so these are written each time.
+        stretch = cut(stretch, f"stretch{i}")
     turns = stretch.select("tag", "rank", "leaf", "node", F.col("top").alias("position"))
     return turns.join(said.select("tag", "node", "tree", "role", "text"), ["tag", "node"]).select(
         "tree", "rank", "leaf", "position", "node", "role", "text"
