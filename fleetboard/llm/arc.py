@@ -9,7 +9,8 @@ ids are name-based UUIDs of file name and offset, dates become ISO 8601, types f
 body (an HTTP response, or a resource), payload and block digests are computed, and a record
 whose payload an earlier one has becomes a revisit of it.
 
-One ARC file gives one WARC file. Bodies are streamed; only a table of records, without bodies,
+ARC files may be plain or gzipped, record by record, as they were kept; offsets count the plain
+bytes. One ARC file gives one gzipped WARC file. Bodies are streamed; only a table of records, without bodies,
 is shuffled to find the first of equal payloads.
 """
 
@@ -95,6 +96,11 @@ class _Lines:
         return data
 
 
+def plain_stream(source: io.BufferedReader) -> BinaryIO:
+    """An archive's bytes, whether they are gzipped or not."""
+    return gzip.GzipFile(fileobj=source) if source.peek(2)[:2] == b"\x1f\x8b" else source
+
+
 def version_block(path: str, version: int) -> bytes:
     names = " ".join(FIELDS[version])
     body = f"{version} 0 fleetboard\n{names}\n".encode()
@@ -108,7 +114,7 @@ def arc_record(fields: dict[str, str], body: bytes, version: int) -> bytes:
 
 
 def read_arc(source: BinaryIO) -> Iterator[ArcRecord]:
-    """Records of an ARC stream, the version block first, as it is one. Bodies not read are skipped."""
+    """Records of a plain ARC stream, the version block first, as it is one. Bodies not read are skipped."""
     lines = _Lines(source)
     names = FIELDS[1]
     first = True
@@ -225,7 +231,7 @@ def convert(arc_uri: str, name: str, warc_uri: str, known: dict[int, dict]) -> N
     record that they refer to.
     """
     with open_stream(arc_uri) as source, create_file(warc_uri) as out:
-        for record in read_arc(source):
+        for record in read_arc(plain_stream(source)):
             own, f = known.get(record.offset), record.fields
             headers = [("WARC-Record-ID", record_id(name, record.offset)), ("WARC-Date", warc_date(f["Archive-date"]))]
             if own is None:
@@ -274,7 +280,7 @@ def read_warc(source: BinaryIO) -> Iterator[tuple[dict[str, str], BinaryIO]]:
 
 
 def write_arcs(pages: DataFrame, folder: str, *, key: str = "page_id", url: str = "url", html: str = "html", arc_bytes: int = ARC_BYTES) -> DataFrame:
-    """Pages as ARC captures, in files of about ``arc_bytes`` at most: arc (path).
+    """Pages as ARC captures, in gzipped files of about ``arc_bytes`` at most: arc (path).
 
     Files of even number are of version 1, the others of version 2. NULL html is empty; NULL
     and white space in URLs are written as "-" and percent codes.
@@ -289,17 +295,17 @@ def write_arcs(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
                 if file is None or size > arc_bytes:
                     if file:
                         file.close()
-                    version, name = 1 + number % 2, f"{attempt_name('capture')}.arc"
+                    version, name = 1 + number % 2, f"{attempt_name('capture')}.arc.gz"
                     number += 1
                     paths.append(f"{folder}/{name}")
                     file = create_file(paths[-1])
-                    size = file.write(version_block(name, version))
+                    size = file.write(gzip.compress(version_block(name, version)))
                 payload = (body or "").encode()
                 head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                 head += "" if page is None else f"{PAGE_HEADER}: {page}\r\n"
                 block = f"{head}Content-Length: {len(payload)}\r\n\r\n".encode() + payload
                 fields = {"URL": target, "IP-address": "0.0.0.0", "Archive-date": "20260101000000", "Content-type": "text/html", "Result-code": "200"}
-                size += file.write(arc_record(fields, block, version))
+                size += file.write(gzip.compress(arc_record(fields, block, version), 6))
         if file:
             file.close()
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], names=["arc"])
@@ -328,7 +334,7 @@ def list_records(arcs: DataFrame) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 rows = []
                 with open_stream(path) as source:
-                    for i, record in enumerate(read_arc(source)):
+                    for i, record in enumerate(read_arc(plain_stream(source))):
                         if not i:
                             continue
                         seen = capture(record.body)
@@ -372,7 +378,7 @@ def to_warc(arcs: DataFrame, folder: str, *, min_bytes: int = 0) -> DataFrame:
             row["refers_url"], row["refers_date"] = (refers["url"], refers["date"]) if refers else (None, None)
             found[row["offset"]] = row
         name = path.rpartition("/")[2]
-        target = f"{folder}/{attempt_name(name.removesuffix('.arc'))}.warc.gz"
+        target = f"{folder}/{attempt_name(name.partition('.arc')[0])}.warc.gz"
         convert(path, name, target, found)
         return pa.table({"arc": [path], "warc": [target]})
 
