@@ -19,10 +19,12 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,13 +32,14 @@ from pyspark.sql import functions as F
 from fleetboard.llm.common import (
     attempt_name, create_file, cut, open_file, shared_path, text_batches,
 )
+from fleetboard.llm.words import runs_of
 
 PART_KEYS = 50_000
 MAGIC = b"TOKSHRD1"
 INDEX_MAGIC = b"TOKINDX1"
 FOOTER = "<8sQQ"
-#: Pieces and parts of texts whose ids a Python worker remembers; up to twice as many at times.
-PIECES, PARTS = 300_000, 500_000
+#: Pieces of texts whose ids a Python worker remembers; up to twice as many at times.
+PIECES = 600_000
 #: Bits per key of a level of the hash.
 GAMMA = 1.6
 
@@ -47,28 +50,30 @@ class Memory:
     def __init__(self, size: int):
         self.size, self.now, self.before = size, {}, {}
 
-    def unknown(self, keys: set[str]) -> list[str]:
+    def unknown(self, keys: Iterable) -> list:
         """Those of ``keys`` that are to be learned; all others are in ``now`` after this."""
         if len(self.now) > self.size:
             self.now, self.before = {}, self.now
-        new = []
-        for key in keys.difference(self.now):
-            if (value := self.before.get(key)) is None:
+        now, before, new = self.now, self.before, []
+        for key in set(filterfalse(now.__contains__, keys)):
+            if (value := before.get(key)) is None:
                 new.append(key)
             else:
-                self.now[key] = value
+                now[key] = value
         return new
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    The library's pattern joins no character to a space behind it, so a text may be cut before
-    each space that a non-space follows, and the pieces encoded each for itself. A piece may be
-    cut around a single line break inside it, and between Latin letters and punctuation (without
-    apostrophes, which contractions have). Ids of pieces and parts are remembered, and new parts
-    are encoded together, with line breaks between. A text with a special token is encoded
-    whole, as are all with another pre-tokenizer or with a normalizer.
+    The library's pattern joins no character to a space behind it, nor letters to punctuation (but
+    for apostrophes, which contractions have), and keeps a line break between non-spaces apart. A
+    batch is cut there with numpy, on bytes: before each space that a non-space follows, around a
+    single line break, and between Latin letters and ASCII punctuation. Where a byte may belong to
+    a wide space no cut is made, which only makes a piece longer. Only distinct pieces are looked
+    up; their ids are remembered, and new ones are encoded together, with line breaks between. A
+    text with a special token is encoded whole, as are all with another pre-tokenizer or with a
+    normalizer.
     """
 
     #: Texts that the library encodes at once.
@@ -82,11 +87,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         pre = made.get("pre_tokenizer") or {}
         self.cuts = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not made.get("normalizer")
-        self.specials = re.compile("|".join(re.escape(t["content"]) for t in made["added_tokens"]) or r"(?!)")
+        self.specials = [t["content"] for t in made["added_tokens"]]
         self.kind = f"<u{width}"
         self.end = self._bytes([end_id])
         self.line = self._bytes(self._ids(["\n"])[0])
-        self.pieces, self.parts = Memory(PIECES), Memory(PARTS)
+        self.pieces = Memory(PIECES)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -94,74 +99,96 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_parts(self, wanted: set[str]) -> None:
-        new = self.parts.unknown(wanted)
-        groups = [new[at : at + self.TOGETHER] for at in range(0, len(new), self.TOGETHER)]
-        for group, ids in zip(groups, self._ids(["\n".join(g) for g in groups])):
+    def _learn(self, wanted: Iterable[bytes]) -> None:
+        """Pieces as UTF-8; those with white space inside are encoded each for itself."""
+        new = self.pieces.unknown(wanted)
+        plain = [key for key in new if _SOLID.fullmatch(key)]
+        other = [key for key in new if not _SOLID.fullmatch(key)] if len(plain) < len(new) else []
+        groups = [plain[at : at + self.TOGETHER] for at in range(0, len(plain), self.TOGETHER)]
+        line, now = np.frombuffer(self.line, self.kind), self.pieces.now
+        for group, ids in zip(groups, self._ids([b"\n".join(g).decode() for g in groups])):
             data = np.array(ids, self.kind)
-            at = np.flatnonzero(data == np.frombuffer(self.line, self.kind)[0])
-            if len(at) == len(group) - 1:
-                found = [x.tobytes() for x in np.split(data, at)]
-                size = len(self.line)
-                self.parts.now.update(zip(group, [found[0], *(x[size:] for x in found[1:])]))
+            ends = np.flatnonzero(data == line[0]) if len(line) == 1 else []
+            if len(ends) == len(group) - 1:
+                raw, size = data.tobytes(), data.itemsize
+                ends = [*(ends * size).tolist(), len(raw)]
+                starts = [0, *(e + size for e in ends)]
+                now.update(zip(group, (raw[a:b] for a, b in zip(starts, ends))))
             else:
-                self.parts.now.update(zip(group, map(self._bytes, self._ids(group))))
+                other += group
+        for at in range(0, len(other), self.TOGETHER):
+            some = other[at : at + self.TOGETHER]
+            now.update(zip(some, map(self._bytes, self._ids([key.decode() for key in some]))))
 
-    def _learn(self, wanted: set[str]) -> None:
-        """Pieces; those after a space begin with it."""
-        new = self.pieces.unknown(wanted)
-        parts: dict[str, list[list[str]]] = {}
-        whole = []
-        for piece in new:
-            lines = piece.split("\n")
-            found = []
-            for line in lines:
-                cut = _WORD.fullmatch(line)
-                if cut:
-                    found.append([cut[1], cut[2]])
-                elif _SOLID.fullmatch(line):
-                    found.append([line])
-                else:
-                    break
-            if len(found) == len(lines):
-                parts[piece] = found
-            else:
-                whole.append(piece)
-        self._learn_parts({p for lines in parts.values() for line in lines for p in line})
-        known, line_break = self.parts.now, self.line
-        self.pieces.now.update(
-            (piece, line_break.join([b"".join([known[p] for p in line]) for line in lines])) for piece, lines in parts.items()
-        )
-        for at in range(0, len(whole), self.TOGETHER):
-            some = whole[at : at + self.TOGETHER]
-            self.pieces.now.update(zip(some, map(self._bytes, self._ids(some))))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list) -> list[bytes]:
         """Of each text the little-endian ids with the end id; NULL as empty."""
-        out: list = [None] * len(texts)
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = self.end
-            elif not self.cuts or self.specials.search(text):
-                out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
-            else:
-                own = _SPACE.split(text) if _WIDE.search(text) else text.split(" ")
-                first = own[0]
-                own = [" " + p for p in own]
-                own[0] = first
-                out[i] = own
-        cut = [own for own in out if isinstance(own, list)]
-        self._learn(set().union(*cut) if cut else set())
-        known = self.pieces.now
-        return [
-            own if isinstance(own, bytes) else b"".join(map(known.__getitem__, own)) + self.end for own in out
-        ]
-
-
-#: A space that a non-space follows; a space that none follows; a line without white space;
-#: Latin letters and the punctuation behind them.
-_SPACE, _WIDE, _SOLID = re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)"), re.compile(r" ?\S+")
-_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)")
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.cast(pa.large_string()).fill_null("")
+        apart = np.full(len(texts), not self.cuts)
+        for special in self.specials:
+            apart |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        alone = {int(i): texts[int(i)].as_py() for i in np.flatnonzero(apart)}
+        if alone:
+            texts = pc.if_else(pa.array(apart), pa.scalar("", pa.large_string()), texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+        body = texts.buffers()[2] if len(texts) else None
+        data = np.frombuffer(body, np.uint8) if body is not None and len(body) else np.zeros(0, np.uint8)
+        data = data[offsets[0] : offsets[-1]]
+        bounds = offsets - offsets[0]
+        start = _cuts(data, bounds)
+        at = np.append(np.flatnonzero(start), len(data)) if len(data) else np.zeros(1, np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(distinct)
+        found = list(map(self.pieces.now.__getitem__, distinct))
+        ids = np.frombuffer(b"".join(found), self.kind)
+        length = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        first = np.cumsum(length) - length
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        all_ids = ids[runs_of(first[codes], first[codes] + length[codes])] if len(codes) else ids
+        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(length[codes])])
+        cuts = before[np.searchsorted(at[:-1], bounds)]
+        out = [all_ids[a:b].tobytes() + self.end for a, b in zip(cuts, cuts[1:])]
+        for i, text in alone.items():
+            out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+        return out
+
+
+_BYTES = np.arange(256)
+_LETTER = ((_BYTES | 0x20) >= 0x61) & ((_BYTES | 0x20) <= 0x7A) & (_BYTES < 0x80)
+_VISIBLE = (_BYTES > 0x20) & (_BYTES < 0x7F)
+_MARK = _VISIBLE & ~_LETTER & ~((_BYTES >= 0x30) & (_BYTES <= 0x39)) & (_BYTES != ord("'"))
+# Bytes behind a space or line break that are certainly not white space: neither ASCII white
+# space nor the first byte of a character that may be.
+_BEGINS = np.ones(256, bool)
+_BEGINS[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+# A piece without white space but at its beginning (that of ASCII; wide spaces count as letters
+# here, which the line breaks between pieces do not mind).
+_SOLID = re.compile(rb" ?[^\x09-\x0d\x1c-\x20]+")
+
+
+def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where pieces of UTF-8 texts begin, and the texts themselves (``bounds``)."""
+    start = np.zeros(len(data) + 1, bool)
+    if len(data):
+        behind = np.append(data[1:], np.uint8(0x20))
+        # Letters from U+00C0 to U+017F have two bytes; two signs among them are no letters.
+        wide = (data >= 0xC3) & (data <= 0xC5) & ~((data == 0xC3) & ((behind == 0x97) | (behind == 0xB7)))
+        begins, ends = _LETTER[data] | wide, _LETTER[data]
+        ends[1:] |= wide[:-1]
+        mark = _MARK[data]
+        start[1:-1] = (mark[1:] & ends[:-1]) | (begins[1:] & mark[:-1])
+        follows = _BEGINS[behind]
+        follows[np.maximum(bounds[1:] - 1, 0)] = False
+        start[:-1] |= (data == 0x20) & follows
+        line = (data[1:] == 0x0A) & follows[1:] & (ends[:-1] | _VISIBLE[data[:-1]])
+        start[1:-1] |= line
+        start[2:] |= line
+    start[bounds] = True
+    start[-1] = False
+    return start
+
 
 _encoders: dict[tuple, Encoder] = {}
 
@@ -173,6 +200,19 @@ def encoder(path: str, width: int, end_id: int) -> Encoder:
     return made
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches joined until they have ``size`` bytes, as larger ones have fewer distinct words."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _key_text(key: Column) -> Column:
     """Keys as text, NULL apart from all others."""
     return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("null"))
@@ -196,12 +236,10 @@ def write_shards(
         path = f"{folder}/shards/{attempt_name(f'{shard:06d}')}.ids"
         ids = encoder(tokenizer, width, end_id)
         file, lengths = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _gathered(batches):
             file = file or create_file(path)
             own = []
-            for data in ids.encode(batch.column(1).to_pylist()):
+            for data in ids.encode(batch.column(1)):
                 file.write(data)
                 own.append(len(data) // width)
             n, before = len(own), len(lengths)

@@ -28,7 +28,6 @@ def test_ids_are_the_library_s(library, texts):
 
 def test_a_small_memory_gives_the_same_ids(library, prose, monkeypatch):
     monkeypatch.setattr(tokens, "PIECES", 20)
-    monkeypatch.setattr(tokens, "PARTS", 10)
     small = tokens.Encoder(PATH, 4, 2)
     for seed in range(30):
         value = prose(50, seed)
