@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from fleetboard.llm import mixing
 
@@ -71,6 +72,47 @@ def test_mix_repeats_rows(corpus):
     assert len(rows) == sum(want.values()) and all(r.rate >= 1 for r in found.collect())
 
 
+def skewed(spark, domains, own):
+    """Posteriors of one big domain and small ones whose documents give them a share in ``own``."""
+    g = np.random.default_rng(domains)
+    rows = []
+    for i in range(4000):
+        d = 0 if i % 10 else 1 + i // 10 % (domains - 1)
+        p = 0.02 * g.dirichlet(np.ones(domains))
+        if d:
+            p[d] += g.uniform(*own)
+        p[0] += 1 - p.sum()
+        rows.append((i, i, 1, float(g.integers(5, 300)), *map(float, p)))
+    columns = ", ".join(f"p{k} double" for k in range(domains))
+    p, n = np.array([r[4:] for r in rows]), np.array([r[3] for r in rows])
+    return spark.createDataFrame(rows, f"id long, digest long, rows long, n double, {columns}"), p, n
+
+
+@pytest.mark.parametrize("domains, own", [(4, (0.3, 0.3)), (12, (0.1, 0.3))])
+def test_skewed_overlapping_domains_each_meet_their_own_target(spark, domains, own):
+    members, p, n = skewed(spark, domains, own)
+    totals = p.T @ n
+    targets = mixing.targets_of(list(totals), list(range(domains)), None, 0.7, None)
+    found, reached = mixing.fit_rates(members, list(totals), targets)
+    rate = np.array([r.rate for r in found.orderBy("id").collect()])
+    assert rate.min() >= 0 and p.T @ (n * rate) == pytest.approx(reached)
+    assert reached == pytest.approx(targets, rel=1e-5)
+
+
+def test_targets_out_of_reach_are_neared_and_named(spark, corpus, caplog):
+    members, p, n = skewed(spark, 4, (0.3, 0.3))
+    totals = p.T @ n
+    targets = np.array(mixing.targets_of(list(totals), list(range(4)), None, 0.7, None))
+    _, reached = mixing.fit_rates(members, list(totals), list(targets), 1.0)
+    rate = np.ones(len(n))
+    for _ in range(3000):
+        rate = np.maximum(rate - p @ ((p.T @ (n * rate) - targets) / totals), 1.0)
+    off = lambda s: ((s - targets) ** 2 / totals).sum()
+    assert off(np.array(reached)) < 1.05 * off(p.T @ (n * rate))
+    mixing.rates(*corpus, tokens=10.0, at_least=1.0)
+    assert "miss their targets" in caplog.text and "'one'" in caplog.text
+
+
 def test_a_domain_without_weight_goes(corpus):
     found, _ = mixing.rates(*corpus, weights={"two": 1}, tokens=100.0)
     one, two = totals(found)
