@@ -1,7 +1,7 @@
 """Mixing by soft membership: how often each document is taken, so that domains meet their targets.
 
-All on DataFrame functions. A naive Bayes classifier over the commonest words is counted from a
-labelled table and gives each document a posterior over the domains. With ``n`` the words of a
+All on DataFrame functions. A naive Bayes classifier over all words of a labelled sample is counted
+from that and gives each document a posterior over the domains. With ``n`` the words of a
 document and ``p`` its posterior, rates ``r >= 0`` are sought with ``sum(r * n * p[k])`` at
 domain ``k``'s target; of all such rates the ones nearest to 1, by ``sum(n * (r - 1)**2)``.
 These are ``max(0, 1 - sum(y[k] * p[k]))`` for one number ``y[k]`` a domain, so that only the
@@ -30,9 +30,10 @@ from fleetboard.llm.common import cut
 
 log = logging.getLogger(__name__)
 
-#: Labelled rows to learn from at most (those with the least hash of their id), words that the
-#: classifier knows, and domains: bounds of what is broadcast.
-TRAIN_ROWS, VOCABULARY, DOMAINS = 20_000, 4_096, 256
+#: Labelled rows to learn from at most (those with the least hash of their id), and domains.
+TRAIN_ROWS, DOMAINS = 20_000, 256
+#: A model of so many numbers (words times domains and one) is broadcast; a larger one is met by word in a shuffle.
+BROADCAST_NUMBERS = 1 << 22
 #: Descent ends when every domain is as near to its own target as this share of it, or after so many steps.
 CLOSE, STEPS = 1e-6, 600
 #: How far the numbers of the domains are held back; each hold ends with so small a share of the first gradient.
@@ -68,11 +69,11 @@ def classifier(rows: DataFrame, labelled: DataFrame, *, train_rows: int = TRAIN_
     counted = of_sample.groupBy("word").agg(
         *[F.count_if(F.col("domain") == F.lit(d)).alias(f"n{k}") for k, d in enumerate(domains)], F.count("*").alias("n")
     )
-    common = cut(counted.orderBy(F.desc("n"), "word").limit(VOCABULARY), "vocabulary")
     if not domains:
-        return [], common.select("word"), []
-    totals = common.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(domains))], F.count("*").alias("v")).first()
-    model = common.select(
+        return [], counted.select("word"), []
+    counted = cut(counted, "vocabulary")
+    totals = counted.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(domains))], F.count("*").alias("v")).first()
+    model = counted.select(
         "word", *[F.log((F.col(f"n{k}") + 1) / F.lit(float((totals[k] or 0) + totals.v + 1))).alias(f"l{k}") for k in range(len(domains))]
     )
     return domains, model, [math.log(shares[d] / sum(shares.values())) for d in domains]
@@ -86,11 +87,24 @@ def posteriors(rows: DataFrame, domains: list, model: DataFrame, priors: list[fl
     """
     known = range(len(domains))
     words = rows.select("id", "digest", F.posexplode_outer(words_of("text")).alias("place", "word"))
-    met = words.join(F.broadcast(model), "word", "left")
-    summed = met.groupBy("id", "digest").agg(
-        F.count("word").alias("n"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows"),
-        F.count("l0").alias("seen"), *[F.sum(f"l{k}").alias(f"s{k}") for k in known],
-    )
+    if model.count() * (len(domains) + 1) <= BROADCAST_NUMBERS:
+        met = words.join(F.broadcast(model), "word", "left")
+        summed = met.groupBy("id", "digest").agg(
+            F.count("word").alias("n"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows"),
+            F.count("l0").alias("seen"), *[F.sum(f"l{k}").alias(f"s{k}") for k in known],
+        )
+    else:
+        counts = words.groupBy("id", "digest", "word").agg(
+            F.count("word").alias("times"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows")
+        )
+        # Documents without words are spread: as NULL they would all meet in one task. No word has a space.
+        counts = counts.withColumn("word", F.coalesce("word", F.concat(F.lit(" "), F.xxhash64("id", "digest").cast("string"))))
+        met = counts.join(model, "word", "left")
+        summed = met.groupBy("id", "digest").agg(
+            F.sum("times").alias("n"), F.sum("rows").alias("rows"),
+            F.sum(F.when(F.col("l0").isNotNull(), F.col("times")).otherwise(0)).alias("seen"),
+            *[F.sum(F.col("times") * F.col(f"l{k}")).alias(f"s{k}") for k in known],
+        )
     one = F.greatest(F.sqrt(F.col("seen") / F.col("rows")), F.lit(1.0)) * F.col("rows")
     summed = summed.select(
         "id", "digest", "rows", (F.col("n") / F.col("rows")).alias("n"),

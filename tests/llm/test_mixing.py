@@ -54,6 +54,33 @@ def test_posteriors_against_plain_python(corpus):
         assert r.rows == (2 if r.id == 7 else 1)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_rare_domain_keeps_its_words(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 0)
+    # 5,000 words of the big domain, each oftener than any of the rare one's.
+    big = [(i, " ".join(f"big{(i * 50 + j) % 5000}" for j in range(100))) for i in range(200)]
+    rare = [(1000 + i, " ".join(f"rare{i * 3 % 10 + j}" for j in range(10))) for i in range(40)]
+    docs = spark.createDataFrame([*big, *rare, (2000, None), (2001, ""), rare[0]], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "big") for i, _ in big] + [(1000, "rare"), (1003, "rare")], "id long, domain string")
+    found, domains = mixing.rates(docs, labelled, weights={"big": 1, "rare": 1})
+    rows = {r.id: r for r in found.collect()}
+    assert domains == ["big", "rare"] and len(rows) == 242
+    own = [rows[i].posterior[1] for i, _ in rare]
+    assert min(own) > 0.5
+    assert rows[2000].n == rows[2001].n == 0 and rows[2000].posterior[1] == pytest.approx(2 / 202)
+    assert (rows[1000].rows, rows[1000].n, rows[5].rows, rows[5].n) == (2, 10, 1, 100)
+
+
+def test_posteriors_do_not_depend_on_how_words_meet_the_model(corpus, monkeypatch):
+    one = {(r.id, r.digest): r for r in mixing.rates(*corpus)[0].collect()}
+    monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 0)
+    two = {(r.id, r.digest): r for r in mixing.rates(*corpus)[0].collect()}
+    assert one.keys() == two.keys()
+    for key, r in one.items():
+        assert (r.rows, r.n) == (two[key].rows, two[key].n) and r.posterior == pytest.approx(two[key].posterior)
+
+
 def test_copies_round_the_rate(corpus):
     found, _ = mixing.rates(*corpus, weights={"one": 1, "two": 2})
     assert all(r.copies in (math.floor(r.rate), math.floor(r.rate) + 1) for r in found.collect())
