@@ -1,17 +1,20 @@
 """Mixing by soft membership: how often each document is taken, so that domains meet their targets.
 
-All on DataFrame functions. A naive Bayes classifier over all words of a labelled sample is counted
-from that and gives each document a posterior over the domains. With ``n`` the words of a
-document and ``p`` its posterior, rates ``r >= 0`` are sought with ``sum(r * n * p[k])`` at
-domain ``k``'s target; of all such rates the ones nearest to 1, by ``sum(n * (r - 1)**2)``.
-These are ``max(0, 1 - sum(y[k] * p[k]))`` for one number ``y[k]`` a domain, so that only the
-numbers are descended on, from 0: their gradient is the domains' distances from their targets.
-A distance is weighted by one over the domain's words, ``sum(n * p[k])``; as posteriors add up
-to 1, a step of full length along the gradient then never overshoots, and curvature that is
-learnt from the steps (BFGS) makes later ones longer. Targets that no rates reach would pull the
-numbers on for ever; their square is held back a little, and the hold moved on for as long as
-the weighted squared distance falls. A step costs one aggregation, of which a few numbers per
-domain reach the driver; rates are written nowhere.
+All on DataFrame functions. A naive Bayes classifier counted from a labelled sample gives each
+document a posterior over the domains. Its words are hashed into so many buckets that the model
+has at most ``MODEL_NUMBERS`` numbers, whatever the corpus and the number of domains: every word
+counts, and the broadcast model has a fixed bound.
+
+With ``n`` the words of a document, ``p`` its posterior and ``W[k] = sum(n * p[k])``, rates
+``r >= 0`` are fitted by projected-gradient least squares: they start at 1 and go down
+``sum((s[k] - T[k])**2 / W[k]) / 2`` with ``s[k] = sum(r * n * p[k])`` the expected words of
+domain ``k`` and ``T[k]`` its target. Measured by the documents' words, the gradient of a rate is
+``sum(p[k] * e[k])`` with ``e[k] = (s[k] - T[k]) / W[k]``, so that one number a domain tells every
+document its step, and the step is cut off where a rate would fall under its bound. As posteriors
+add up to 1, a step of length 1 always descends; each aggregation also tries the spectral length
+(Barzilai-Borwein) and four times that, and the best of them is taken. Rates are not written each
+time: a document walks through the steps so far, which every task gets as one array, and all
+aggregations share one compiled plan. A few numbers a domain reach the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
@@ -26,85 +30,91 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetboard.llm.common import cut
+from fleetboard.llm.common import cut, forget
 
 log = logging.getLogger(__name__)
 
-#: Labelled rows to learn from at most (those with the least hash of their id), and domains.
-TRAIN_ROWS, DOMAINS = 20_000, 256
-#: A model of so many numbers (words times domains and one) is broadcast; a larger one is met by word in a shuffle.
-BROADCAST_NUMBERS = 1 << 22
-#: Descent ends when every domain is as near to its own target as this share of it, or after so many steps.
-CLOSE, STEPS = 1e-6, 600
-#: How far the numbers of the domains are held back; each hold ends with so small a share of the first gradient.
-HOLD, FLAT = 1e-3, 1e-7
-#: A new hold has to lower the weighted squared distance by this share.
-WORTH = 0.01
-#: Step lengths that one aggregation tries.
-LENGTHS = (4.0, 1.0, 0.25, 0.0625)
+#: Labelled ids to learn from at most (those with the least hash).
+TRAIN_ROWS = 20_000
+#: Numbers of the model at most: buckets of words times domains and one.
+MODEL_NUMBERS = 1 << 20
+#: Descent ends when every domain is as near to its own target as this share of it.
+CLOSE = 1e-6
+#: It also ends when so many steps together lower the weighted squared distance by less than this share.
+PATIENCE, WORTH = 10, 0.01
+#: So many steps are walked through before the rates are written, and their walk begins anew.
+WALK = 32
 #: A domain that ends further from its target than this share of it is named in a warning.
 MISSED = 1e-3
 
 
+@dataclass
+class Fit:
+    """Rates with the domains in the order of their posteriors, their targets and the words reached."""
+
+    rates: DataFrame
+    domains: list
+    targets: list[float]
+    reached: list[float]
+
+    @property
+    def gaps(self) -> dict:
+        """Per domain the distance from its target, as a share of it."""
+        return {d: abs(r - t) / t if t else float(r > 0) for d, t, r in zip(self.domains, self.targets, self.reached)}
+
+
 def words_of(text: str) -> Column:
     """Lower-case runs of letters, digits and all that is not ASCII; NULL has none."""
     parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[\\x00-/:-`{-\\x7f]+")
     return F.filter(parts, lambda w: w != "")
 
 
+def _bucket(word: str, domains: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(max(1, MODEL_NUMBERS // (domains + 1))))
+
+
 def classifier(rows: DataFrame, labelled: DataFrame, *, train_rows: int = TRAIN_ROWS) -> tuple[list, DataFrame, list[float]]:
-    """The domains, the model (word, l0, l1, ...) and the logarithms of the domains' shares.
+    """The domains, the model (bucket, l0, l1, ...) and the logarithms of the domains' shares.
 
-    ``rows`` has id and text, ``labelled`` id and domain. NULL ids and domains are left out.
+    ``rows`` has id, digest and text, ``labelled`` id and domain. NULL ids and domains are left out.
+    A labelled id counts once, with its least domain and the text of least digest, however many
+    rows have it.
     """
-    sample = (
-        labelled.where("id IS NOT NULL AND domain IS NOT NULL")
-        .orderBy(F.xxhash64("id"), "id", "domain").limit(train_rows)
-    )
+    ids = labelled.where("id IS NOT NULL AND domain IS NOT NULL").groupBy("id").agg(F.min("domain").alias("domain"))
+    sample = ids.orderBy(F.xxhash64("id"), "id").limit(train_rows)
     shares = {r.domain: r.n for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(shares)
-    if len(domains) > DOMAINS:
-        raise ValueError(f"{len(domains)} domains among the labelled rows; at most {DOMAINS}")
-    of_sample = rows.join(F.broadcast(sample), "id").select("domain", F.explode(words_of("text")).alias("word"))
-    counted = of_sample.groupBy("word").agg(
-        *[F.count_if(F.col("domain") == F.lit(d)).alias(f"n{k}") for k, d in enumerate(domains)], F.count("*").alias("n")
-    )
+    texts = rows.join(F.broadcast(sample), "id").groupBy("id", "domain").agg(F.min_by("text", "digest").alias("text"))
+    words = texts.select("domain", F.explode(words_of("text")).alias("word"))
+    counted = words.groupBy(_bucket("word", len(domains)).alias("bucket"), "domain").agg(F.count("*").alias("n"))
     if not domains:
-        return [], counted.select("word"), []
+        return [], counted.select("bucket"), []
     counted = cut(counted, "vocabulary")
-    totals = counted.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(domains))], F.count("*").alias("v")).first()
-    model = counted.select(
-        "word", *[F.log((F.col(f"n{k}") + 1) / F.lit(float((totals[k] or 0) + totals.v + 1))).alias(f"l{k}") for k in range(len(domains))]
-    )
+    totals = {r.domain: r.n for r in counted.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
+    buckets = counted.agg(F.count_distinct("bucket")).first()[0]
+    by_domain = counted.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("domain", "n"))).alias("by"))
+    model = by_domain.select("bucket", *[
+        F.log((F.coalesce(F.try_element_at("by", F.lit(d)), F.lit(0)) + 1) / F.lit(float(totals.get(d, 0) + buckets + 1))).alias(f"l{k}")
+        for k, d in enumerate(domains)
+    ])
     return domains, model, [math.log(shares[d] / sum(shares.values())) for d in domains]
 
 
 def posteriors(rows: DataFrame, domains: list, model: DataFrame, priors: list[float]) -> DataFrame:
     """Per distinct (id, digest): n, the words of one row, rows, and the posterior p0, p1, ...
 
-    A document's evidence is divided by the root of its known words, as words are not
-    independent; else long texts would have no soft membership.
+    Words of buckets that the labelled sample does not have say nothing. A document's evidence is
+    divided by the root of its known words, as words are not independent; else long texts would
+    have no soft membership.
     """
     known = range(len(domains))
     words = rows.select("id", "digest", F.posexplode_outer(words_of("text")).alias("place", "word"))
-    if model.count() * (len(domains) + 1) <= BROADCAST_NUMBERS:
-        met = words.join(F.broadcast(model), "word", "left")
-        summed = met.groupBy("id", "digest").agg(
-            F.count("word").alias("n"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows"),
-            F.count("l0").alias("seen"), *[F.sum(f"l{k}").alias(f"s{k}") for k in known],
-        )
-    else:
-        counts = words.groupBy("id", "digest", "word").agg(
-            F.count("word").alias("times"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows")
-        )
-        # Documents without words are spread: as NULL they would all meet in one task. No word has a space.
-        counts = counts.withColumn("word", F.coalesce("word", F.concat(F.lit(" "), F.xxhash64("id", "digest").cast("string"))))
-        met = counts.join(model, "word", "left")
-        summed = met.groupBy("id", "digest").agg(
-            F.sum("times").alias("n"), F.sum("rows").alias("rows"),
-            F.sum(F.when(F.col("l0").isNotNull(), F.col("times")).otherwise(0)).alias("seen"),
-            *[F.sum(F.col("times") * F.col(f"l{k}")).alias(f"s{k}") for k in known],
-        )
+    words = words.select("id", "digest", "place", "word", _bucket("word", len(domains)).alias("bucket"))
+    summed = words.join(F.broadcast(model), "bucket", "left").groupBy("id", "digest").agg(
+        F.count("word").alias("n"), F.count_if(F.expr("place IS NULL OR place = 0")).alias("rows"),
+        F.sum(F.when(F.col("word").isNotNull(), F.expr("int(l0 IS NOT NULL)"))).alias("seen"),
+        *[F.sum(F.when(F.col("word").isNotNull(), F.col(f"l{k}"))).alias(f"s{k}") for k in known],
+    )
     one = F.greatest(F.sqrt(F.col("seen") / F.col("rows")), F.lit(1.0)) * F.col("rows")
     summed = summed.select(
         "id", "digest", "rows", (F.col("n") / F.col("rows")).alias("n"),
@@ -129,113 +139,128 @@ def targets_of(totals: list[float], domains: list, weights: Mapping | None, temp
     return [scale * w for w in wanted]
 
 
+def _numbers(values) -> str:
+    """An array in SQL text; Spark folds it into one object that compiled code refers to."""
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
+
+
+def _walked(steps: list[np.ndarray], at_least: float) -> str:
+    """The rate, in SQL, after the steps so far: each is cut off at the bound."""
+    walk = f"array({', '.join(map(_numbers, steps))})"
+    return f"aggregate({walk}, rate, (r, v) -> greatest(r - {_DOT}, {float(at_least)!r}D))"
+
+
+_DOT = "aggregate(zip_with(p, v, (a, b) -> a * b), 0D, (t, x) -> t + x)"
+
+
 def fit_rates(members: DataFrame, totals: list[float], targets: list[float], at_least: float = 0.0) -> tuple[DataFrame, list[float]]:
     """``members`` with ``rate`` (``at_least`` or more), and the domains' expected totals under it.
 
     Where no rates reach the targets, as when posteriors do not tell the domains apart or
-    ``at_least`` is too much for one of them, the weighted squared distance is brought down
-    until a new hold lowers it by less than ``WORTH``. The best state met is returned.
+    ``at_least`` is too much for one of them, the least squares are gone down to until
+    ``PATIENCE`` steps lower them by less than ``WORTH``.
     """
     known = range(len(targets))
     start, want = np.array(totals, float), np.array(targets, float)
     # A domain without any words is out of reach, whatever the rates.
     words = np.where(start > 0, start, 1.0)
-    root, want = np.sqrt(words), np.where(start > 0, want, 0.0)
-
-    # As SQL text, which Spark takes in one call; a Column for each operation takes a second a step.
-    def rate_of(y: np.ndarray) -> str:
-        pull = " + ".join(f"p{k} * {float(y[k])!r}D" for k in known)
-        return f"greatest(1D - ({pull}), {float(at_least)!r}D)"
+    want = np.where(start > 0, want, 0.0)
+    posterior = f"array({', '.join(f'p{k}' for k in known)})"
+    now = members.selectExpr("*", f"greatest(1D, {float(at_least)!r}D) AS rate")
+    written, steps = None, [np.zeros(len(want))]
 
     def measure(tried: list[np.ndarray]) -> list[tuple[np.ndarray, float]]:
-        """Per state the domains' totals and half the squared way of the rates from 1."""
-        rated = members.selectExpr("n * rows AS mass", *[f"p{k}" for k in known], *[f"{rate_of(y)} AS r{i}" for i, y in enumerate(tried)])
-        sums = [
-            f"sum({x})" for i in range(len(tried))
-            for x in (*[f"mass * p{k} * r{i}" for k in known], f"mass * (r{i} - 1D) * (r{i} - 1D) / 2D")
-        ]
-        flat = np.array([x or 0.0 for x in rated.selectExpr(*sums).first()]).reshape(len(tried), -1)
-        return [(row[:-1], float(row[-1])) for row in flat]
-
-    def distance(now: np.ndarray) -> float:
-        return float(((now - want) ** 2 / words).sum())
-
-    y = hold = np.zeros(len(want))
-    [(now, way)] = measure([y])
-    best = (distance(now), y, now)
-    bend, last, steps = np.eye(len(y)), math.inf, 1
-    flat = FLAT * math.sqrt(best[0])
-    while steps < STEPS and np.any(np.abs(now - want) > CLOSE * np.where(want > 0, want, words)):
-        # The held problem is concave in y: up to where its gradient vanishes.
-        value = lambda at, s, q: -(q + at @ (s - want) - HOLD / 2 * (words * (at - hold) ** 2).sum())
-        slope_of = lambda at, s: -(s - want) / root + HOLD * root * (at - hold)
-        height, slope = value(y, now, way), slope_of(y, now)
-        while steps < STEPS and np.linalg.norm(slope) > flat:
-            move = -bend @ slope
-            tried = [y + length * move / root for length in LENGTHS]
-            found = measure(tried)
-            steps += 1
-            heights = [value(at, *f) for at, f in zip(tried, found)]
-            i = int(np.argmin(heights))
-            if not heights[i] < height:
-                if np.array_equal(bend, np.eye(len(y))):
-                    break  # No lower state by the precision of the sums.
-                bend = np.eye(len(y))
-                continue
-            moved, turned = (tried[i] - y) * root, slope_of(tried[i], found[i][0]) - slope
-            if moved @ turned > 1e-12 * np.linalg.norm(moved) * np.linalg.norm(turned):
-                part = np.eye(len(y)) - np.outer(moved, turned) / (moved @ turned)
-                bend = part @ bend @ part.T + np.outer(moved, moved) / (moved @ turned)
-            y, (now, way), height, slope = tried[i], found[i], heights[i], slope + turned
-            best = min(best, (distance(now), y, now), key=lambda state: state[0])
-        if distance(now) > (1 - WORTH) * last:
+        """Per step the domains' totals after it, and how far it moves the rates, squared."""
+        rated = now.selectExpr("n * rows AS m", f"{posterior} AS p", "rate").selectExpr("m", "p", f"{_walked(steps, at_least)} AS old")
+        ways = f"array({', '.join(map(_numbers, tried))})"
+        after = rated.selectExpr("m", "p", "old", f"transform({ways}, v -> greatest(old - {_DOT}, {float(at_least)!r}D)) AS new")
+        terms = "flatten(transform(new, x -> concat(transform(p, q -> m * q * x), array(m * (x - old) * (x - old)))))"
+        sums = after.select(F.posexplode(F.expr(terms)).alias("at", "term")).groupBy("at").agg(F.sum("term").alias("sum"))
+        flat = np.zeros(len(tried) * (len(want) + 1))
+        for r in sums.collect():
+            flat[r["at"]] = r["sum"] or 0.0
+        return [(row[:-1], float(row[-1])) for row in flat.reshape(len(tried), -1)]
+
+    def height(sums: np.ndarray) -> float:
+        return float(((sums - want) ** 2 / words).sum())
+
+    sums, length = start if at_least <= 1 else measure([steps[0]])[0][0], 1.0
+    heights = [height(sums)]
+    while np.any(np.abs(sums - want) > CLOSE * np.where(want > 0, want, words)):
+        slope = (sums - want) / words
+        tried = [share * slope for share in sorted({1.0, length, 4 * length})]
+        found = measure(tried)
+        best = int(np.argmin([height(s) for s, _ in found]))
+        if not height(found[best][0]) < heights[-1]:
+            break  # No lower state by the precision of the sums.
+        steps.append(tried[best])
+        moved = ((found[best][0] - sums) ** 2 / words).sum()
+        length = found[best][1] / moved if moved > 0 else 1.0
+        sums = found[best][0]
+        heights.append(height(sums))
+        if len(heights) > PATIENCE and heights[-1] > (1 - WORTH) * heights[-1 - PATIENCE]:
             break
-        last, hold = distance(now), y
-    _, y, now = best
-    return members.selectExpr("*", f"{rate_of(y)} AS rate"), [float(x) for x in now]
+        if len(steps) > WALK:
+            before, written = written, cut(now.selectExpr(*[c for c in now.columns if c != "rate"], f"{_in_place(posterior, steps, at_least)} AS rate"), "rates")
+            now, steps = written, steps[:1]
+            if before is not None:
+                forget(before)
+    fitted = now.selectExpr(*[c for c in now.columns if c != "rate"], f"{_in_place(posterior, steps, at_least)} AS rate")
+    return fitted, [float(x) for x in sums]
+
+
+def _in_place(posterior: str, steps: list[np.ndarray], at_least: float) -> str:
+    return _walked(steps, at_least).replace("zip_with(p,", f"zip_with({posterior},")
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("digest"), F.col(f"`{text}`").alias("text"))
 
 
-def rates(
+def fit(
     docs: DataFrame, labelled: DataFrame, *, key: str = "doc_id", text: str = "text",
     weights: Mapping | None = None, temperature: float = 0.7, tokens: float | None = None, at_least: float = 0.0,
     train_rows: int = TRAIN_ROWS,
-) -> tuple[DataFrame, list]:
-    """Rates of all documents, and the domains in the order of their posterior.
+) -> Fit:
+    """Rates of all documents, the domains in the order of their posterior, targets and words reached.
 
     ``labelled`` has columns id and domain. One row per distinct id and text: id, digest, rows
     (how many rows are equal), n (words), posterior (array), rate (0 or more) and copies: the
     whole part of the rate, and one more with the chance of its fraction, by a hash of the row.
     NULL and empty texts have no words and the domains' shares as posterior; their rate moves
     like any other but weighs nothing. ``at_least`` 1 keeps every document. Domains that no rates bring
-    to their targets are logged as a warning, with the words reached. Without labels there is no domain, and all rates are 1.
+    to their targets are logged as a warning. Without labels there is no domain, and all rates are 1.
     """
     rows = _rows(docs, key, text)
     domains, model, priors = classifier(rows, labelled, train_rows=train_rows)
     if not domains:
         plain = rows.groupBy("id", "digest").agg(F.count("*").alias("rows"), F.max(F.size(words_of("text"))).cast("double").alias("n"))
-        return plain.select(
+        return Fit(plain.select(
             "id", "digest", "rows", "n", F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies")
-        ), []
+        ), [], [], [])
     known = range(len(domains))
     members = cut(posteriors(rows, domains, model, priors), "posteriors")
     mass = F.col("n") * F.col("rows")
     totals = [x or 0.0 for x in members.agg(*[F.sum(mass * F.col(f"p{k}")) for k in known]).first()]
     targets = targets_of(totals, domains, weights, temperature, tokens)
     fitted, reached = fit_rates(members, totals, targets, at_least)
-    missed = {d: (r, t) for d, r, t in zip(domains, reached, targets) if abs(r - t) > MISSED * t}
-    if missed:
-        log.warning("domains that miss their targets (words reached, target): %s", missed)
     chance = F.pmod(F.xxhash64("id", "digest", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     # Differences of a millionth are those of the order of summing, not of the data.
     steady = F.round("rate", 6)
-    return fitted.select(
+    found = Fit(fitted.select(
         "id", "digest", "rows", "n", F.array(*[f"p{k}" for k in known]).alias("posterior"), steady.alias("rate"),
         (F.floor(steady) + (chance < steady - F.floor(steady)).cast("int")).cast("int").alias("copies"),
-    ), domains
+    ), domains, targets, reached)
+    missed = {d: (reached[k], targets[k]) for k, d in enumerate(domains) if found.gaps[d] > MISSED}
+    if missed:
+        log.warning("domains that miss their targets (words reached, target): %s", missed)
+    return found
+
+
+def rates(docs: DataFrame, labelled: DataFrame, **options) -> tuple[DataFrame, list]:
+    """``fit``'s rates and domains alone."""
+    found = fit(docs, labelled, **options)
+    return found.rates, found.domains
 
 
 def mix(docs: DataFrame, labelled: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

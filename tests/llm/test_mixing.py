@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from fleetboard.llm import mixing
+from fleetboard.llm.common import cut
 
 
 @pytest.fixture(scope="module")
@@ -54,10 +55,7 @@ def test_posteriors_against_plain_python(corpus):
         assert r.rows == (2 if r.id == 7 else 1)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_a_rare_domain_keeps_its_words(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 0)
+def test_a_rare_domain_keeps_its_words(spark):
     # 5,000 words of the big domain, each oftener than any of the rare one's.
     big = [(i, " ".join(f"big{(i * 50 + j) % 5000}" for j in range(100))) for i in range(200)]
     rare = [(1000 + i, " ".join(f"rare{i * 3 % 10 + j}" for j in range(10))) for i in range(40)]
@@ -72,13 +70,26 @@ def test_a_rare_domain_keeps_its_words(spark, monkeypatch, broadcast):
     assert (rows[1000].rows, rows[1000].n, rows[5].rows, rows[5].n) == (2, 10, 1, 100)
 
 
-def test_posteriors_do_not_depend_on_how_words_meet_the_model(corpus, monkeypatch):
-    one = {(r.id, r.digest): r for r in mixing.rates(*corpus)[0].collect()}
-    monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 0)
-    two = {(r.id, r.digest): r for r in mixing.rates(*corpus)[0].collect()}
-    assert one.keys() == two.keys()
-    for key, r in one.items():
-        assert (r.rows, r.n) == (two[key].rows, two[key].n) and r.posterior == pytest.approx(two[key].posterior)
+def test_the_model_has_a_fixed_bound(corpus, monkeypatch):
+    monkeypatch.setattr(mixing, "MODEL_NUMBERS", 9)
+    docs, labelled = corpus
+    domains, model, _ = mixing.classifier(mixing._rows(docs, "doc_id", "text"), labelled)
+    assert len(domains) == 2 and 0 < model.count() <= 3  # of 3 buckets
+    found, _ = mixing.rates(docs, labelled)
+    assert sum(r.rows for r in found.collect()) == docs.count()
+
+
+def test_one_labelled_id_on_a_third_of_all_rows(spark):
+    rows = [(i, f"one a{i} " * 5) for i in range(40)] + [(100 + i, f"two b{i} " * 5) for i in range(40)]
+    hot = [(500, f"one c{i} " * 3) for i in range(40)]
+    labelled = spark.createDataFrame([(i, "one" if i < 100 else "two") for i, _ in rows[::2]] + [(500, "one")] * 40, "id long, domain string")
+    docs = spark.createDataFrame(rows + hot, "doc_id long, text string")
+    _, model, priors = mixing.classifier(mixing._rows(docs, "doc_id", "text"), labelled)
+    assert priors == pytest.approx([math.log(21 / 41), math.log(20 / 41)])
+    # 40 texts of two words each, and a single one of the id with 40 texts.
+    assert model.count() == 2 + 40 + 1
+    found, _ = mixing.rates(docs, labelled, weights={"one": 1, "two": 2}, tokens=3000.0)
+    assert found.count() == 120 and totals(found) == pytest.approx([1000, 2000], rel=1e-3)
 
 
 def test_copies_round_the_rate(corpus):
@@ -112,10 +123,10 @@ def skewed(spark, domains, own):
         rows.append((i, i, 1, float(g.integers(5, 300)), *map(float, p)))
     columns = ", ".join(f"p{k} double" for k in range(domains))
     p, n = np.array([r[4:] for r in rows]), np.array([r[3] for r in rows])
-    return spark.createDataFrame(rows, f"id long, digest long, rows long, n double, {columns}"), p, n
+    return cut(spark.createDataFrame(rows, f"id long, digest long, rows long, n double, {columns}"), "members"), p, n
 
 
-@pytest.mark.parametrize("domains, own", [(4, (0.3, 0.3)), (12, (0.1, 0.3))])
+@pytest.mark.parametrize("domains, own", [(4, (0.3, 0.3)), (12, (0.1, 0.3)), (300, (0.5, 0.7))])
 def test_skewed_overlapping_domains_each_meet_their_own_target(spark, domains, own):
     members, p, n = skewed(spark, domains, own)
     totals = p.T @ n
