@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetboard.llm import arc, chat, decontaminate, mixing, phrases, quality, simhash, substrings, tokens, toxicity
+from fleetboard.llm import (
+    arc, chat, decontaminate, merkle, mixing, phrases, quality, search, secrets, simhash, substrings, tokens, toxicity,
+)
 from fleetboard.llm.common import cut, importable
 from fleetboard.llm.oracle import ORACLE as ORACLE
 
@@ -81,6 +83,38 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(written).drop("rank").withColumnRenamed("tree", "conv_id")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = docs.select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("grp"),
+        merkle.leaf("doc_id", "source", "lang", "n_chars", "text").alias("leaf"),
+        F.when(changed, merkle.leaf("doc_id", "source", "lang", "n_chars", folded)).alias("seen"),
+    )
+    return merkle.audit(merkle.build(rows)).drop("grp", "seen").withColumnRenamed("id", "doc_id")
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_arc": op2_arc,
@@ -92,4 +126,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_tokens": op9_tokens,
     "op10_chat": op10_chat,
+    "op11_search": op11_search,
+    "op12_merkle": op12_merkle,
+    "op13_secrets": op13_secrets,
 }
