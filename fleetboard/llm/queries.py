@@ -104,13 +104,16 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE]
 
+    def of_kinds(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base],
-        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        *[F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(joined(of_kinds(*base)), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
 
