@@ -38,8 +38,8 @@ log = logging.getLogger(__name__)
 TRAIN_ROWS = 20_000
 #: Numbers of the model at most: buckets of words times domains and one.
 MODEL_NUMBERS = 1 << 20
-#: Descent ends when every domain is as near to its own target as this share of it.
-CLOSE = 1e-6
+#: ``fit`` ends its descent when every domain is as near to its own target as this share of it.
+CLOSE = 1e-4
 #: It also ends when so many steps together lower the weighted squared distance by less than this share.
 PATIENCE, WORTH = 10, 0.01
 #: So many steps are walked through before the rates are written, and their walk begins anew.
@@ -153,10 +153,10 @@ def _walked(steps: list[np.ndarray], at_least: float) -> str:
 _DOT = "aggregate(zip_with(p, v, (a, b) -> a * b), 0D, (t, x) -> t + x)"
 
 
-def fit_rates(members: DataFrame, totals: list[float], targets: list[float], at_least: float = 0.0) -> tuple[DataFrame, list[float]]:
+def fit_rates(members: DataFrame, totals: list[float], targets: list[float], at_least: float = 0.0, close: float = 1e-6) -> tuple[DataFrame, list[float]]:
     """``members`` with ``rate`` (``at_least`` or more), and the domains' expected totals under it.
 
-    Where no rates reach the targets, as when posteriors do not tell the domains apart or
+    Ends when each domain is within the share ``close`` of its own target. Where no rates reach the targets, as when posteriors do not tell the domains apart or
     ``at_least`` is too much for one of them, the least squares are gone down to until
     ``PATIENCE`` steps lower them by less than ``WORTH``.
     """
@@ -186,7 +186,7 @@ def fit_rates(members: DataFrame, totals: list[float], targets: list[float], at_
 
     sums, length = start if at_least <= 1 else measure([steps[0]])[0][0], 1.0
     heights = [height(sums)]
-    while np.any(np.abs(sums - want) > CLOSE * np.where(want > 0, want, words)):
+    while np.any(np.abs(sums - want) > close * np.where(want > 0, want, words)):
         slope = (sums - want) / words
         tried = [share * slope for share in sorted({1.0, length, 4 * length})]
         found = measure(tried)
@@ -220,7 +220,7 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 def fit(
     docs: DataFrame, labelled: DataFrame, *, key: str = "doc_id", text: str = "text",
     weights: Mapping | None = None, temperature: float = 0.7, tokens: float | None = None, at_least: float = 0.0,
-    train_rows: int = TRAIN_ROWS,
+    train_rows: int = TRAIN_ROWS, close: float = CLOSE,
 ) -> Fit:
     """Rates of all documents, the domains in the order of their posterior, targets and words reached.
 
@@ -228,7 +228,8 @@ def fit(
     (how many rows are equal), n (words), posterior (array), rate (0 or more) and copies: the
     whole part of the rate, and one more with the chance of its fraction, by a hash of the row.
     NULL and empty texts have no words and the domains' shares as posterior; their rate moves
-    like any other but weighs nothing. ``at_least`` 1 keeps every document. Domains that no rates bring
+    like any other but weighs nothing. Each domain ends within the share ``close`` of its target, or as
+    ``Fit.gaps`` says. ``at_least`` 1 keeps every document. Domains that no rates bring
     to their targets are logged as a warning. Without labels there is no domain, and all rates are 1.
     """
     rows = _rows(docs, key, text)
@@ -243,7 +244,7 @@ def fit(
     mass = F.col("n") * F.col("rows")
     totals = [x or 0.0 for x in members.agg(*[F.sum(mass * F.col(f"p{k}")) for k in known]).first()]
     targets = targets_of(totals, domains, weights, temperature, tokens)
-    fitted, reached = fit_rates(members, totals, targets, at_least)
+    fitted, reached = fit_rates(members, totals, targets, at_least, close)
     chance = F.pmod(F.xxhash64("id", "digest", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     # Differences of a millionth are those of the order of summing, not of the data.
     steady = F.round("rate", 6)
