@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,8 +213,9 @@ def entries_of_calls(
     *,
     zone: str = DEFAULT_ZONE,
     page_s: int = PAGE_SECONDS,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Board entries of (tripId, feedSec, calls) rows whose trip is known.
+    """Board entries of (tripId, feedSec, calls) rows whose trip is known, with the columns ``also``.
 
     ``page`` numbers the stretch of ``page_s`` seconds in which the call arrives.
     """
@@ -225,6 +228,7 @@ def entries_of_calls(
         "tripHeadSign",
         F.col("feedSec").alias("updateSec"),
         local_time(F.col("feedSec"), zone).alias("updateTime"),
+        *also,
         F.inline_outer("calls"),
     ).where(F.col("arrivalSec").isNotNull())
     return entries.select(
@@ -237,6 +241,7 @@ def entries_of_calls(
         local_time(F.col("arrivalSec"), zone).alias("arrivalTime"),
         "delay",
         page_of("arrivalSec", page_s).alias("page"),
+        *also,
     )
 
 

@@ -1 +1,4 @@
-"""The driver tables as transit feeds, the queries over them, and their SQL."""
+"""Named queries over the driver tables, and their SQL."""
+
+from fleetboard.plans import maintained as maintained
+from fleetboard.plans import queries as queries

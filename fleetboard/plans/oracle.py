@@ -6,6 +6,7 @@ The leading CTEs rebuild the transit-shaped views of ``feeds.py``.
 from __future__ import annotations
 
 from fleetboard.operators.paging import PAGE_SECONDS, PAGE_SIZE
+from fleetboard.plans.maintained import AFTER_S, BEFORE_S, LATE_S, POLL_DAYS, TTL_S
 from fleetboard.plans.queries import POS_HORIZON, POS_NOW, SELECTED, TRIP_HORIZON, TRIP_NOW
 
 
@@ -165,7 +166,51 @@ _LIVE = _sql(
 )
 _COUNTS = _sql("SELECT * FROM counted", VIEWS, _entries("upd"), _counted('"stopId", "updateTime"'))
 
+_POLL = f"CAST((day(ts) - 1) // {POLL_DAYS} AS INT)"
+
+_CHANGES = f"""
+WITH s AS (SELECT user_id, poll, max(event_id) AS event_id FROM (
+    SELECT user_id, event_id, unnest(range({_POLL}, {30 // POLL_DAYS + 1})) AS poll FROM events) GROUP BY ALL),
+v AS (SELECT user_id, poll, CASE WHEN event_type <> 'error' THEN event_id END AS now
+  FROM s JOIN events USING (user_id, event_id)),
+c AS (SELECT poll, now, lag(now) OVER (PARTITION BY user_id ORDER BY poll) AS before FROM v)
+SELECT poll, CASE WHEN before IS NULL THEN 'insert' WHEN now IS NULL THEN 'delete' ELSE 'change' END AS kind, count(*) AS n
+FROM c WHERE now IS DISTINCT FROM before GROUP BY ALL"""
+
+# A vehicle ends where a watermark passes it before the poll of its next row.
+_EXPIRY = f"""
+WITH e AS (SELECT user_id, event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS sec, {_POLL} AS poll FROM events),
+n AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id, poll ORDER BY sec DESC, event_id DESC) = 1),
+w AS (SELECT poll, max(max(sec)) OVER (ORDER BY poll) - {LATE_S} AS mark FROM e GROUP BY poll),
+q AS (SELECT *, lead(poll) OVER (PARTITION BY user_id ORDER BY poll) AS later FROM n)
+SELECT CAST(user_id AS VARCHAR) AS key, CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS value, sec AS seconds FROM q
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), NULL, sec + {TTL_S} FROM q WHERE event_type <> 'error' AND EXISTS (
+  SELECT 1 FROM w WHERE w.poll >= q.poll AND q.sec + {TTL_S} <= w.mark AND (q.later IS NULL OR w.poll + 1 < q.later))"""
+
+_INTERVAL = f"""
+WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events),
+v AS (SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END AS "tripId", sec AS "updateSec"
+  FROM e WHERE event_id % 2 = 0)
+SELECT id, "tripId", "updateSec", u.sec AS "feedSec", u.event_id AS "tripSeq"
+FROM v LEFT JOIN e u ON u.event_id % 2 = 1 AND CAST(u.user_id AS VARCHAR) = "tripId"
+  AND u.sec BETWEEN "updateSec" - {BEFORE_S} AND "updateSec" + {AFTER_S}
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY u.sec DESC NULLS LAST, u.event_id DESC) = 1"""
+
 ORACLE: dict[str, str] = {
+    "replay_polls": f"SELECT event_id, user_id, {_POLL} AS poll FROM events WHERE {_POLL} BETWEEN 1 AND 3",
+    "stream_stop_weights": _sql("SELECT * FROM counted", *_ONE_PER_TRIP, _counted('"stopId", "updateTime"')),
+    "stream_board_changes": _CHANGES,
+    "stream_expiry": _EXPIRY,
+    "stream_interval_join": _INTERVAL,
+    "ingest_counts": _sql(
+        f"""SELECT count(*) AS rows, count(*) FILTER (seq % 5 = 0) AS corrupt,
+       count(*) FILTER (seq % 5 <> 0 AND {POS_NOW} - ts_sec < {POS_HORIZON}) AS fresh,
+       count(*) FILTER (seq % 5 <> 0 AND {POS_NOW} - ts_sec >= {POS_HORIZON}) AS late,
+       max(ts_sec) FILTER (seq % 5 <> 0) AS newest, min(ts_sec) FILTER (seq % 5 <> 0) AS oldest FROM pos""",
+        VIEWS,
+    ),
+    "bucketed_lookup": _sql(_LOOKUP.format(""), VIEWS),
     "parse_vehicle_json": _sql(f"SELECT {_POSITION} FROM pos", VIEWS),
     "parse_trip_json": _sql(
         """SELECT u.id, u.ts_sec AS "feedSec", u.seq, u.start_time AS "startTime", u.n AS stops,

@@ -26,7 +26,6 @@ from fleetboard.sources import (
 )
 from fleetboard.streaming import (
     BoardJob,
-    join_trip_stream,
     relay,
     run_boards,
     shared_folder,
@@ -628,38 +627,3 @@ def stream_stop_counts(spark: SparkSession, d: str) -> DataFrame:
     # Two feed times share their local text when clocks go back.
     same = [c for c in rows.columns if c not in ("n", "updateSec")]
     return rows.groupBy(*same).agg(F.sum("n").alias("n"), F.max("updateSec").alias("updateSec"))
-
-
-@query
-def stream_trip_join(spark: SparkSession, d: str) -> DataFrame:
-    """Vehicles with their trip state, joined by the keyed stateful operator."""
-    root = shared_folder(spark, "join")
-    own = spark.newSession()
-    own.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        own.conf.set(name, spark.conf.get(name))
-    vehicles = B.slim_positions(V.positions(V.table_stream(own, d, "events")))
-    trips = O.trip_state(V.trip_updates(V.table_stream(own, d, "lineitem")))
-    joined = join_trip_stream(vehicles, trips, salts=2, vehicle_ttl_s=POS_HORIZON)
-    (
-        joined.writeStream.outputMode("update")
-        .foreachBatch(
-            lambda batch, batch_id: batch.write.mode("overwrite").parquet(
-                f"{root}/rows/batch={batch_id}"
-            )
-        )
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    rows = spark.read.schema(joined.schema).parquet(f"{root}/rows")
-    newest = O.latest_by_key(
-        rows.select(*joined.columns), "id", ["updateSec", "seq", "feedSec", "tripSeq"]
-    )
-    return newest.select(
-        "id", "tripId", "updateSec", "feedSec", "startTime", "stopSequence", "stopId", "approachSec", "delay"
-    )

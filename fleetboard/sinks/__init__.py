@@ -1,3 +1,4 @@
+from fleetboard.sinks.metrics import with_counts
 from fleetboard.sinks.upsert import (
     PRODUCER_OPTIONS,
     append_changes,
@@ -21,6 +22,7 @@ __all__ = [
     "served",
     "stop_upserts",
     "to_upsert",
+    "with_counts",
     "write_archive",
     "write_jdbc",
     "write_topic",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,3 +48,16 @@ def read_stop_times(spark: SparkSession, path: str) -> DataFrame:
 def read_shapes(spark: SparkSession, path: str) -> DataFrame:
     """Route points, columns bound by their header names."""
     return _named(spark, path, S.SHAPES)
+
+
+def store_bucketed(rows: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """``rows`` written to a new folder in ``buckets`` by hash of ``key``, each sorted by it, and read again.
+
+    Tables stored by the same key in as many buckets join, and group, by it without a shuffle: a
+    lookup or archive that many jobs read is dealt out once. The rows are dealt to their buckets
+    before they are written, so that each bucket is one file; NULL keys, which join nothing, share one.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    dealt = rows.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return rows.sparkSession.table(name)

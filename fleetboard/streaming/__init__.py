@@ -1,5 +1,24 @@
 from fleetboard.streaming.boards import BoardJob, print_messages, relay, run_boards, write_latest
+from fleetboard.streaming.changes import only_changes, with_expiry
+from fleetboard.streaming.deltas import add_deltas, call_deltas, fold_deltas, read_weights
 from fleetboard.streaming.folders import shared_folder
+from fleetboard.streaming.interval import join_within, newest_match
 from fleetboard.streaming.state import join_trip_stream
 
-__all__ = ["BoardJob", "join_trip_stream", "print_messages", "relay", "run_boards", "shared_folder", "write_latest"]
+__all__ = [
+    "BoardJob",
+    "add_deltas",
+    "call_deltas",
+    "fold_deltas",
+    "join_trip_stream",
+    "join_within",
+    "newest_match",
+    "only_changes",
+    "print_messages",
+    "read_weights",
+    "relay",
+    "run_boards",
+    "shared_folder",
+    "with_expiry",
+    "write_latest",
+]

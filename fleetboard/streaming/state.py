@@ -1,17 +1,18 @@
-"""Vehicle-to-trip join as a keyed stateful operator.
+"""Vehicles followed from trip to trip by two chained keyed states.
 
-For state too large to merge batch by batch: the state store holds it, and each
-batch touches only the trips it brings. Needs the RocksDB state store provider
-(``spark.sql.streaming.stateStore.providerClass``).
+For state too large to merge batch by batch: the state store holds it, and each batch touches only
+the vehicles and trips it brings. Needs the RocksDB state store provider
+(``spark.sql.streaming.stateStore.providerClass``) and output mode append.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -41,34 +42,46 @@ _TRIP = T.StructType(
     ]
 )
 _ID = T.StructType([T.StructField("id", T.StringType())])
-JOINED = T.StructType(_ID.fields + _VEHICLE.fields + _TRIP.fields)
+_EVENT = T.StructType([T.StructField("trip", T.StringType()), T.StructField("kind", T.StringType()), *_ID, *_VEHICLE])
+#: ``gone`` marks a vehicle that has run out of time; such a row has its id alone.
+JOINED = T.StructType([*_ID, T.StructField("gone", T.BooleanType()), *_VEHICLE, *_TRIP])
 
+#: What a vehicle tells a trip: that it is there, has left for another, or has run out of time.
+HERE, LEFT, GONE = "here", "left", "gone"
+NO_TRIP_UPDATE = (None, None, None, SENTINEL, SENTINEL, 0, None)
 
-def _rows_at(frame: pd.DataFrame, at: np.ndarray, schema: T.StructType) -> list[tuple]:
-    """The rows at the given places as state values; missing numbers and text are None."""
-    columns = []
-    for f in schema:
-        values = frame[f.name].to_numpy()[at].tolist()
-        kind = int if isinstance(f.dataType, T.LongType) else lambda v: v
-        columns.append([None if v is None or v != v else kind(v) for v in values])
-    return list(zip(*columns))
 
+def rank(*numbers: int | None) -> tuple:
+    """An order of rows by numbers, missing ones before all others."""
+    return tuple((n is not None, n or 0) for n in numbers)
 
-def _places(frame: pd.DataFrame, among: np.ndarray, first: str, second: str) -> np.ndarray:
-    """Places of the rows ``among``, oldest first; missing numbers come before all others."""
-    keys = [np.nan_to_num(frame[c].to_numpy(dtype=float)[among], nan=-1) for c in (second, first)]
-    return among[np.lexsort(keys)]
 
+def newest_in_batches(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Of each key's rows in an Arrow batch the one of greatest ``order``, missing values first.
 
-def _rank(*numbers) -> tuple:
-    return tuple(-1 if n is None else n for n in numbers)
+    Each task does this to what it has read, before a shuffle by key: a key with a third of all
+    rows then sends one row per batch of a task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by = [(key, "ascending"), *[(c, "ascending") for c in order]]
+            sorted_rows = batch.take(pc.sort_indices(batch, sort_keys=by, null_placement="at_start"))
+            codes = sorted_rows[key].dictionary_encode(null_encoding="encode").indices.to_numpy()
+            last = np.append(codes[1:] != codes[:-1], True) if len(codes) else np.zeros(0, bool)
+            yield sorted_rows.filter(pa.array(last))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
-class _TripJoin(StatefulProcessor):
-    """Newest trip update of a key, and the newest row of each of its vehicles.
+def _of(row: Row, schema: T.StructType) -> tuple:
+    return tuple(row[f.name] for f in schema)
 
-    A vehicle leaves ``ttl_ms`` of event time after its last row, when the
-    watermark passes that.
+
+class _Place(StatefulProcessor):
+    """Newest row of a vehicle. Tells the trip it is on, and the one it was on.
+
+    An event-time timer ends it ``ttl_ms`` after its newest row, without a further row of it.
     """
 
     def __init__(self, ttl_ms: int | None):
@@ -76,121 +89,120 @@ class _TripJoin(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._trip = handle.getValueState("trip", _TRIP)
-        self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        trip = tuple(self._trip.get()) if self._trip.exists() else None
-        trip_changed, touched = False, {}
-        for frame in rows:
-            ids = frame["id"].to_numpy()
-            is_trip = pd.isna(ids)
-            updates = _places(frame, np.flatnonzero(is_trip), "feedSec", "tripSeq")
-            if len(updates):
-                (new,) = _rows_at(frame, updates[-1:], _TRIP)
-                if trip is None or _rank(*new[:2]) >= _rank(*trip[:2]):
-                    trip, trip_changed = new, True
-            moved = _places(frame, np.flatnonzero(~is_trip), "updateSec", "seq")
-            # Later places overwrite earlier ones: the newest row of each vehicle.
-            newest = dict(zip(ids[moved], moved))
-            for vehicle, new in zip(newest, _rows_at(frame, np.array(list(newest.values()), int), _VEHICLE)):
-                known = touched.get(vehicle)
-                if known is None and self._vehicles.containsKey((vehicle,)):
-                    known = tuple(self._vehicles.getValue((vehicle,)))
-                if known is None or _rank(*new[4:]) >= _rank(*known[4:]):
-                    touched[vehicle] = new
-        for vehicle, state in touched.items():
-            self._vehicles.updateValue((vehicle,), state)
-        self._wake(state[4] for state in touched.values())
-        if trip_changed:
-            self._trip.update(trip)
-            changed = ((k[0], tuple(v)) for k, v in self._vehicles.iterator())
-        else:
-            changed = iter(touched.items())
-        shown = trip or (None, None, None, SENTINEL, SENTINEL, 0, None)
-        yield from _frames((vehicle, *state, *shown) for vehicle, state in changed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last = {tuple(k): v[4] for k, v in self._vehicles.iterator()}
-        until = expiredTimerInfo.getExpiryTimeInMs() - self._ttl_ms
-        gone = [k for k, seconds in last.items() if seconds is not None and seconds * 1000 <= until]
-        for k in gone:
-            self._vehicles.removeKey(k)
-        self._wake(last[k] for k in last.keys() - gone)
-        return iter(())
-
-    def _wake(self, seconds: Iterator[int | None]) -> None:
-        """Be called when the first of these vehicles has run out of time."""
-        known = [s for s in seconds if s is not None]
-        if self._ttl_ms is not None and known:
-            self._handle.registerTimer(min(known) * 1000 + self._ttl_ms)
+        self._newest = handle.getValueState("newest", T.StructType([_EVENT["trip"], *_VEHICLE]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = max(rows, key=lambda r: (rank(r["updateSec"], r["seq"]), r["trip"]))
+        known = tuple(self._newest.get()) if self._newest.exists() else None
+        trip, state = new["trip"], _of(new, _VEHICLE)
+        if known is not None and rank(*known[-2:]) >= rank(*state[-2:]):
+            return
+        if known is not None and known[0] != trip:
+            yield Row(**_event(known[0], LEFT, key[0], known[1:]))
+        self._newest.update((trip, *state))
+        if self._ttl_ms is not None:
+            if known is not None and known[-2] is not None:
+                self._handle.deleteTimer(known[-2] * 1000 + self._ttl_ms)
+            if state[-2] is not None:
+                self._handle.registerTimer(state[-2] * 1000 + self._ttl_ms)
+        yield Row(**_event(trip, HERE, key[0], state))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = tuple(self._newest.get())
+        self._newest.clear()
+        yield Row(**_event(known[0], GONE, key[0], known[1:]))
 
     def close(self) -> None:
         pass
 
 
-def _frames(rows: Iterator[tuple], size: int = 10_000) -> Iterator[pd.DataFrame]:
-    batch = []
-    for row in rows:
-        batch.append(row)
-        if len(batch) == size:
-            yield _frame(batch)
-            batch = []
-    if batch:
-        yield _frame(batch)
+def _event(trip: str, kind: str, vehicle: str, state: tuple) -> dict:
+    return dict(zip(_EVENT.names, (trip, kind, vehicle, *state)))
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=JOINED.names)
-    longs = [f.name for f in JOINED if isinstance(f.dataType, T.LongType)]
-    return frame.astype(dict.fromkeys(longs, "Int64"))
+class _Trip(StatefulProcessor):
+    """Newest update of a trip, and the vehicles that are on it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._trip = handle.getValueState("trip", _TRIP)
+        self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        update, told = None, {}
+        for row in rows:
+            if row["kind"] is not None:
+                # A vehicle may leave and come back within a batch; its newest word counts.
+                order = (rank(row["updateSec"], row["seq"]), row["kind"] == HERE)
+                if row["id"] not in told or told[row["id"]][0] <= order:
+                    told[row["id"]] = order, row["kind"], _of(row, _VEHICLE)
+            elif update is None or rank(*_of(row, _TRIP)[:2]) >= rank(*update[:2]):
+                update = _of(row, _TRIP)
+        trip = tuple(self._trip.get()) if self._trip.exists() else None
+        changed = update is not None and (trip is None or rank(*update[:2]) >= rank(*trip[:2]))
+        if changed:
+            self._trip.update(update)
+            trip = update
+        here = {}
+        for vehicle, (_, kind, state) in told.items():
+            if kind == HERE:
+                self._vehicles.updateValue((vehicle,), state)
+                here[vehicle] = state
+            elif self._vehicles.containsKey((vehicle,)):
+                self._vehicles.removeKey((vehicle,))
+            if kind == GONE:
+                yield Row(**dict(zip(JOINED.names, (vehicle, True, *[None] * (len(_VEHICLE) + len(_TRIP))))))
+        shown = ((k[0], tuple(v)) for k, v in self._vehicles.iterator()) if changed else here.items()
+        for vehicle, state in shown:
+            yield Row(**dict(zip(JOINED.names, (vehicle, False, *state, *(trip or NO_TRIP_UPDATE)))))
+
+    def close(self) -> None:
+        pass
 
 
 def join_trip_stream(
-    vehicles: DataFrame, trips: DataFrame, *, salts: int = 8, vehicle_ttl_s: int | None = 150
+    vehicles: DataFrame, trips: DataFrame, *, salts: int = 8, vehicle_ttl_s: int | None = 150, late_s: int | None = None
 ) -> DataFrame:
     """Vehicles joined with their newest trip update, revised as either changes.
 
-    ``vehicles`` are ``vehicle_state``-shaped rows, one per message, and
-    ``trips`` are ``trip_state`` rows, both with ``seq``. Emits an unmatched
-    vehicle at once and again when its trip update arrives. A trip's vehicles
-    are spread over ``salts`` keys, each of which gets the small trip row, so a
-    trip with very many vehicles is not one task's work. Vehicles are forgotten
-    ``vehicle_ttl_s`` after their last row in event time (the feeds' own
-    seconds, by a watermark of that length); a replay keeps what a live run
-    keeps. A vehicle that changes trips may until then be emitted again under
-    its old one; order by (updateSec, seq, feedSec, tripSeq) to take the newest.
+    ``vehicles`` are ``vehicle_state``-shaped rows, one per message, and ``trips`` are
+    ``trip_state`` rows, both with ``seq``. The first state, by vehicle, takes each vehicle's
+    newest row and tells the trip that it leaves; the second, by trip, joins those that are there.
+    So a batch gives at most one row per vehicle, and the last batch's row of a vehicle is the
+    newest: an unmatched vehicle comes at once and again with its trip update, and a trip that a
+    vehicle has left revises it no more. A trip's vehicles are spread over ``salts`` keys, each of
+    which gets the small trip row, so a trip with very many vehicles is not one task's work.
+
+    ``vehicle_ttl_s`` after its newest row, in event time (the feeds' own seconds), a vehicle ends:
+    a timer sends a row with ``gone`` and its id alone, and both states forget it. The watermark
+    trails by ``late_s`` (as long as the ttl by default); vehicle rows behind it are dropped.
     """
     nothing = F.lit(None)
     key = F.concat_ws("\u0001", F.coalesce("tripId", F.concat(F.lit("\u0002"), "id")))
-    v = vehicles.select(
-        key.alias("trip"),
-        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"),
-        "id",
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _VEHICLE],
-        *[nothing.cast(f.dataType).alias(f.name) for f in _TRIP],
-        rowtime(F.col("updateSec")).alias("rowtime"),
+    own = vehicles.select(key.alias("trip"), "id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _VEHICLE])
+    own = newest_in_batches(own, "id", ["updateSec", "seq", "trip"]).withColumn("rowtime", rowtime(F.col("updateSec")))
+    if vehicle_ttl_s is not None:
+        own = own.withWatermark("rowtime", f"{vehicle_ttl_s if late_s is None else late_s} seconds")
+    told = own.groupBy("id").transformWithState(
+        statefulProcessor=_Place(None if vehicle_ttl_s is None else vehicle_ttl_s * 1000),
+        outputStructType=_EVENT,
+        outputMode="Append",
+        timeMode="None" if vehicle_ttl_s is None else "EventTime",
+    )
+    v = told.select(
+        "trip", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"), "kind", "id",
+        *_VEHICLE.names, *[nothing.cast(f.dataType).alias(f.name) for f in _TRIP],
     )
     t = trips.select(
         F.col("tripId").alias("trip"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        nothing.cast("string").alias("kind"),
         nothing.cast("string").alias("id"),
         *[nothing.cast(f.dataType).alias(f.name) for f in _VEHICLE],
         "feedSec",
         F.col("seq").alias("tripSeq"),
         "startTime",
         *[F.col(f"next.{n}").alias(n) for n in ("stopSequence", "stopId", "approachSec", "delay")],
-        rowtime(F.col("feedSec")).alias("rowtime"),
     )
-    both = v.unionByName(t)
-    if vehicle_ttl_s is not None:
-        both = both.withWatermark("rowtime", f"{vehicle_ttl_s} seconds")
-    return (
-        both.groupBy("trip", "salt")
-        .transformWithStateInPandas(
-            statefulProcessor=_TripJoin(None if vehicle_ttl_s is None else vehicle_ttl_s * 1000),
-            outputStructType=JOINED,
-            outputMode="Update",
-            timeMode="None" if vehicle_ttl_s is None else "EventTime",
-        )
+    return v.unionByName(t).groupBy("trip", "salt").transformWithState(
+        statefulProcessor=_Trip(), outputStructType=JOINED, outputMode="Append", timeMode="None"
     )

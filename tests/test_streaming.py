@@ -244,15 +244,17 @@ def test_stateful_join_equals_the_batch_join(spark, workdir, salts, ttl):
     trips = B.trip_state(parse_trip_update(_stream(spark, folder).where("topic = 'TripUpdates'")))
     joined = join_trip_stream(vehicles, trips, salts=salts, vehicle_ttl_s=ttl)
     (
-        joined.writeStream.outputMode("update")
+        joined.writeStream.outputMode("append")
         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{workdir}/out/batch={i}"))
         .option("checkpointLocation", f"{workdir}/ck")
         .trigger(**NOW_DONE)
         .start()
         .awaitTermination()
     )
-    rows = spark.read.schema(joined.schema).parquet(f"{workdir}/out").select(*joined.columns)
-    got = O.latest_by_key(rows, "id", ["updateSec", "seq", "feedSec", "tripSeq"])
+    rows = spark.read.schema(joined.schema.add("batch", "long")).parquet(f"{workdir}/out")
+    # A batch has one row of a vehicle at most, and the last one is its newest.
+    assert rows.groupBy("id", "batch").count().where("count > 1").count() == 0
+    got = O.latest_by_key(rows, "id", "batch")
     read = spark.read.schema(_WIRE).json(folder)
     state = B.vehicle_state(parse_vehicle(read.where("topic = 'VehiclePositions'")), horizon_s=None)
     updates = B.latest_trip_state(parse_trip_update(read.where("topic = 'TripUpdates'")))
