@@ -121,7 +121,7 @@ def board_of_states(
     # One key for both joins, so that the second needs no shuffle of the board.
     board = join_latest_trip(with_probe(vehicles, "tripId"), trips, sentinel, on="_probe")
     board = join_trips(board, trip_lookup, "_probe").withColumn("nextStopId", F.col("next.stopId"))
-    board = join_stops(board, stop_lookup, "nextStopId")
+    board = join_stops(board, stop_lookup, "nextStopId", spread=sentinel)
     return board.select(
         "id",
         "tripId",
@@ -302,8 +302,12 @@ def stop_board_latest(
         keys = ["stopId", "page"]
         board = _board_of(count_copies(entries, keys), keys, stop_lookup, typed)
         return board.withColumn("updateTime", local_time(F.col("updateSec"), zone))
+    return latest_of_counted(count_copies(entries, ["stopId", "updateTime", "page"]), stop_lookup, typed=typed)
+
+
+def latest_of_counted(counted: DataFrame, stop_lookup: DataFrame, *, typed: bool = False) -> DataFrame:
+    """``stop_board_latest`` of entries that are counted already (``count_copies`` by stop, feed time and page)."""
     keys = ["stopId", "updateTime"]
-    counted = count_copies(entries, [*keys, "page"])
     # The filter drops nothing; using ``n`` here lets both uses of ``counted``
     # share one aggregate.
     newest = counted.where(F.col("n") > 0).groupBy("stopId").agg(

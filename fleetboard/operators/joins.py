@@ -64,10 +64,23 @@ def join_trips(df: DataFrame, trip_lookup: DataFrame, on: str, how: str = "left"
 
 
 def join_stops(
-    df: DataFrame, stop_lookup: DataFrame, on: str, *, typed: bool = False
+    df: DataFrame, stop_lookup: DataFrame, on: str, *, typed: bool = False, spread: str | None = None, salts: int = 64
 ) -> DataFrame:
-    """Left-join stopName, stopLat and stopLon of the stop named by ``on``."""
+    """Left-join stopName, stopLat and stopLon of the stop named by ``on``.
+
+    ``spread`` names a key that very many rows may have, such as "no next stop": these, and those
+    where ``on`` is NULL, are spread over ``salts`` keys by their ``id``. A stop of that name is
+    there under each of them.
+    """
     kind = "float" if typed else "string"
+    if spread is not None and "id" in df.columns:
+        salt = F.concat(F.lit(f"\0{spread}\0"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("string"))
+        stop = F.col("stop_id")
+        every = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.concat(F.lit(f"\0{spread}\0"), i.cast("string")))
+        copies = stop_lookup.withColumn("stop_id", F.explode(F.when(stop == spread, every).otherwise(F.array(stop))))
+        nothing = F.concat(F.lit("\0"), F.coalesce(F.col("id").cast("string"), F.lit("")))
+        probe = F.when(F.col(on) == spread, salt).otherwise(F.coalesce(on, nothing))
+        return join_stops(df.withColumn("_stop", probe), copies, "_stop", typed=typed).drop("_stop")
     stops = stop_lookup.select(
         F.col("stop_id").alias(on),
         F.col("stop_name").alias("stopName"),

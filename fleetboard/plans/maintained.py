@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetboard import operators as O
+from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.plans import feeds as V
-from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW, query
-from fleetboard.sinks import with_counts, write_archive
+from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW, _doubles, query
+from fleetboard.sinks import RunTable, append_changes, read_board, read_changes, with_counts, write_archive
 from fleetboard.sources import entity_json, land_polls, parse_vehicle, read_polls, run_to_end, store_bucketed
 from fleetboard.sources.ingest import CORRUPT
 from fleetboard.streaming import (
+    StopBoard,
     add_deltas,
     call_deltas,
     join_trip_stream,
@@ -20,8 +22,11 @@ from fleetboard.streaming import (
     newest_match,
     only_changes,
     read_weights,
+    sent_digests,
     shared_folder,
+    vehicle_changes,
     with_expiry,
+    with_ingestion_time,
 )
 
 # Days of a poll of positions, and how long a vehicle lives and rows may come late.
@@ -106,6 +111,70 @@ def stream_board_changes(spark: SparkSession, d: str) -> DataFrame:
     return sent.groupBy(F.col("at").alias("poll"), "kind").agg(F.count("*").alias("n"))
 
 
+@query
+def redeployed_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The same changes by two jobs: the second has its own checkpoint, and starts from the first one's state."""
+    root, own = shared_folder(spark, "redeploy"), stateful(spark)
+    snapshots = _snapshots(V.table(own, d, "events"))
+    land_polls(snapshots, f"{root}/polls")
+    schema = snapshots.schema
+    first = read_polls(own, f"{root}/polls", schema, last=2)
+    one = _collected(spark, only_changes(first, "poll"), f"{root}/one")
+    then = read_polls(own, f"{root}/polls", schema, first=3)
+    two = _collected(spark, only_changes(then, "poll", sent_digests(own, f"{root}/one/checkpoint")), f"{root}/two")
+    return one.unionByName(two).groupBy(F.col("at").alias("poll"), "kind").agg(F.count("*").alias("n"))
+
+
+@query
+def maintained_vehicle_board(spark: SparkSession, d: str) -> DataFrame:
+    """The vehicle board from three chained keyed states, each batch sending what it changes."""
+    root, own = shared_folder(spark, "vehicles"), stateful(spark)
+    events = V.table(own, d, "events").withColumn("poll", (F.dayofmonth("ts") / 11).cast("int"))
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") % 3).cast("int"))
+    changes = vehicle_changes(
+        V.positions(_polls(own, root, "positions", events)), V.trip_updates(_polls(own, root, "updates", lineitem)),
+        V.trip_lookup(own, d), V.stop_lookup(own, d), vehicle_ttl_s=None, salts=2,
+    )
+
+    def send(batch: DataFrame, n: int) -> None:
+        append_changes(with_ingestion_time(batch, POS_NOW).select("key", "value"), f"{root}/changes", n)
+
+    run_to_end(changes.writeStream.outputMode("append").foreachBatch(send).option("checkpointLocation", f"{root}/checkpoint"))
+    board = read_board(read_changes(spark, f"{root}/changes"), S.VEHICLE_BOARD)
+    return _doubles(O.fresh(board, "updateSec", POS_HORIZON, POS_NOW), "latitude", "longitude")
+
+
+@query
+def maintained_stop_board(spark: SparkSession, d: str) -> DataFrame:
+    """The stop board from signed deltas; each batch makes the pages of touched stops anew."""
+    root, own = shared_folder(spark, "stops"), stateful(spark)
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") * 5 % 3).cast("int"))
+    deltas = call_deltas(V.trip_updates(_polls(own, root, "polls", lineitem)), V.trip_lookup(own, d))
+    board = StopBoard(
+        V.stop_lookup(spark, d), root, lambda upserts, n: append_changes(upserts, f"{root}/changes", n), TRIP_HORIZON, TRIP_NOW
+    )
+    run_to_end(deltas.writeStream.outputMode("append").foreachBatch(board).option("checkpointLocation", f"{root}/checkpoint"))
+    return read_board(read_changes(spark, f"{root}/changes"), S.STOP_BOARD)
+
+
+@query
+def levelled_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's last event, deletes left out, from a change table whose batches merge by level."""
+    root = shared_folder(spark, "levels")
+    events = V.table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("key"),
+        F.when(F.col("event_type") != "error", F.col("event_id").cast("string")).alias("value"),
+        F.col("event_id").alias("seq"), day_poll().alias("poll"),
+    )
+    table = RunTable(f"{root}/table", fan=2)
+    run_to_end(
+        _polls(spark, root, "polls", events).writeStream
+        .foreachBatch(lambda batch, n: table(O.latest_by_key(batch, "key", "seq"), n))
+        .option("checkpointLocation", f"{root}/checkpoint")
+    )
+    return table.read(spark)
+
+
 @query
 def stream_expiry(spark: SparkSession, d: str) -> DataFrame:
     """Upserts of vehicles, and the deletes that timers send for those that fall silent."""

@@ -201,6 +201,11 @@ ORACLE: dict[str, str] = {
     "replay_polls": f"SELECT event_id, user_id, {_POLL} AS poll FROM events WHERE {_POLL} BETWEEN 1 AND 3",
     "stream_stop_weights": _sql("SELECT * FROM counted", *_ONE_PER_TRIP, _counted('"stopId", "updateTime"')),
     "stream_board_changes": _CHANGES,
+    "redeployed_changes": _CHANGES,
+    "levelled_changes": """SELECT CAST(user_id AS VARCHAR) AS key, CAST(max(event_id) AS VARCHAR) AS value FROM events
+GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'""",
+    "maintained_vehicle_board": _VEHICLE_BOARD,
+    "maintained_stop_board": _STOP_BOARD,
     "stream_expiry": _EXPIRY,
     "stream_interval_join": _INTERVAL,
     "ingest_counts": _sql(

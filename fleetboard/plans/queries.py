@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetboard import schemas as S
 from fleetboard.functions import eta_minutes, iso_date, local_time
-from fleetboard.functions.transit import MAX_LOOKAHEAD
+from fleetboard.functions.transit import MAX_LOOKAHEAD, SENTINEL
 from fleetboard import operators as O
 from fleetboard.operators import boards as B
 from fleetboard.plans import feeds as V
@@ -296,7 +296,7 @@ def next_stop_names(spark: SparkSession, d: str) -> DataFrame:
     state = O.latest_trip_state(_updates(spark, d)).select(
         F.col("tripId").alias("id"), F.col("next.stopId").alias("stopId")
     )
-    return O.join_stops(state, V.stop_lookup(spark, d), "stopId").select("id", "stopId", "stopName")
+    return O.join_stops(state, V.stop_lookup(spark, d), "stopId", spread=SENTINEL).select("id", "stopId", "stopName")
 
 
 @query

@@ -1,4 +1,5 @@
 from fleetboard.sinks.metrics import with_counts
+from fleetboard.sinks.runs import RunTable
 from fleetboard.sinks.upsert import (
     PRODUCER_OPTIONS,
     append_changes,
@@ -15,6 +16,7 @@ from fleetboard.sinks.upsert import (
 
 __all__ = [
     "PRODUCER_OPTIONS",
+    "RunTable",
     "append_changes",
     "compact_changes",
     "read_board",

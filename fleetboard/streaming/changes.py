@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -39,17 +39,21 @@ class _Digest(StatefulProcessor):
             kind = INSERT if known is None else CHANGE
         yield Row(key=key[0], value=new["value"], at=new["at"], kind=kind)
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._last.update((initialState["digest"],))
+
     def close(self) -> None:
         pass
 
 
-def only_changes(upserts: DataFrame, order: str) -> DataFrame:
+def only_changes(upserts: DataFrame, order: str, sent: DataFrame | None = None) -> DataFrame:
     """Of a stream of upserts those that change their key: key, value, at (``order``) and kind.
 
     A board that is computed anew for each batch may send all of its rows here: only keys that are
     new, whose value differs from the one last sent, or that are deleted (NULL value) and were
     there go on. Of a key's rows in one batch the one of greatest ``order`` (a long) counts. State
-    is 8 bytes a key. A NULL key is a key like any other.
+    is 8 bytes a key. A NULL key is a key like any other. ``sent`` (key, digest) is what another job
+    has sent before this one's first batch, as ``sent_digests`` reads it.
     """
     rows = upserts.select(
         "key", "value", F.col(order).cast("long").alias("at"), F.when(F.col("value").isNotNull(), F.xxhash64("value")).alias("digest")
@@ -57,9 +61,20 @@ def only_changes(upserts: DataFrame, order: str) -> DataFrame:
     return rows.groupBy("key").transformWithState(
         statefulProcessor=_Digest(), outputStructType="key string, value string, at long, kind string",
         outputMode="Append", timeMode="None",
+        initialState=None if sent is None else sent.select("key", "digest").groupBy("key"),
     )
 
 
+def sent_digests(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """key and digest of the rows that a stopped job of ``only_changes`` has sent, read from its state.
+
+    A job that takes over, with a checkpoint of its own and the offsets after the old job's last,
+    sends on from there. ``operator`` is the number of the stateful operator in the old job's plan.
+    """
+    state = spark.read.format("statestore").option("operatorId", operator).option("stateVarName", "digest")
+    return state.load(checkpoint).select("key.key", F.col("value.digest").alias("digest"))
+
+
 class _Life(StatefulProcessor):
     """When a key's newest upsert was; a timer sends its delete."""
 

@@ -94,12 +94,15 @@ def add_deltas(deltas: DataFrame, path: str, batch_id: int) -> None:
     summed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def read_weights(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
-    """The entries of a table of weights with ``n``, how often each one counts now.
+def read_weights(
+    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None, until: int | None = None
+) -> DataFrame:
+    """The entries of a table of weights with ``n``, how often each one counts now (or after batch ``until``).
 
     ``schema`` is that of the deltas; entries whose weights cancel out are not there.
     """
     rows = _weights(spark, path, schema, base)
+    rows = rows if until is None else rows.where(F.col("batch") <= until)
     entry = [c for c in schema.names if c != "weight"]
     return rows.groupBy(*entry).agg(F.sum("weight").alias("n")).where("n > 0")
 

@@ -1,0 +1,155 @@
+"""Change tables in levels, a job that takes over another's state, both maintained boards."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from feeds import NOW, stop, stop_lookup, trip_lookup, trip_update, vehicle
+from fleetboard import operators as O
+from fleetboard import schemas as S
+from fleetboard.operators import boards as B
+from fleetboard.plans.maintained import stateful
+from fleetboard.sinks import RunTable, append_changes, read_board, read_changes
+from fleetboard.sources import land_polls, parse_trip_update, parse_vehicle, read_polls, run_to_end
+from fleetboard.streaming import only_changes, run_maintained, sent_digests
+
+
+def _batch(spark, n, keys):
+    return spark.createDataFrame([(k, v) for k, v in keys.items()], "key string, value string").coalesce(1)
+
+
+def test_runs_merge_by_level_and_read_as_the_last_writes(spark, workdir):
+    table, want = RunTable(f"{workdir}/t", fan=3), {}
+    assert table.read(spark).collect() == []
+    for n in range(14):
+        rows = {f"k{n}": str(n), "always": str(n), f"k{n - 2}": None if n % 2 else "again"}
+        table(_batch(spark, n, rows), n)
+        want = {k: v for k, v in {**want, **rows}.items() if v is not None}
+        if n in (0, 2, 8):
+            assert {r.key: r.value for r in table.read(spark).collect()} == want
+    assert table.runs(spark) == [(0, 8), (9, 11), (12, 12), (13, 13)]
+    assert {r.key: r.value for r in table.read(spark).collect()} == want
+    assert [tuple(r) for r in table.read(spark, ["k3", "always"]).collect()] == [("always", "13")] or len(want) > 2
+    # A repeated batch, with its merges, leaves the same.
+    table(_batch(spark, 13, rows), 13)
+    assert {r.key: r.value for r in table.read(spark).collect()} == want
+
+
+def test_a_hundred_batches_leave_few_runs(spark, workdir):
+    table = RunTable(f"{workdir}/t", fan=10)
+    table._write = lambda rows, first, last: kept.append((first, last))  # the numbers alone
+    table._drop = lambda spark, n: None
+    kept = []
+
+    class Nothing:
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+    import fleetboard.sinks.runs as runs
+
+    real, runs.latest_by_key = runs.latest_by_key, lambda *a: Nothing()
+    try:
+        table._merge = lambda spark, first, last, size: kept.append((first, last))
+        for n in range(100):
+            table(_batch(spark, n, {"k": "v"}), n)
+    finally:
+        runs.latest_by_key = real
+    table._finished = lambda spark: kept
+    assert table.runs(spark) == [(0, 99)]
+    kept.remove((0, 99))
+    assert len(table.runs(spark)) == 10
+    assert len(kept) == 110
+
+
+def test_a_run_that_is_being_written_is_not_read(spark, workdir):
+    import os
+
+    table = RunTable(f"{workdir}/t", fan=2)
+    for n in range(3):
+        table(_batch(spark, n, {"k": str(n)}), n)
+    os.makedirs(f"{workdir}/t/run=3-3")
+    os.makedirs(f"{workdir}/t/run=0-3")
+    assert table.runs(spark) == [(0, 1), (2, 2)]
+    assert [tuple(r) for r in table.read(spark).collect()] == [("k", "2")]
+
+
+def test_a_job_takes_over_what_another_has_sent(spark, workdir):
+    own = stateful(spark)
+    rows = [(0, "a", "1"), (0, "b", "1"), (0, "c", None), (1, "a", "1"), (1, "b", "2"), (1, "d", "1"), (1, None, "n"), (0, None, "n")]
+    land_polls(spark.createDataFrame(rows, "poll int, key string, value string"), f"{workdir}/in")
+
+    def run(first, last, sent, name):
+        stream = read_polls(own, f"{workdir}/in", "poll int, key string, value string", first=first, last=last)
+        seen = []
+        run_to_end(
+            only_changes(stream, "poll", sent).writeStream.outputMode("append").foreachBatch(lambda b, n: seen.extend(b.collect()))
+            .option("checkpointLocation", f"{workdir}/{name}")
+        )
+        return sorted((r.key or "", r.kind) for r in seen)
+
+    assert run(0, 0, None, "one") == [("", "insert"), ("a", "insert"), ("b", "insert")]
+    sent = sent_digests(own, f"{workdir}/one")
+    assert sent.count() == 3
+    assert run(1, 1, sent, "two") == [("b", "change"), ("d", "insert")]
+
+
+def test_the_hot_key_of_no_next_stop_is_spread(spark):
+    rows = [(f"v{i}", "0" if i % 3 else f"s{i}") for i in range(30)] + [("n", None)]
+    df = spark.createDataFrame(rows, "id string, stopId string")
+    for lookup in (stop_lookup(spark, ("s3", "Three")), stop_lookup(spark, ("s3", "Three"), ("0", "Nought"))):
+        key = lambda d: sorted(map(repr, d.collect()))
+        plain, spread = O.join_stops(df, lookup, "stopId"), O.join_stops(df, lookup, "stopId", spread="0")
+        assert key(spread.select(*plain.columns)) == key(plain)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        many = spark.range(4000).select(F.col("id").cast("string").alias("id"), F.lit("0").alias("stopId"))
+        found = O.join_stops(many, lookup, "stopId", spread="0").groupBy(F.spark_partition_id()).count().collect()
+        assert len(found) == 4 and max(r["count"] for r in found) < 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_both_maintained_boards(spark, workdir):
+    own = stateful(spark)
+    call = lambda i, at: stop(i, f"s{i}", at, 5)
+    positions = [
+        (0, vehicle("v", "T1", NOW - 40)), (0, vehicle("w", "T2", NOW - 40)), (0, vehicle("x", None, NOW - 40)),
+        (1, vehicle("v", "T2", NOW - 20)), (1, vehicle("w", "T2", NOW - 40)), (2, vehicle("x", "T7", NOW)),
+    ]
+    updates = [
+        (0, trip_update("T1", [call(1, NOW + 50), call(2, NOW + 90)], NOW - 30)), (0, trip_update("T2", [call(1, NOW + 70)], NOW - 30)),
+        (1, trip_update("T1", [call(2, NOW + 95)], NOW - 10)), (2, trip_update("T2", [], NOW - 5)), (2, trip_update("T9", [call(3, NOW)], NOW)),
+    ]
+    lookups = trip_lookup(own, ("T1", "7", "r1", "h1"), ("T2", "8", "r2", "h2")), stop_lookup(own, ("s1", "One"), ("s2", "Two"))
+
+    def landed(name, events):
+        rows = [(p, json.dumps(e), i) for i, (p, e) in enumerate(events)]
+        land_polls(spark.createDataFrame(rows, "poll int, value string, seq long"), f"{workdir}/{name}")
+        return read_polls(own, f"{workdir}/{name}", "poll int, value string, seq long").drop("poll")
+
+    def sink(name):
+        return lambda upserts, n: append_changes(upserts, f"{workdir}/{name}_out", n)
+
+    queries = run_maintained(
+        parse_vehicle(landed("vehicles", positions)), parse_trip_update(landed("updates", updates)), *lookups, f"{workdir}/state",
+        vehicle_sink=sink("vehicles"), stop_sink=sink("stops"), as_of=NOW, ingested_at=NOW, vehicle_ttl_s=None, horizon_s=None,
+        trigger={"processingTime": "0 seconds"},
+    )
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+    read = lambda events: spark.createDataFrame([(json.dumps(e), i) for i, (_, e) in enumerate(events)], "value string, seq long")
+    vehicles, trips = parse_vehicle(read(positions)), parse_trip_update(read(updates))
+    key = lambda df: sorted(map(repr, df.collect()))
+    want = B.vehicle_board(vehicles, trips, *lookups, as_of=NOW, ingested_at=NOW, horizon_s=10_000)
+    changes = read_changes(spark, f"{workdir}/vehicles_out")
+    assert key(read_board(changes, S.VEHICLE_BOARD).select(*want.columns)) == key(want) and want.count() == 3
+    # w came again as it was, and is sent only when its trip changes.
+    assert sorted(r.batch for r in changes.where("key = 'w'").collect()) == [0, 2]
+    want = O.stop_board_latest(O.stop_entries(trips, lookups[0], horizon_s=None), lookups[1])
+    changes = read_changes(spark, f"{workdir}/stops_out")
+    assert key(read_board(changes, S.STOP_BOARD).select(*want.columns)) == key(want) and want.count() == 1
+    assert changes.where("value IS NULL").count() >= 1

@@ -168,7 +168,7 @@ def test_old_trips_can_be_forgotten(spark, workdir):
 def _files(folder):
     import os
 
-    return {f: os.path.getmtime(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+    return {f"{d}/{f}": os.path.getmtime(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
 
 
 def test_a_batch_writes_only_the_buckets_that_it_changes(spark, workdir):
