@@ -25,11 +25,12 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from fleetboard.llm.common import attempt_name, create_file, cut, open_stream, shared_path, text_batches
 
@@ -165,24 +166,29 @@ class Capture:
         return found[1].decode("utf-8", "replace").strip() if found else None
 
 
-#: Bytes in which the end of an HTTP header is looked for.
-HEAD_BYTES = 1 << 20
-
-
 def capture(body: BinaryIO) -> Capture:
-    """Read a body through. Without an HTTP header all of it is payload."""
+    """Read a body through. Without an HTTP header all of it is payload.
+
+    A header of any length is held whole; payloads are not.
+    """
     found = Capture()
-    begin = b""
-    while len(begin) < HEAD_BYTES and b"\r\n\r\n" not in begin and (data := body.read(CHUNK)):
+    begin, seen = bytearray(), 0
+    while begin.find(b"\r\n\r\n", max(0, seen - 3)) < 0 and (data := body.read(CHUNK)):
+        seen = len(begin)
         begin += data
         if not begin.startswith(b"HTTP/"):
             break
+    begin = bytes(begin)
     if begin.startswith(b"HTTP/"):
         at = begin.find(b"\r\n\r\n")
         found.is_http = at >= 0
         found.head = begin[: at + 4] if at >= 0 else b""
     found.block.update(begin)
     rest = begin[len(found.head) :]
+    if begin and not rest:
+        # The header ended where the piece did.
+        rest = body.read(CHUNK)
+        found.block.update(rest)
     while rest:
         found.payload.update(rest)
         found.payload_bytes += len(rest)
@@ -302,7 +308,7 @@ def write_arcs(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
                     size = file.write(gzip.compress(version_block(name, version)))
                 payload = (body or "").encode()
                 head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                head += "" if page is None else f"{PAGE_HEADER}: {page}\r\n"
+                head += "" if page is None else f"{PAGE_HEADER}: {quote_plus(page)}\r\n"
                 block = f"{head}Content-Length: {len(payload)}\r\n\r\n".encode() + payload
                 fields = {"URL": target, "IP-address": "0.0.0.0", "Archive-date": "20260101000000", "Content-type": "text/html", "Result-code": "200"}
                 size += file.write(gzip.compress(arc_record(fields, block, version), 6))
@@ -314,7 +320,7 @@ def write_arcs(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
 
 
 _RECORD = (
-    "arc string, offset long, url string, date string, place long, is_http boolean, head_bytes long, "
+    "arc string, offset long, url string, date string, place long, page string, is_http boolean, head_bytes long, "
     "payload_bytes long, payload_digest string, block_digest string"
 )
 
@@ -325,6 +331,12 @@ def _spread(paths: DataFrame) -> DataFrame:
     return paths.repartition(n)
 
 
+def place_of(page: str | None) -> int | None:
+    """The order of a page that is a 64-bit integer."""
+    number = int(page) if page and re.fullmatch(r"[+-]?[0-9]{1,40}", page) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def list_records(arcs: DataFrame) -> DataFrame:
     """First pass: a row for each record of ARC files (column arc), without version blocks."""
 
@@ -339,12 +351,11 @@ def list_records(arcs: DataFrame) -> DataFrame:
                             continue
                         seen = capture(record.body)
                         page = seen.header(PAGE_HEADER)
-                        place = int(page) if page and re.fullmatch(r"-?\d{1,18}", page) else None
                         rows.append((
-                            path, record.offset, record.fields["URL"], record.fields["Archive-date"], place, seen.is_http,
+                            path, record.offset, record.fields["URL"], record.fields["Archive-date"], place_of(page), page, seen.is_http,
                             len(seen.head), seen.payload_bytes, base32_sha1(seen.payload), base32_sha1(seen.block),
                         ))
-                kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 columns = zip(*rows) if rows else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
@@ -355,10 +366,11 @@ def to_warc(arcs: DataFrame, folder: str, *, min_bytes: int = 0) -> DataFrame:
     """Convert ARC files (column arc): a row per WARC file: arc, warc.
 
     Of records with equal payloads of at least ``min_bytes`` the first stays whole: that of the
-    smallest page number, then date, file and offset; records without a number come last.
+    smallest page number, then date, file and offset; records whose page is no number come after
+    those, by the page's text, and records without a page last.
     """
     records = cut(list_records(arcs), "arc-records")
-    order = F.struct(F.col("place").isNull(), "place", "date", "arc", "offset", "url")
+    order = F.struct(F.col("place").isNull().alias("odd"), "place", F.col("page").isNull().alias("none"), F.url_decode("page").alias("named"), "date", "arc", "offset", "url")
     first = records.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min(order).alias("first"))
     # Outer, and with the large side on the left, so that a payload with very many copies can be split.
     known = records.join(first, "payload_digest", "left").select(
@@ -388,13 +400,14 @@ def to_warc(arcs: DataFrame, folder: str, *, min_bytes: int = 0) -> DataFrame:
 def read_records(warcs: DataFrame) -> DataFrame:
     """Records of WARC files (column warc), digests computed anew; warcinfo records left out.
 
-    Gives id, type, url, page, refers (a record id), payload_bytes and payload_digest; a
-    revisit has no payload of its own, so its two are those of the record it refers to.
+    Gives id, type, url, page (text), refers (a record id), refers_page, payload_bytes and
+    payload_digest; a revisit has no payload of its own, so its two are those of the record it
+    refers to. Only revisits are joined with the records that they refer to.
     """
-    schema = "id string, type string, url string, page long, refers string, payload_bytes long, payload_digest string"
+    schema = "id string, type string, url string, page string, refers string, payload_bytes long, payload_digest string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string()] * 3 + [pa.int64(), pa.string(), pa.int64(), pa.string()]
+        kinds = [pa.string()] * 5 + [pa.int64(), pa.string()]
         names = [part.split()[0] for part in schema.split(", ")]
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -411,18 +424,19 @@ def read_records(warcs: DataFrame) -> DataFrame:
                         page = seen.header(PAGE_HEADER)
                         rows.append((
                             headers["WARC-Record-ID"], headers["WARC-Type"], headers.get("WARC-Target-URI"),
-                            int(page) if page else None, refers, None if refers else seen.payload_bytes, None if refers else digest,
+                            page, refers, None if refers else seen.payload_bytes, None if refers else digest,
                         ))
                 columns = zip(*rows) if rows else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     read = cut(_spread(warcs.select("warc")).mapInArrow(run, schema), "warc-records")
-    targets = read.where("refers IS NULL").select(
-        F.col("id").alias("refers"), F.col("page").alias("refers_page"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")
+    whole = read.where("refers IS NULL")
+    targets = whole.select(F.col("id").alias("refers"), F.col("page").alias("refers_page"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d"))
+    again = read.where("refers IS NOT NULL").join(targets, "refers", "left").select(
+        "id", "type", "url", "page", "refers", "refers_page", F.col("b").alias("payload_bytes"), F.col("d").alias("payload_digest")
     )
-    return read.join(targets, "refers", "left").select(
-        "id", "type", "url", "page", "refers", "refers_page",
-        F.coalesce("payload_bytes", "b").alias("payload_bytes"), F.coalesce("payload_digest", "d").alias("payload_digest"),
+    return again.unionAll(
+        whole.select("id", "type", "url", "page", "refers", F.lit(None).cast("string").alias("refers_page"), "payload_bytes", "payload_digest")
     )
 
 
@@ -430,13 +444,21 @@ def archive_pages(pages: DataFrame, *, key: str = "page_id", url: str = "url", h
     """Pages written as ARC files, converted to WARC files, and those read back.
 
     A row per page: key, payload_bytes, payload_digest, record_type, refers_to (the key of the
-    record that a revisit refers to). Rows that repeat a key are records of their own, and so
-    are pages with a NULL key. An empty table gives no rows. Other columns are not read.
+    record that a revisit refers to). Keys have any type that text gives back; those that are
+    64-bit integers are ordered as such, others after them as text. Rows that repeat a key are
+    records of their own, and so are pages with a NULL key. An empty table gives no rows. Other
+    columns are not read.
     """
     spark = pages.sparkSession
     folder = shared_path(spark, "archives")
     arcs = cut(write_arcs(pages, folder, key=key, url=url, html=html, arc_bytes=arc_bytes), "arcs")
     warcs = cut(to_warc(arcs, folder, min_bytes=min_bytes), "warcs")
+    kind = pages.schema[key].dataType
     return read_records(warcs).select(
-        F.col("page").alias(key), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to")
+        _key("page", kind).alias(key), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        _key("refers_page", kind).alias("refers_to"),
     )
+
+
+def _key(page: str, kind: DataType) -> Column:
+    return F.url_decode(page).cast(kind)

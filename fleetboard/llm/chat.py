@@ -19,10 +19,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetboard.llm.common import cut, text_batches
+from fleetboard.llm.common import cut, numbered, text_batches
 
 START, END = "<s>", "</s>"
 #: Strings that mean something to templates; the first two are ours.
@@ -81,6 +81,14 @@ def _tag(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
 
+def _numbered_by(group: str, rows: DataFrame, order: list[str], purpose: str) -> DataFrame:
+    """``rows`` with ``nth``, from 1 within their group. Sorted by ranges, so that one group may have any share of the rows."""
+    placed = numbered(rows, [group, *order], purpose)
+    first = cut(placed.groupBy(F.col(group).alias("_group")).agg(F.min("g").alias("_first")), f"{purpose}-first")
+    met = placed.join(first, F.col(group).eqNullSafe(F.col("_group")))
+    return met.withColumn("nth", F.col("g") - F.col("_first") + 1).drop("g", "_group", "_first")
+
+
 def paths(messages: DataFrame, *, best: int | None = None) -> DataFrame:
     """Turns of the chosen paths of ``messages`` (tree, node, parent, role, text, score).
 
@@ -121,8 +129,8 @@ def paths(messages: DataFrame, *, best: int | None = None) -> DataFrame:
         rooted = rooted.unionAll(step.where("up IS NULL"))
     parents = links.select("tag", F.col("parent").alias("node")).distinct()
     leaves = rooted.join(parents, ["tag", "node"], "left_anti")
-    by_score = Window.partitionBy("tag").orderBy(F.desc(F.col("score") / F.col("length")), "node")
-    chosen = leaves.withColumn("rank", F.row_number().over(by_score))
+    by_score = leaves.withColumn("worse", -(F.col("score") / F.col("length")))
+    chosen = _numbered_by("tag", by_score, ["worse", "node"], "leaves").withColumn("rank", F.col("nth").cast("int")).drop("nth", "worse")
     if best is not None:
         chosen = chosen.where(F.col("rank") <= best)
     # A stretch: from ``node`` upwards, ``length`` messages; ``top`` counts those above its end.
@@ -237,10 +245,8 @@ def digests(written: DataFrame) -> DataFrame:
 
 def threads(rows: DataFrame, *, tree: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Conversations of numbered turns as reply trees: each turn replies to the one before it."""
-    order = Window.partitionBy("tree").orderBy(F.col("_turn"), "role", "text")
-    numbered = rows.select(
-        F.col(f"`{tree}`").alias("tree"), F.col(f"`{turn}`").alias("_turn"), "role", "text"
-    ).withColumn("node", F.row_number().over(order).cast("long"))
-    return numbered.select(
+    said = rows.select(F.col(f"`{tree}`").alias("tree"), F.col(f"`{turn}`").alias("_turn"), "role", "text")
+    placed = _numbered_by("tree", said, ["_turn", "role", "text"], "turns").withColumnRenamed("nth", "node")
+    return placed.select(
         "tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score")
     )

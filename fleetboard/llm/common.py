@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -98,6 +98,31 @@ def attempt_name(stem: str) -> str:
     return f"{stem}-{uuid.uuid4().hex[:12]}"
 
 
+def numbered(rows: DataFrame, order: list[str], purpose: str) -> DataFrame:
+    """``rows``, written in order, with ``g``: their number from 0. One count a partition reaches the driver."""
+    dealt = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    # The number of its partition and, in the lower 33 bits, the row's number there.
+    written = cut(dealt.withColumn("_at", F.monotonically_increasing_id()), purpose)
+    part = F.shiftright("_at", 33).cast("int")
+    sizes = {r.part: r.n for r in written.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(p, 0)
+    first = F.get(F.array(*[F.lit(b) for b in before]) if len(before) < 1000 else _long_array(before), part)
+    return written.withColumn("g", (first + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at")
+
+
+def _long_array(values: list[int]) -> Column:
+    """An array of many numbers, as one literal that Spark unfolds once."""
+    return F.from_json(F.lit("[" + ",".join(map(str, values)) + "]"), "array<bigint>")
+
+
+def one_text(rows: DataFrame, *by: str) -> DataFrame:
+    """Of the rows of each ``by`` one text: that of least hash. A task sends one for each."""
+    return rows.groupBy(*by).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def in_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:

@@ -9,7 +9,8 @@ length, found the same way with that length as ``t``.
 
 The benchmark is the stated query set: it is dealt into blocks of at most about ``BLOCK_WORDS``
 words, each a file in the shared folder, and each task holds its documents against every block,
-one at a time. So nothing is shuffled or broadcast but the blocks' paths, whatever the number
+one at a time: with several blocks it gathers so many documents first that a block is read a few
+times a task, not once a batch. So nothing is shuffled or broadcast but the blocks' paths, whatever the number
 of documents that share a passage. Words are compared themselves, not their hashes: documents'
 words become numbers of the block's vocabulary.
 """
@@ -17,7 +18,7 @@ words become numbers of the block's vocabulary.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from fleetboard.llm.words import ALPHANUMERIC, Words, grams, mix, runs_of, slidi
 
 #: Words of the benchmark that a task holds at once.
 BLOCK_WORDS = 1_000_000
+#: Bytes of texts that a task gathers before it goes through several blocks.
+GATHERED = 64 << 20
 #: Length of the k-grams, where the window is no shorter.
 GRAM = 5
 
@@ -147,6 +150,38 @@ def _load(path: str) -> Block:
     return _loaded[path]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterator[list[pa.RecordBatch]]:
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.column(at).nbytes
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+def search_blocks(
+    batches: Iterator[pa.RecordBatch], at: int, paths: list[str], load: Callable[[str], Block] = _load, gathered: int = GATHERED
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list[list[str]]]]:
+    """Per batch its texts' numbers of words, of hit words, and sorted items; ``at`` is the texts' column."""
+    for held in _gathered(batches, at, gathered if len(paths) > 1 else 0):
+        words = [Words(batch.column(at), ALPHANUMERIC, lower=True) for batch in held]
+        hits = [np.zeros(w.n, bool) for w in words]
+        items: list[list[set]] = [[set() for _ in range(batch.num_rows)] for batch in held]
+        for path in paths:
+            block = load(path)
+            for w, hit, found in zip(words, hits, items):
+                marks, pairs = block.search(w)
+                hit |= marks
+                for row, item in pairs:
+                    found[row].add(block.item_ids[item])
+        for batch, w, hit, found in zip(held, words, hits, items):
+            before = np.concatenate([[0], np.cumsum(hit)])
+            yield batch, w.counts, before[w.first[1:]] - before[w.first[:-1]], [sorted(i) for i in found]
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id",
     item_text: str = "text", window: int = 10, block_words: int = BLOCK_WORDS, drop_text: bool = False,
@@ -168,23 +203,10 @@ def find_hits(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = Words(batch.column(at), ALPHANUMERIC, lower=True)
-            hit, items = np.zeros(words.n, bool), [set() for _ in range(batch.num_rows)]
-            for path in paths:
-                block = _load(path)
-                marks, pairs = block.search(words)
-                hit |= marks
-                for row, item in pairs:
-                    items[row].add(block.item_ids[item])
-            hits = np.concatenate([[0], np.cumsum(hit)])
+        for batch, counts, n_hit, items in search_blocks(batches, at, paths):
             columns = [c for i, c in enumerate(batch.columns) if not (drop_text and i == at)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *columns, pa.array(words.counts.astype(np.int64)),
-                    pa.array(hits[words.first[1:]] - hits[words.first[:-1]]),
-                    pa.array([sorted(i) for i in items], pa.list_(pa.string())),
-                ],
+                [*columns, pa.array(counts.astype(np.int64)), pa.array(n_hit), pa.array(items, pa.list_(pa.string()))],
                 names=schema.names,
             )
 

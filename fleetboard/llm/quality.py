@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from fleetboard.llm.common import text_batches
+from fleetboard.llm.common import one_text, text_batches
 from fleetboard.llm.words import NOT_SPACE, Words, grams, mix
 
-#: Labelled rows to learn from at most, those with the least hash of their id.
+#: Labelled ids to learn from at most, those with the least hash of their id.
 TRAIN_ROWS = 20_000
 #: Parts of the labelled rows, one of which is held out.
 FOLDS = 5
@@ -214,16 +214,17 @@ def learn(
 ) -> Trees:
     """Trees from the labelled rows that are not held out; labels other than 0 and 1 are left out.
 
-    At most ``train_rows`` labelled rows, which every task gets to pick their texts.
+    At most ``train_rows`` labelled ids, which every task gets to pick their texts. An id counts
+    once, however many rows have it: with its least label and the text of least hash.
     """
     text_batches(docs.sparkSession)
     sample = (
         labels.where(~held_out(key) & F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isin(0, 1))
-        .select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
-        .orderBy(F.xxhash64("key"), "key", "label").limit(train_rows)
+        .groupBy(F.col(f"`{key}`").alias("key")).agg(F.min(F.col(f"`{label}`").cast("int")).alias("label"))
+        .orderBy(F.xxhash64("key"), "key").limit(train_rows)
     )
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    rows = rows.join(F.broadcast(sample), "key").select("label", "text")
+    rows = one_text(rows.join(F.broadcast(sample), "key"), "key", "label").select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,6 +33,8 @@ from fleetboard.llm.words import MULTIPLIER, NOT_SPACE, Words, grams, mix, runs_
 
 #: Words of a k-gram.
 GRAM = 10
+#: Windows of a seed at most: bits of a mask.
+BITS = 60
 #: Stands for a NULL id, which no document is smaller for.
 LAST = (1 << 63) - 1
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
@@ -73,13 +75,19 @@ def seeds(words: Words, window: int) -> tuple[np.ndarray, ...]:
     at = np.flatnonzero(new)
     first, n = good[at], np.diff(np.concatenate([at, [len(good)]]))
     anchor = anchor[at]
+    if len(n) and n.max() > BITS:
+        # So many windows as a mask has bits; what is left is a seed of the same anchor.
+        parts = -(-n // BITS)
+        nth = runs_of(np.zeros(len(n), np.int64), parts)
+        first, anchor = np.repeat(first, parts) + nth * BITS, np.repeat(anchor, parts)
+        n = np.minimum(np.repeat(n, parts) - nth * BITS, BITS)
     # The hash of words [a, b) from sums of powers, whatever their place.
     one = np.ones(1, np.uint64)
     powers = np.cumprod(np.concatenate([one, np.full(words.n, MULTIPLIER, np.uint64)]))
     inverse = np.cumprod(np.concatenate([one, np.full(words.n, INVERSE, np.uint64)]))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(own + np.uint64(1)) * powers[:-1])])
     span = (sums[first + n + window - 1] - sums[first]) * inverse[first]
-    shape = ((n << 20) | (anchor - first)).astype(np.uint64)
+    shape = ((n << 40) + (anchor - first)).astype(np.uint64)
     text = np.searchsorted(words.first, first, "right") - 1
     return text, gram[anchor], mix(span + mix(shape + np.uint64(7))), first - words.first[text], n
 
@@ -142,7 +150,8 @@ def repeats(rows: DataFrame, window: int) -> DataFrame:
     of_anchor = found.groupBy("h").agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.min("e").alias("e0"), F.max("e").alias("e1")
     )
-    shared = of_anchor.where("first < last").select("h", "first", (F.col("e0") != F.col("e1")).alias("differ"))
+    # Tables of their own, so that the joins deal out both sides anew and a hot key can be split.
+    shared = cut(of_anchor.where("first < last").select("h", "first", (F.col("e0") != F.col("e1")).alias("differ")), "shared")
     met = cut(found.join(shared, "h"), "seeds")
     whole = F.expr("shiftleft(1L, n) - 1")
     plain = met.where(~F.col("differ") & (F.col("id") > F.col("first"))).select("id", "tag", "start", whole.alias("mask"))
@@ -150,12 +159,12 @@ def repeats(rows: DataFrame, window: int) -> DataFrame:
     mixed = met.where("differ").select("h", "e", "id", "tag", "start", "n")
     spans = cut(mixed.groupBy("h", "e").agg(F.min(F.struct("id", "tag", "start", "n")).alias("s")).select("h", "e", "s.*"), "spans")
     windows = cut(_windows(rows, spans, window), "windows")
-    earliest = windows.groupBy("h", "hash").agg(F.min("id").alias("first"))
+    earliest = cut(windows.groupBy("h", "hash").agg(F.min("id").alias("first")), "earliest")
     masks = (
         windows.join(earliest, ["h", "hash"]).where("first < id").groupBy("h", "e")
         .agg(F.bit_or(F.expr("shiftleft(1L, nth)")).alias("found"))
     )
-    known = spans.select("h", "e", F.col("id").alias("own")).join(masks, ["h", "e"], "left")
+    known = cut(spans.select("h", "e", F.col("id").alias("own")).join(masks, ["h", "e"], "left"), "masks")
     extended = mixed.join(known, ["h", "e"]).select(
         "id", "tag", "start",
         F.when(F.col("id") > F.col("own"), whole).otherwise(F.coalesce("found", F.lit(0).cast("long"))).alias("mask"),
@@ -171,11 +180,11 @@ def remove_repeats(
     Words are what lies between ASCII white space; kept words are joined by one space. NULL and
     empty texts have no words. Only documents of a smaller id count: rows that share an id do
     not repeat each other, and a NULL id is greater than any other. Windows are judged on the
-    input. ``window`` is at most 60. With ``digest_only`` the SHA-256 of the kept text,
+    input. With ``digest_only`` the SHA-256 of the kept text,
     ``kept_sha256``, stands in its place. Other columns are not read.
     """
-    if not 1 <= window <= 60:
-        raise ValueError("window must be 1 to 60 words")
+    if window < 1:
+        raise ValueError("window must be a word or more")
     text_batches(docs.sparkSession)
     rows = _rows(docs, key, text)
     found = cut(repeats(rows, window), "repeats")
@@ -200,7 +209,7 @@ def remove_repeats(
             row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().fill_null(0).to_numpy())
             start, mask = flat.field(0).to_numpy(), flat.field(1).to_numpy()
             change = np.zeros(words.n + 1, np.int64)
-            for i in range(window):
+            for i in range(min(window, BITS)):
                 at = (words.first[row] + start)[(mask >> i) & 1 == 1] + i
                 np.add.at(change, at, 1)
                 np.add.at(change, at + window, -1)

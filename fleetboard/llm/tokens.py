@@ -21,6 +21,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import chain, filterfalse
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ MAGIC = b"TOKSHRD1"
 INDEX_MAGIC = b"TOKINDX1"
 FOOTER = "<8sQQ"
 #: Pieces of texts whose ids a Python worker remembers; up to twice as many at times.
-PIECES = 600_000
+PIECES = 250_000
 #: Bits per key of a level of the hash.
 GAMMA = 1.6
 
@@ -79,12 +80,13 @@ class Encoder:
     #: Texts that the library encodes at once.
     TOGETHER = 1000
 
-    def __init__(self, path: str, width: int, end_id: int):
+    def __init__(self, path: str | None, width: int, end_id: int, text: str | None = None):
+        """``text`` is what the file at ``path`` holds, where that is not to be read here."""
         from tokenizers import Tokenizer
 
-        with open(path, "rb") as file:
-            made = json.load(file)
-        self.tokenizer = Tokenizer.from_file(path)
+        text = text or Path(path).read_text(encoding="utf-8")
+        made = json.loads(text)
+        self.tokenizer = Tokenizer.from_str(text)
         pre = made.get("pre_tokenizer") or {}
         self.cuts = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not made.get("normalizer")
         self.specials = [t["content"] for t in made["added_tokens"]]
@@ -193,10 +195,10 @@ def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, width: int, end_id: int) -> Encoder:
+def encoder(text: str, width: int, end_id: int) -> Encoder:
     """One for each Python worker, which keeps what it remembers between tasks."""
-    if (made := _encoders.get((path, width, end_id))) is None:
-        made = _encoders[path, width, end_id] = Encoder(path, width, end_id)
+    if (made := _encoders.get((text, width, end_id))) is None:
+        made = _encoders[text, width, end_id] = Encoder(None, width, end_id, text)
     return made
 
 
@@ -228,13 +230,15 @@ def write_shards(
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     dealt = rows.repartitionByRange(shards, "key").sortWithinPartitions("key", "text")
+    # The driver reads the tokenizer's file and sends what it holds: no other machine needs it.
+    made = Path(tokenizer).read_text(encoding="utf-8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shards/{attempt_name(f'{shard:06d}')}.ids"
-        ids = encoder(tokenizer, width, end_id)
+        ids = encoder(made, width, end_id)
         file, lengths = None, []
         for batch in _gathered(batches):
             file = file or create_file(path)

@@ -20,15 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from fleetboard.llm.common import text_batches
+from fleetboard.llm.common import one_text, text_batches
 from fleetboard.llm.quality import held_out
 from fleetboard.llm.words import ALPHANUMERIC, Words
 
 #: Confirmed toxic and unlabelled rows to learn from at most, those with the least hash of their id.
 TOXIC_ROWS = 4_000
 UNLABELLED_ROWS = 10_000
-#: Features that the classifier weighs at most.
-FEATURES = 4096
 
 
 def features_of(word: bytes) -> list[int]:
@@ -93,7 +91,6 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *,
     # A feature of toxic texts only is 1 / prior times as common among them as in U; half that will do.
     lift = ((in_p + 0.5) / (n_p + 1)) / ((of_u + 0.5) / (n_u + 1))
     use = np.flatnonzero((in_p >= max(3, n_p // 500)) & (lift > 0.5 / prior))
-    use = use[np.argsort(-in_p[use] * np.log(lift[use]), kind="stable")][:FEATURES]
     known = np.sort(ids_p[use])
 
     def places(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +129,11 @@ def learn(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
     toxic_rows: int = TOXIC_ROWS, unlabelled_rows: int = UNLABELLED_ROWS,
 ) -> Linear:
-    """A classifier from rows that are not held out. The prior is the share of 1 among their labels."""
+    """A classifier from rows that are not held out. The prior is the share of 1 among their labels.
+
+    An id counts once as toxic and once as unlabelled, however many rows have it: with the text
+    of least hash.
+    """
     text_batches(docs.sparkSession)
     seen = labels.where(~held_out(key) & F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isin(0, 1)).select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")
@@ -141,9 +142,9 @@ def learn(
     order = [F.xxhash64("key"), F.col("key")]
     toxic = seen.where("label = 1").select("key", F.lit(1).alias("toxic")).distinct().orderBy(*order).limit(toxic_rows)
     ids = docs.where(~held_out(key) & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"))
-    free = ids.select("key", F.lit(0).alias("toxic")).orderBy(*order).limit(unlabelled_rows)
+    free = ids.select("key", F.lit(0).alias("toxic")).distinct().orderBy(*order).limit(unlabelled_rows)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    rows = rows.join(F.broadcast(toxic.unionAll(free)), "key").select("toxic", "text")
+    rows = one_text(rows.join(F.broadcast(toxic.unionAll(free)), "key"), "key", "toxic").select("toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

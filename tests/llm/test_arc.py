@@ -92,3 +92,32 @@ def test_what_is_made_up_is_the_same_each_time(tmp_path):
     first = zlib.decompressobj(31)
     first.decompress(one)
     assert first.unused_data.startswith(b"\x1f\x8b")
+
+
+@pytest.mark.parametrize("ids", [[10**18 + 5, 10**18, 10**18 + 3, -(10**18)], [2**63 - 1, 2**63 - 2, -(2**63), 17]])
+def test_ids_of_any_64_bits(spark, ids):
+    rows = [(i, "http://a/", "same") for i in ids] + [(None, "http://a/", "same")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = arc.archive_pages(df, arc_bytes=10).collect()
+    assert sorted(map(tuple, got), key=repr) == want(df.collect())
+
+
+def test_text_ids(spark):
+    ids = ["b", "a b", "", "é\r\nX-Page-Id: 1", "12x", "100%", None]
+    df = spark.createDataFrame([(i, "http://a/", "same") for i in ids] + [("9", "u", "other"), ("10", "u", "other")], "page_id string, url string, html string")
+    got = arc.archive_pages(df, arc_bytes=10).collect()
+    assert sorted(r.page_id or "-" for r in got) == sorted((i or "-" for i in [*ids, "9", "10"]))
+    assert {r.page_id for r in got if r.record_type == "response"} == {"", "9"}
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {"", "9"}
+
+
+def test_a_header_of_any_length():
+    head = b"HTTP/1.1 200 OK\r\nX: " + b"y" * (3 << 20) + b"\r\n\r\n"
+    seen = arc.capture(io.BytesIO(head + b"body"))
+    assert seen.is_http and seen.head == head and seen.payload_bytes == 4
+    assert seen.payload.digest() == hashlib.sha1(b"body").digest() and seen.block.digest() == hashlib.sha1(head + b"body").digest()
+    # Line ends that the pieces read cut apart.
+    for cut in range(4):
+        head = b"HTTP/1.1 200 OK\r\nX: " + b"y" * (arc.CHUNK - 21 - cut) + b"\r\n\r\n"
+        assert arc.capture(io.BytesIO(head + b"z" * 9)).payload_bytes == 9
+    assert not arc.capture(io.BytesIO(b"HTTP/1.1 without an end")).is_http

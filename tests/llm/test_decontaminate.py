@@ -74,3 +74,24 @@ def test_empty_tables(spark, docs, no_docs, items):
     assert all(not r[2] and not r[3] for r in found(docs, items[:0] or [(6, None)], spark))
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_hits(docs, none).where("n_hit > 0").count() == 0
+
+
+def test_blocks_are_read_once_for_gathered_batches(spark, docs, items):
+    import pyarrow as pa
+
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    paths = decontaminate.write_blocks(frame, key="item_id", text="text", window=10, block_words=60)
+    assert len(paths) > 3
+    texts = [r.text for r in docs.collect()]
+    batches = [pa.record_batch([pa.array(texts[i : i + 5])], ["text"]) for i in range(0, len(texts), 5)]
+    loads = []
+
+    def load(path):
+        loads.append(path)
+        return decontaminate._load(path)
+
+    one = [(c.tolist(), n.tolist(), i) for _, c, n, i in decontaminate.search_blocks(iter(batches), 0, paths, load)]
+    assert len(loads) == len(paths) and len(batches) > 5
+    loads.clear()
+    each = [(c.tolist(), n.tolist(), i) for _, c, n, i in decontaminate.search_blocks(iter(batches), 0, paths, load, gathered=0)]
+    assert each == one and len(loads) == len(paths) * len(batches)

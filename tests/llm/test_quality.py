@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -79,3 +81,16 @@ def test_statistics_do_not_depend_on_the_batch(texts):
     assert np.allclose(whole, alone)
     part = quality.statistics(pa.array(values, pa.string()).slice(5, 9))
     assert np.allclose(part, whole[5:14])
+
+
+def test_a_labelled_id_on_a_third_of_all_rows_counts_once(labelled, spark, monkeypatch):
+    docs, labels = labelled
+    hot = spark.createDataFrame([(1000, f"copy {i} " * (i % 9 + 1), 0.5, "c") for i in range(120)], docs.schema)
+    marks = spark.createDataFrame([(1000, 1)] * 50 + [(1000, 0)], labels.schema)
+    seen = []
+    monkeypatch.setattr(quality.Trees, "grow", classmethod(lambda cls, x, y, **_: seen.append((len(x), int(y.sum())))))
+    quality.learn(docs, labels)
+    quality.learn(docs.unionAll(hot), labels.unionAll(marks))
+    # One row more, with its least label.
+    held = zlib.crc32(b"1000") % 5 == 0
+    assert seen[1] == (seen[0][0] + (not held), seen[0][1])

@@ -64,4 +64,23 @@ def test_spans_and_kept_text(spark, prose):
 def test_empty_table_and_window_bound(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
     with pytest.raises(ValueError):
-        substrings.remove_repeats(no_docs, window=61)
+        substrings.remove_repeats(no_docs, window=0)
+
+
+@pytest.mark.parametrize("window", [61, 100, 130])
+def test_windows_longer_than_a_mask(spark, prose, window):
+    own = random.Random(window)
+    base = prose(500, 31).split(" ")
+    rows = [(i, " ".join([prose(own.randrange(9), i), *base[own.randrange(200) : 300 + own.randrange(200)], prose(3, i + 99)])) for i in range(14)]
+    rows += [(20, " ".join(["same"] * 400)), (21, " ".join(["same"] * 250)), (22, " ".join(base))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df, window) == plain(rows, window)
+
+
+def test_no_join_key_is_met_beside_an_aggregate(docs, monkeypatch):
+    """Each skewed side meets a stored table, so that adaptive execution may split it."""
+    stored = []
+    real = substrings.cut
+    monkeypatch.setattr(substrings, "cut", lambda df, purpose: stored.append(purpose) or real(df, purpose))
+    substrings.remove_repeats(docs, window=7).count()
+    assert {"shared", "earliest", "masks"} <= set(stored)
