@@ -10,7 +10,9 @@ from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.plans import feeds as V
 from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW, _doubles, query
-from fleetboard.sinks import RunTable, append_changes, read_board, read_changes, with_counts, write_archive
+from fleetboard.sinks import (
+    RunTable, append_changes, read_board, read_changes, read_committed, with_counts, write_archive, write_committed,
+)
 from fleetboard.sources import entity_json, land_polls, parse_vehicle, read_polls, run_to_end, store_bucketed
 from fleetboard.sources.ingest import CORRUPT
 from fleetboard.streaming import (
@@ -231,6 +233,19 @@ def stream_interval_join(spark: SparkSession, d: str) -> DataFrame:
     return newest_match(rows, "id", ("feedSec", "tripSeq")).select("id", "tripId", "updateSec", "feedSec", "tripSeq")
 
 
+@query
+def committed_archive(spark: SparkSession, d: str) -> DataFrame:
+    """Polls archived batch by batch, each committed as a whole, and read by their manifests."""
+    root = shared_folder(spark, "committed")
+    rows = V.table(spark, d, "events").select("event_id", "user_id", "event_type", day_poll().alias("poll"))
+    stream = _polls(spark, root, "polls", rows, per_batch=2)
+    run_to_end(
+        stream.writeStream.foreachBatch(lambda batch, n: write_committed(batch, f"{root}/archive", n))
+        .option("checkpointLocation", f"{root}/checkpoint")
+    )
+    return read_committed(spark, f"{root}/archive", rows.schema)
+
+
 @query
 def ingest_counts(spark: SparkSession, d: str) -> DataFrame:
     """What the job that archives the parsed positions saw on its way: one scan, one row."""

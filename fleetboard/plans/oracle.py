@@ -208,6 +208,7 @@ GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'""",
     "maintained_stop_board": _STOP_BOARD,
     "stream_expiry": _EXPIRY,
     "stream_interval_join": _INTERVAL,
+    "committed_archive": f"SELECT event_id, user_id, event_type, {_POLL} AS poll FROM events",
     "ingest_counts": _sql(
         f"""SELECT count(*) AS rows, count(*) FILTER (seq % 5 = 0) AS corrupt,
        count(*) FILTER (seq % 5 <> 0 AND {POS_NOW} - ts_sec < {POS_HORIZON}) AS fresh,

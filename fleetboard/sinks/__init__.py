@@ -1,3 +1,4 @@
+from fleetboard.sinks.committed import manifests, read_committed, write_committed
 from fleetboard.sinks.metrics import with_counts
 from fleetboard.sinks.runs import RunTable
 from fleetboard.sinks.upsert import (
@@ -19,13 +20,16 @@ __all__ = [
     "RunTable",
     "append_changes",
     "compact_changes",
+    "manifests",
     "read_board",
     "read_changes",
+    "read_committed",
     "served",
     "stop_upserts",
     "to_upsert",
     "with_counts",
     "write_archive",
+    "write_committed",
     "write_jdbc",
     "write_topic",
 ]

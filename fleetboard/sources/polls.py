@@ -24,7 +24,8 @@ POLL = "poll"
 ROWS = 10_000
 
 
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a URI, on whatever machine this runs."""
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if uri.startswith("/"):
@@ -42,7 +43,7 @@ class PollReader(DataSourceStreamReader):
 
     def _landed(self) -> list[int]:
         """Numbers of the polls up to the first that is still being written."""
-        fs, root = _filesystem(self._path)
+        fs, root = filesystem(self._path)
         found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
         folders = {int(f.base_name.removeprefix(f"{POLL}=")): f.path for f in found if f.base_name.startswith(f"{POLL}=")}
         whole = any(f.base_name == "_SUCCESS" for f in found)
@@ -68,7 +69,7 @@ class PollReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         # A restarted stream asks for the last batch it has planned before it asks for the latest offset.
         self._at = max(end[POLL], -1 if self._at is None else self._at)
-        fs, root = _filesystem(self._path)
+        fs, root = filesystem(self._path)
         found = []
         for number in self._landed():
             if start[POLL] < number <= end[POLL]:
@@ -79,7 +80,7 @@ class PollReader(DataSourceStreamReader):
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         number, path = partition.value
         schema = to_arrow_schema(self._schema)
-        fs, _ = _filesystem(self._path)
+        fs, _ = filesystem(self._path)
         with fs.open_input_file(path) as file:
             names = [n for n in schema.names if n != POLL]
             for batch in pq.ParquetFile(file).iter_batches(ROWS, columns=names):
