@@ -75,6 +75,27 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
+def risks(parameters: np.ndarray, toxic: tuple, unlabelled: tuple, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The risk on toxic texts, the estimated risk on clean ones, and the gradients of both.
+
+    ``toxic`` and ``unlabelled`` are (row, feature's place, rows); the last parameter is the
+    constant. Logistic loss: log(1 + exp(-z)) as toxic, log(1 + exp(z)) as clean.
+    """
+    (row_p, at_p, n_p), (row_u, at_u, n_u) = toxic, unlabelled
+
+    def back(row: np.ndarray, at: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(at, slope[row], len(parameters) - 1), slope.sum())
+
+    w = parameters[:-1]
+    z_p = parameters[-1] + np.bincount(row_p, w[at_p], n_p)
+    z_u = parameters[-1] + np.bincount(row_u, w[at_u], n_u)
+    s_p, s_u = 1 / (1 + np.exp(-np.clip(z_p, -50, 50))), 1 / (1 + np.exp(-np.clip(z_u, -50, 50)))
+    negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
+    clean = back(row_u, at_u, s_u / n_u) - prior * back(row_p, at_p, s_p / n_p)
+    positive = prior * back(row_p, at_p, (s_p - 1) / n_p)
+    return prior * np.logaddexp(0, -z_p).mean(), negative, positive, clean
+
+
 def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1, decay: float = 3e-4) -> Linear:
     """Minimise the non-negative risk. Without toxic or unlabelled texts the score is the prior's."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
@@ -105,18 +126,9 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *,
     parameters[-1] = constant
     mean, square = np.zeros_like(parameters), np.zeros_like(parameters)
 
-    def back(row: np.ndarray, at: np.ndarray, slope: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(at, slope[row], len(known)), slope.sum())
-
     for step in range(1, steps + 1):
         w = parameters[:-1]
-        z_p = parameters[-1] + np.bincount(row_p, w[at_p], n_p)
-        z_u = parameters[-1] + np.bincount(row_u, w[at_u], n_u)
-        s_p, s_u = 1 / (1 + np.exp(-np.clip(z_p, -50, 50))), 1 / (1 + np.exp(-np.clip(z_u, -50, 50)))
-        # Logistic loss: log(1 + exp(-z)) as toxic, log(1 + exp(z)) as clean.
-        negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
-        clean = back(row_u, at_u, s_u / n_u) - prior * back(row_p, at_p, s_p / n_p)
-        positive = prior * back(row_p, at_p, (s_p - 1) / n_p)
+        _, negative, positive, clean = risks(parameters, (row_p, at_p, n_p), (row_u, at_u, n_u), prior)
         gradient = positive + clean if negative >= 0 else -clean
         gradient[:-1] += decay * w
         mean = 0.9 * mean + 0.1 * gradient

@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -94,3 +96,53 @@ def test_a_labelled_id_on_a_third_of_all_rows_counts_once(labelled, spark, monke
     # One row more, with its least label.
     held = zlib.crc32(b"1000") % 5 == 0
     assert seen[1] == (seen[0][0] + (not held), seen[0][1])
+
+
+def test_statistics_against_plain_python(prose):
+    texts = [prose(40, 1), "A b, a! 12 b b\n\nEnd. of it\nEnd. of it", "", None, "x", "é é é ñ", "a|b {c} <d> 5% ? !", prose(300, 2) + "\n" + prose(5, 3)]
+    found = quality.statistics(pa.array(texts))
+    for row, text in zip(found, texts):
+        body = (text or "").encode()
+        words = [w for w in re.split(rb"[\x20\x09-\x0d]+", body) if w]
+        lines = [line for line in body.split(b"\n") if line]
+        share = lambda chars: sum(b in chars for b in body) / max(1, len(body))  # noqa: B023, E731
+        each = max(1, len(words))
+        sizes = [len(w) for w in words]
+        mean = sum(sizes) / each
+        triples = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        want = {
+            "log_bytes": math.log1p(len(body)), "upper": share(range(65, 91)), "lower": share(range(97, 123)), "digit": share(range(48, 58)),
+            "space": share(b" "), "newline": share(b"\n"), "other": share(range(128, 256)), "stop": share(b".,"), "mark": share(b"!?"),
+            "bar": share(b"|"), "angle": share(b"<>{}[]()=/\\"), "sign": share(b"#$%&*+@^_~"), "word_mean": mean,
+            "word_spread": math.sqrt(max(0, sum(s * s for s in sizes) / each - mean**2)), "word_longest": math.log1p(max(sizes, default=0)),
+            "one_letter": sum(s <= 2 for s in sizes) / each, "distinct": len(set(words)) / each,
+            "same_next": sum(a == b for a, b in zip(words, words[1:])) / each,
+            "top_share": max((words.count(w) for w in set(words)), default=0) / each,
+            "triples_distinct": len(set(triples)) / max(1, len(triples)), "ends_stop": sum(w[-1:] in (b".", b",") for w in words) / each,
+            "line_mean": math.log1p(len(body) / max(1, len(lines))), "lines_distinct": len(set(lines)) / max(1, len(lines)),
+            "line_words": math.log1p(len(words) / max(1, len(lines))), "log_words": math.log1p(len(words)),
+        }
+        assert list(want) and set(want) == set(quality.NAMES)
+        assert dict(zip(quality.NAMES, row)) == pytest.approx(want)
+
+
+def test_one_round_of_boosting_against_all_cuts():
+    own = np.random.default_rng(8)
+    x = np.column_stack([own.integers(0, 9, 200), own.integers(0, 5, 200), own.normal(size=200)]).astype(float)
+    y = ((x[:, 0] > 4) ^ (own.random(200) < 0.1)).astype(float)
+    made = quality.Trees.grow(x, y, trees=1, depth=1, rate=0.3)
+    base = math.log((y.sum() + 0.5) / (200.5 - y.sum()))
+    p = 1 / (1 + math.exp(-base))
+    gradient, weight = p - y, np.full(200, p * (1 - p))
+    part = lambda rows: gradient[rows].sum() ** 2 / (weight[rows].sum() + 1.0)
+    every = {}
+    for c in range(3):
+        for limit in np.unique(np.quantile(x[:, c], np.linspace(0, 1, 65)[1:-1])):
+            left = x[:, c] <= limit
+            if weight[left].sum() >= 2 and weight[~left].sum() >= 2:
+                every[c, limit] = part(left) + part(~left) - part(np.ones(200, bool))
+    column, limit = int(made.column[0][0]), float(made.limit[0][0])
+    assert every[column, limit] == pytest.approx(max(every.values())) and column == 0
+    left = x[:, column] <= limit
+    value = lambda rows: -0.3 * gradient[rows].sum() / (weight[rows].sum() + 1.0)
+    assert made.score(x) == pytest.approx(1 / (1 + np.exp(-(base + np.where(left, value(left), value(~left))))))
