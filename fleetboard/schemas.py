@@ -68,18 +68,42 @@ TRIP_UPDATE_WIRE, TRIP_UPDATE_EVENT = _trip_update(STR), _trip_update(LONG)
 # One landed snapshot; every entity is kept as its JSON text.
 FEED_WIRE = _of(entity=T.ArrayType(STR))
 
-TRIP_LOOKUP = T.StructType(
-    _struct(
-        "route_id route_short_name service_id trip_id trip_headsign direction_id "
-        "trip_direction_name block_id shape_id shape_code trip_type trip_sort "
-        "trip_short_name block_transfer_id"
-    ).fields
-    + _struct("wheelchair_accessible bikes_allowed", INT).fields
+# Names and order of the lookup files' columns.
+TRIP_LOOKUP = _of(
+    route_id=STR,
+    route_short_name=STR,
+    service_id=STR,
+    trip_id=STR,
+    trip_headsign=STR,
+    direction_id=STR,
+    trip_direction_name=STR,
+    block_id=STR,
+    shape_id=STR,
+    shape_code=STR,
+    trip_type=STR,
+    trip_sort=STR,
+    trip_short_name=STR,
+    block_transfer_id=STR,
+    wheelchair_accessible=INT,
+    bikes_allowed=INT,
 )
-STOP_LOOKUP = _struct(
-    "stop_id stop_code stop_name stop_desc stop_lat stop_lon agency_id jurisdiction_id "
-    "location_type parent_station relative_position cardinal_direction "
-    "wheelchair_boarding primary_street address_range cross_location"
+STOP_LOOKUP = _of(
+    stop_id=STR,
+    stop_code=STR,
+    stop_name=STR,
+    stop_desc=STR,
+    stop_lat=STR,
+    stop_lon=STR,
+    agency_id=STR,
+    jurisdiction_id=STR,
+    location_type=STR,
+    parent_station=STR,
+    relative_position=STR,
+    cardinal_direction=STR,
+    wheelchair_boarding=STR,
+    primary_street=STR,
+    address_range=STR,
+    cross_location=STR,
 )
 STOP_TIMES = _of(trip_id=STR, stop_id=STR, stop_sequence=LONG)
 SHAPES = _of(
