@@ -84,7 +84,7 @@ def replay_polls(spark: SparkSession, d: str) -> DataFrame:
 def stream_stop_weights(spark: SparkSession, d: str) -> DataFrame:
     """Calls of each trip's newest update counted by signed deltas, updates coming out of order."""
     root, own = shared_folder(spark, "weights"), stateful(spark)
-    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") * 5 % 3).cast("int"))
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") * 5 % 3 / 2).cast("int"))
     updates = V.trip_updates(_polls(own, root, "polls", lineitem))
     deltas = call_deltas(updates, V.trip_lookup(own, d))
     run_to_end(
@@ -131,11 +131,11 @@ def redeployed_changes(spark: SparkSession, d: str) -> DataFrame:
 def maintained_vehicle_board(spark: SparkSession, d: str) -> DataFrame:
     """The vehicle board from three chained keyed states, each batch sending what it changes."""
     root, own = shared_folder(spark, "vehicles"), stateful(spark)
-    events = V.table(own, d, "events").withColumn("poll", (F.dayofmonth("ts") / 11).cast("int"))
-    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") % 3).cast("int"))
+    events = V.table(own, d, "events").withColumn("poll", (F.dayofmonth("ts") / 16).cast("int"))
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") % 2).cast("int"))
     changes = vehicle_changes(
         V.positions(_polls(own, root, "positions", events)), V.trip_updates(_polls(own, root, "updates", lineitem)),
-        V.trip_lookup(own, d), V.stop_lookup(own, d), vehicle_ttl_s=None, salts=2,
+        V.trip_lookup(own, d), V.stop_lookup(own, d), vehicle_ttl_s=None, salts=1,
     )
 
     def send(batch: DataFrame, n: int) -> None:
@@ -150,7 +150,7 @@ def maintained_vehicle_board(spark: SparkSession, d: str) -> DataFrame:
 def maintained_stop_board(spark: SparkSession, d: str) -> DataFrame:
     """The stop board from signed deltas; each batch makes the pages of touched stops anew."""
     root, own = shared_folder(spark, "stops"), stateful(spark)
-    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") * 5 % 3).cast("int"))
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") * 5 % 3 / 2).cast("int"))
     deltas = call_deltas(V.trip_updates(_polls(own, root, "polls", lineitem)), V.trip_lookup(own, d))
     board = StopBoard(
         V.stop_lookup(spark, d), root, lambda upserts, n: append_changes(upserts, f"{root}/changes", n), TRIP_HORIZON, TRIP_NOW
@@ -194,11 +194,11 @@ def stream_expiry(spark: SparkSession, d: str) -> DataFrame:
 def stream_trip_join(spark: SparkSession, d: str) -> DataFrame:
     """Vehicles with their trip state, followed from trip to trip; the last batch's row counts."""
     root, own = shared_folder(spark, "join"), stateful(spark)
-    events = V.table(own, d, "events").withColumn("poll", (F.dayofmonth("ts") / 11).cast("int"))
-    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") % 3).cast("int"))
+    events = V.table(own, d, "events").withColumn("poll", (F.dayofmonth("ts") / 16).cast("int"))
+    lineitem = V.table(own, d, "lineitem").withColumn("poll", (F.col("l_linenumber") % 2).cast("int"))
     vehicles = B.slim_positions(V.positions(_polls(own, root, "positions", events)))
     trips = O.trip_state(V.trip_updates(_polls(own, root, "updates", lineitem)))
-    joined = join_trip_stream(vehicles, trips, salts=2, vehicle_ttl_s=POS_HORIZON * 40)
+    joined = join_trip_stream(vehicles, trips, salts=1, vehicle_ttl_s=POS_HORIZON * 40)
     newest = O.latest_by_key(_collected(spark, joined, root), "id", "batch")
     return newest.where("NOT gone").select(
         "id", "tripId", "updateSec", "feedSec", "startTime", "stopSequence", "stopId", "approachSec", "delay"

@@ -28,7 +28,8 @@ class _Digest(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # Deletes have no digest; they win among rows of the same order, as a larger digest does.
         new = max(rows, key=lambda r: (rank(r["at"]), r["digest"] is None, r["digest"] or 0))
-        known = self._last.get()[0] if self._last.exists() else None
+        known = self._last.get()
+        known = None if known is None else known[0]
         if new["digest"] == known:
             return
         if new["digest"] is None:
@@ -87,7 +88,7 @@ class _Life(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         new = max(rows, key=lambda r: (rank(r["seconds"], r["seq"]), r["value"] is None, r["value"] or ""))
-        known = self._newest.get() if self._newest.exists() else None
+        known = self._newest.get()
         if known is not None:
             if rank(*known) >= rank(new["seconds"], new["seq"]):
                 return

@@ -34,7 +34,8 @@ class _Supersede(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         new = max(rows, key=lambda r: (rank(r["feedSec"], r["seq"]), r["calls"] or ""))
-        old = tuple(self._counted.get()) if self._counted.exists() else None
+        old = self._counted.get()
+        old = None if old is None else tuple(old)
         if old is not None and rank(*old[:2]) >= rank(new["feedSec"], new["seq"]):
             return
         if old is not None:

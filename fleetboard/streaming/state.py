@@ -93,7 +93,8 @@ class _Place(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         new = max(rows, key=lambda r: (rank(r["updateSec"], r["seq"]), r["trip"]))
-        known = tuple(self._newest.get()) if self._newest.exists() else None
+        known = self._newest.get()
+        known = None if known is None else tuple(known)
         trip, state = new["trip"], _of(new, _VEHICLE)
         if known is not None and rank(*known[-2:]) >= rank(*state[-2:]):
             return
@@ -121,10 +122,14 @@ def _event(trip: str, kind: str, vehicle: str, state: tuple) -> dict:
 
 
 class _Trip(StatefulProcessor):
-    """Newest update of a trip, and the vehicles that are on it."""
+    """Newest update of a trip, and the vehicles that are on it.
+
+    Their number lies beside the update, so that a trip without any costs one read and one write.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._trip = handle.getValueState("trip", _TRIP)
+        known = [T.StructField("updated", T.BooleanType()), T.StructField("vehicles", T.IntegerType())]
+        self._trip = handle.getValueState("trip", T.StructType([*known, *_TRIP]))
         self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -137,21 +142,28 @@ class _Trip(StatefulProcessor):
                     told[row["id"]] = order, row["kind"], _of(row, _VEHICLE)
             elif update is None or rank(*_of(row, _TRIP)[:2]) >= rank(*update[:2]):
                 update = _of(row, _TRIP)
-        trip = tuple(self._trip.get()) if self._trip.exists() else None
+        known = self._trip.get()
+        updated, count = (False, 0) if known is None else (known[0], known[1])
+        trip, before = tuple(known[2:]) if updated else None, count
         changed = update is not None and (trip is None or rank(*update[:2]) >= rank(*trip[:2]))
-        if changed:
-            self._trip.update(update)
-            trip = update
+        trip = update if changed else trip
         here = {}
         for vehicle, (_, kind, state) in told.items():
+            there = before > 0 and self._vehicles.containsKey((vehicle,))
             if kind == HERE:
                 self._vehicles.updateValue((vehicle,), state)
                 here[vehicle] = state
-            elif self._vehicles.containsKey((vehicle,)):
+                count += not there
+            elif there:
                 self._vehicles.removeKey((vehicle,))
+                count -= 1
             if kind == GONE:
                 yield Row(**dict(zip(JOINED.names, (vehicle, True, *[None] * (len(_VEHICLE) + len(_TRIP))))))
-        shown = ((k[0], tuple(v)) for k, v in self._vehicles.iterator()) if changed else here.items()
+        if changed or count != before:
+            self._trip.update((trip is not None, count, *(trip or [None] * len(_TRIP))))
+        shown = here.items()
+        if changed and before:
+            shown = ((k[0], tuple(v)) for k, v in self._vehicles.iterator())
         for vehicle, state in shown:
             yield Row(**dict(zip(JOINED.names, (vehicle, False, *state, *(trip or NO_TRIP_UPDATE)))))
 

@@ -34,7 +34,7 @@ def test_query_equals_its_sql(spark, db, sf_dir, name):
     assert rows
 
 
-_BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
+_BATCH = sorted(n for n, q in QUERIES.items() if q.__module__ != "fleetboard.plans.maintained" and not n.startswith("stream_"))
 
 
 @pytest.mark.parametrize("name", _BATCH)
