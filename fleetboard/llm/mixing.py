@@ -41,7 +41,7 @@ MODEL_NUMBERS = 1 << 20
 #: ``fit`` ends its descent when every domain is as near to its own target as this share of it.
 CLOSE = 1e-4
 #: It also ends when so many steps together lower the weighted squared distance by less than this share.
-PATIENCE, WORTH = 10, 0.01
+PATIENCE, WORTH = 10, 0.1
 #: So many steps are walked through before the rates are written, and their walk begins anew.
 WALK = 32
 #: A domain that ends further from its target than this share of it is named in a warning.
