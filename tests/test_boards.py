@@ -211,3 +211,27 @@ def test_the_wall_clock_is_now_by_default(spark):
     entries = O.stop_entries(read[1], lookups[0])
     assert O.stop_board_latest(entries, lookups[1]).first().stopName == "A"
     assert O.live_vehicles(O.vehicle_state(read[0], horizon_s=None)).count() == 1
+
+
+def _semi_joins(plan):
+    found = []
+    if plan.nodeName() == "Join" and plan.joinType().toString() == "LeftSemi":
+        found.append(plan)
+    children = plan.children()
+    for i in range(children.size()):
+        found += _semi_joins(children.apply(i))
+    return found
+
+
+def test_stop_lists_stay_behind_when_updates_meet_vehicles(spark):
+    board = O.vehicle_board(
+        parse_vehicle(messages(spark, [vehicle("v", "T1", NOW - 10)])),
+        parse_trip_update(messages(spark, [long_trip()])),
+        trip_lookup(spark, ("T1", "700", "L", "EAST")),
+        stop_lookup(spark, ("s11", "Eleven")),
+        as_of=NOW,
+        ingested_at=NOW,
+    )
+    (join,) = _semi_joins(board._jdf.queryExecution().optimizedPlan())
+    moved = join.left().schema().simpleString()
+    assert "stopId" in moved and "array" not in moved
