@@ -17,41 +17,51 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from fleetboard.functions.timefn import DEFAULT_ZONE, rowtime
 from fleetboard.operators.boards import calls_of, entries_of_calls
 from fleetboard.operators.paging import PAGE_SECONDS
-from fleetboard.streaming.state import newest_in_batches, rank
+from fleetboard.streaming.state import Bucket, bucket_of, newest_in_batches, rank
 
 _CALLS = "array<struct<stopId: string, arrivalSec: bigint, delay: string>>"
 
 
 class _Supersede(StatefulProcessor):
-    """The calls of a trip that are counted now, as text that only the JVM takes apart."""
+    """The calls of a bucket's trips that are counted now, as text that only the JVM takes apart."""
 
     def __init__(self, horizon_ms: int | None):
         self._horizon_ms = horizon_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._counted = handle.getValueState("counted", "feedSec long, seq long, calls string")
+        self._counted = Bucket(handle, "counted")  # tripId: (feedSec, seq, calls)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = max(rows, key=lambda r: (rank(r["feedSec"], r["seq"]), r["calls"] or ""))
-        old = self._counted.get()
-        old = None if old is None else tuple(old)
-        if old is not None and rank(*old[:2]) >= rank(new["feedSec"], new["seq"]):
-            return
-        if old is not None:
-            yield Row(tripId=key[0], feedSec=old[0], weight=-1, calls=old[2])
-        self._counted.update((new["feedSec"], new["seq"], new["calls"]))
-        if self._horizon_ms is not None:
-            if old is not None and old[0] is not None:
-                self._handle.deleteTimer(old[0] * 1000 + self._horizon_ms)
-            if new["feedSec"] is not None:
-                self._handle.registerTimer(new["feedSec"] * 1000 + self._horizon_ms)
-        yield Row(tripId=key[0], feedSec=new["feedSec"], weight=1, calls=new["calls"])
+        newest = {}
+        for r in rows:
+            order = rank(r["feedSec"], r["seq"]), r["calls"] or ""
+            if r["tripId"] not in newest or newest[r["tripId"]][0] < order:
+                newest[r["tripId"]] = order, (r["feedSec"], r["seq"], r["calls"])
+        counted, ends = self._counted.get(), set()
+        for trip, (order, new) in newest.items():
+            old = counted.get(trip)
+            if old is not None and rank(*old[:2]) >= order[0]:
+                continue
+            if old is not None:
+                yield Row(tripId=trip, feedSec=old[0], weight=-1, calls=old[2])
+            counted[trip] = new
+            if self._horizon_ms is not None and new[0] is not None:
+                ends.add(new[0] * 1000 + self._horizon_ms)
+            yield Row(tripId=trip, feedSec=new[0], weight=1, calls=new[2])
+        for end in ends:
+            self._handle.registerTimer(end)
+        self._counted.update(counted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        old = tuple(self._counted.get())
-        self._counted.clear()
-        yield Row(tripId=key[0], feedSec=old[0], weight=-1, calls=old[2])
+        # Trips that a newer update has given a later end are left to their own timer.
+        end, counted = expiredTimerInfo.getExpiryTimeInMs(), self._counted.get()
+        over = [t for t, old in counted.items() if old[0] is not None and old[0] * 1000 + self._horizon_ms <= end]
+        for trip in over:
+            old = counted.pop(trip)
+            yield Row(tripId=trip, feedSec=old[0], weight=-1, calls=old[2])
+        if over:
+            self._counted.update(counted)
 
     def close(self) -> None:
         pass
@@ -76,7 +86,7 @@ def call_deltas(
     calls = newest_in_batches(calls, "tripId", ["feedSec", "seq", "calls"])
     if horizon_s is not None:
         calls = calls.withColumn("rowtime", rowtime(F.col("feedSec"))).withWatermark("rowtime", f"{late_s} seconds")
-    counted = calls.groupBy("tripId").transformWithState(
+    counted = calls.withColumn("bucket", bucket_of("tripId")).groupBy("bucket").transformWithState(
         statefulProcessor=_Supersede(None if horizon_s is None else horizon_s * 1000),
         outputStructType="tripId string, feedSec long, weight int, calls string",
         outputMode="Append", timeMode="None" if horizon_s is None else "EventTime",

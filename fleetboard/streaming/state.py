@@ -7,12 +7,14 @@ the vehicles and trips it brings. Needs the RocksDB state store provider
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -56,6 +58,47 @@ def rank(*numbers: int | None) -> tuple:
     return tuple((n is not None, n or 0) for n in numbers)
 
 
+#: Keys of a state by trip are dealt to so many buckets, each of which has one entry in the store.
+BUCKETS = 16_384
+
+
+def bucket_of(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+
+
+class Bucket:
+    """All keys of a bucket as one value of the state store: one read and one write a batch, however many they are."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self._state = handle.getValueState(name, "data binary")
+
+    def get(self) -> dict:
+        known = self._state.get()
+        return {} if known is None else pickle.loads(zlib.decompress(known[0]))
+
+    def update(self, keys: dict) -> None:
+        if keys:
+            self._state.update((zlib.compress(pickle.dumps(keys, pickle.HIGHEST_PROTOCOL), 1),))
+        else:
+            self._state.clear()
+
+
+#: Rows that a task gathers before it looks for the newest of each key.
+GATHERED = 10_000
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches joined up to ``GATHERED`` rows, as a session may make them small for long texts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= GATHERED:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def newest_in_batches(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Of each key's rows in an Arrow batch the one of greatest ``order``, missing values first.
 
@@ -64,7 +107,7 @@ def newest_in_batches(rows: DataFrame, key: str, order: Sequence[str]) -> DataFr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             by = [(key, "ascending"), *[(c, "ascending") for c in order]]
             sorted_rows = batch.take(pc.sort_indices(batch, sort_keys=by, null_placement="at_start"))
             codes = sorted_rows[key].dictionary_encode(null_encoding="encode").indices.to_numpy()
@@ -122,50 +165,51 @@ def _event(trip: str, kind: str, vehicle: str, state: tuple) -> dict:
 
 
 class _Trip(StatefulProcessor):
-    """Newest update of a trip, and the vehicles that are on it.
-
-    Their number lies beside the update, so that a trip without any costs one read and one write.
-    """
+    """Newest update of each trip of a bucket, and the vehicles that are on it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        known = [T.StructField("updated", T.BooleanType()), T.StructField("vehicles", T.IntegerType())]
-        self._trip = handle.getValueState("trip", T.StructType([*known, *_TRIP]))
-        self._vehicles = handle.getMapState("vehicles", _ID, _VEHICLE)
+        # Of each (trip, salt) its update, if there is one, and the vehicles there.
+        self._trips = Bucket(handle, "trips")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        update, told = None, {}
+        updates, words = {}, {}
         for row in rows:
+            at = row["trip"], row["salt"]
             if row["kind"] is not None:
                 # A vehicle may leave and come back within a batch; its newest word counts.
+                told = words.setdefault(at, {})
                 order = (rank(row["updateSec"], row["seq"]), row["kind"] == HERE)
                 if row["id"] not in told or told[row["id"]][0] <= order:
                     told[row["id"]] = order, row["kind"], _of(row, _VEHICLE)
-            elif update is None or rank(*_of(row, _TRIP)[:2]) >= rank(*update[:2]):
+            else:
                 update = _of(row, _TRIP)
-        known = self._trip.get()
-        updated, count = (False, 0) if known is None else (known[0], known[1])
-        trip, before = tuple(known[2:]) if updated else None, count
+                if at not in updates or rank(*update[:2]) >= rank(*updates[at][:2]):
+                    updates[at] = update
+        trips = self._trips.get()
+        for at in dict.fromkeys([*words, *updates]):
+            yield from self._told(trips, at, updates.get(at), words.get(at, {}))
+        self._trips.update(trips)
+
+    def _told(self, trips: dict, at: tuple, update: tuple | None, told: dict) -> Iterator[Row]:
+        trip, vehicles = trips.get(at, (None, {}))
         changed = update is not None and (trip is None or rank(*update[:2]) >= rank(*trip[:2]))
         trip = update if changed else trip
-        here = {}
+        shown = dict.fromkeys(vehicles) if changed else {}
         for vehicle, (_, kind, state) in told.items():
-            there = before > 0 and self._vehicles.containsKey((vehicle,))
             if kind == HERE:
-                self._vehicles.updateValue((vehicle,), state)
-                here[vehicle] = state
-                count += not there
-            elif there:
-                self._vehicles.removeKey((vehicle,))
-                count -= 1
+                vehicles[vehicle] = state
+                shown[vehicle] = None
+            else:
+                vehicles.pop(vehicle, None)
+                shown.pop(vehicle, None)
             if kind == GONE:
                 yield Row(**dict(zip(JOINED.names, (vehicle, True, *[None] * (len(_VEHICLE) + len(_TRIP))))))
-        if changed or count != before:
-            self._trip.update((trip is not None, count, *(trip or [None] * len(_TRIP))))
-        shown = here.items()
-        if changed and before:
-            shown = ((k[0], tuple(v)) for k, v in self._vehicles.iterator())
-        for vehicle, state in shown:
-            yield Row(**dict(zip(JOINED.names, (vehicle, False, *state, *(trip or NO_TRIP_UPDATE)))))
+        if trip is None and not vehicles:
+            trips.pop(at, None)
+        else:
+            trips[at] = trip, vehicles
+        for vehicle in shown:
+            yield Row(**dict(zip(JOINED.names, (vehicle, False, *vehicles[vehicle], *(trip or NO_TRIP_UPDATE)))))
 
     def close(self) -> None:
         pass
@@ -182,7 +226,9 @@ def join_trip_stream(
     So a batch gives at most one row per vehicle, and the last batch's row of a vehicle is the
     newest: an unmatched vehicle comes at once and again with its trip update, and a trip that a
     vehicle has left revises it no more. A trip's vehicles are spread over ``salts`` keys, each of
-    which gets the small trip row, so a trip with very many vehicles is not one task's work.
+    which gets the small trip row, so a trip with very many vehicles is not one task's work. The
+    second state holds a bucket of trips in one entry: a round trip to the store for each of
+    millions of trips would take longer than all else.
 
     ``vehicle_ttl_s`` after its newest row, in event time (the feeds' own seconds), a vehicle ends:
     a timer sends a row with ``gone`` and its id alone, and both states forget it. The watermark
@@ -204,17 +250,21 @@ def join_trip_stream(
         "trip", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"), "kind", "id",
         *_VEHICLE.names, *[nothing.cast(f.dataType).alias(f.name) for f in _TRIP],
     )
-    t = trips.select(
+    slim = trips.select(
         F.col("tripId").alias("trip"),
+        F.col("feedSec").cast("long").alias("feedSec"),
+        F.col("seq").cast("long").alias("tripSeq"),
+        "startTime",
+        *[F.col(f"next.{n}").alias(n) for n in ("stopSequence", "stopId", "approachSec", "delay")],
+    )
+    t = newest_in_batches(slim, "trip", ["feedSec", "tripSeq"]).select(
+        "trip",
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
         nothing.cast("string").alias("kind"),
         nothing.cast("string").alias("id"),
         *[nothing.cast(f.dataType).alias(f.name) for f in _VEHICLE],
-        "feedSec",
-        F.col("seq").alias("tripSeq"),
-        "startTime",
-        *[F.col(f"next.{n}").alias(n) for n in ("stopSequence", "stopId", "approachSec", "delay")],
+        *_TRIP.names,
     )
-    return v.unionByName(t).groupBy("trip", "salt").transformWithState(
+    return v.unionByName(t).withColumn("bucket", bucket_of("trip", "salt")).groupBy("bucket").transformWithState(
         statefulProcessor=_Trip(), outputStructType=JOINED, outputMode="Append", timeMode="None"
     )

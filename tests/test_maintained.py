@@ -22,7 +22,8 @@ from fleetboard.streaming import (
     read_weights,
     with_expiry,
 )
-from fleetboard.streaming.state import newest_in_batches
+from fleetboard.streaming.deltas import _Supersede
+from fleetboard.streaming.state import _EVENT, _TRIP, HERE, _Trip, newest_in_batches
 
 _NAMES = ("T0", "T1", "T2", "T3")
 
@@ -119,6 +120,58 @@ def test_a_task_sends_one_row_of_a_hot_key_per_batch(spark):
     assert newest_in_batches(df, "key", ["seconds", "seq"]).count() == 7
 
 
+def test_small_arrow_batches_send_no_more_rows_of_a_hot_key(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    df = own.createDataFrame([("hot", i) for i in range(100)], "key string, seq long").coalesce(1)
+    assert [tuple(r) for r in newest_in_batches(df, "key", ["seq"]).collect()] == [("hot", 99)]
+
+
+class _Store:
+    """A state store that counts how often it is asked."""
+
+    def __init__(self):
+        self.asked, self.value = 0, None
+
+    def getValueState(self, name, schema):
+        return self
+
+    getMapState = getValueState
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked += 1
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_trips_of_a_bucket_are_read_and_written_at_once():
+    store = _Store()
+    counted = _Supersede(None)
+    counted.init(store)
+    rows = [Row(tripId=f"T{i % 50}", feedSec=i, seq=1, calls=f"c{i}") for i in range(100)]
+    assert {(r.tripId, r.calls) for r in counted.handleInputRows((0,), iter(rows), None)} == {(f"T{i}", f"c{i + 50}") for i in range(50)}
+    sent = list(counted.handleInputRows((0,), iter([Row(tripId="T1", feedSec=200, seq=1, calls="new"), rows[2]]), None))
+    assert [(r.tripId, r.weight, r.calls) for r in sent] == [("T1", -1, "c51"), ("T1", 1, "new")]
+    assert store.asked == 4
+
+    store, trips = _Store(), _Trip()
+    trips.init(store)
+    empty = dict.fromkeys(f for f in _EVENT.names + _TRIP.names)
+    updates = [Row(**{**empty, "trip": f"T{i}", "salt": 0, "feedSec": i, "stopId": f"s{i}"}) for i in range(50)]
+    assert list(trips.handleInputRows((0,), iter(updates), None)) == []
+    here = Row(**{**empty, "trip": "T7", "salt": 0, "kind": HERE, "id": "v", "updateSec": 1})
+    assert [(r.id, r.stopId) for r in trips.handleInputRows((0,), iter([here]), None)] == [("v", "s7")]
+    newer = Row(**{**empty, "trip": "T7", "salt": 0, "feedSec": 60, "stopId": "next"})
+    assert [(r.id, r.stopId) for r in trips.handleInputRows((0,), iter([newer, updates[3]]), None)] == [("v", "next")]
+    assert store.asked == 6
+
+
 # ---- changes and expiry
 
 
