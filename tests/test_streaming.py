@@ -9,7 +9,7 @@ from fleetboard import operators as O
 from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.sinks import append_changes, read_board, read_changes
-from fleetboard.sources import parse_trip_update, parse_vehicle, with_rowtime
+from fleetboard.sources import explode_feed, parse_trip_update, parse_vehicle, with_rowtime
 from fleetboard.streaming import (
     BoardJob,
     join_trip_stream,
@@ -335,3 +335,27 @@ def test_print_messages(spark, workdir):
     print_messages(_stream(spark, folder), trigger=NOW_DONE, out=lines.append).awaitTermination()
     assert sorted(json.loads(line)["seq"] for line in lines) == sorted(n for _, _, n in _events()[:50])
     assert {json.loads(line)["topic"] for line in lines} == {"VehiclePositions", "TripUpdates"}
+
+
+def test_a_message_is_parsed_once(spark, workdir):
+    """Filters on what was parsed would have the optimizer parse again."""
+    spark.createDataFrame([("TripUpdates", "{}", 1)], _WIRE).write.parquet(f"{workdir}/messages")
+    messages = spark.read.parquet(f"{workdir}/messages")
+    newest = _job(spark, workdir)._newest(messages, NOW)
+    for df, times in ((newest, 2), (explode_feed(messages)[0], 1)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == times
+
+
+@pytest.mark.parametrize("bad", [[], [("TripUpdates", "{", 8), ("Odd", "text", 9), (None, None, 10)]])
+def test_newest_states_and_bad_messages_of_one_pass(spark, workdir, bad):
+    """Messages without a value count as updates of no trip; stale positions leave no state."""
+    rows = [("VehiclePositions", json.dumps(vehicle("v", "T1", NOW - n)), n) for n in (149, 150, 10)]
+    rows += [("VehiclePositions", None, 4), ("TripUpdates", None, 5), ("TripUpdates", json.dumps(trip_update("T1", [], NOW)), 6)]
+    job = _job(spark, workdir)
+    job.run_batch(spark.createDataFrame(rows + bad, _WIRE), 0)
+    state = spark.read.parquet(f"{workdir}/state/vehicles").select("id", "updateSec", "seq").collect()
+    assert [tuple(r) for r in state] == [("v", NOW - 10, 10)]
+    state = spark.read.parquet(f"{workdir}/state/trips").select("tripId", "feedSec", "seq").collect()
+    assert sorted(map(tuple, state), key=repr) == [("T1", NOW, 6), (None, None, 5)]
+    kept = spark.read.schema("topic string, value string").parquet(f"{workdir}/state/corrupt/batch=0").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(((t, v) for t, v, _ in bad), key=repr)
