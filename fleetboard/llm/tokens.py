@@ -40,7 +40,9 @@ MAGIC = b"TOKSHRD1"
 INDEX_MAGIC = b"TOKINDX1"
 FOOTER = "<8sQQ"
 #: Pieces of texts whose ids a Python worker remembers; up to twice as many at times.
-PIECES = 250_000
+PIECES = 100_000
+#: Bytes of texts that are cut and encoded at once, unless one text alone has more.
+BATCH_BYTES = 2 << 20
 #: Bits per key of a level of the hash.
 GAMMA = 1.6
 
@@ -77,8 +79,8 @@ class Encoder:
     normalizer.
     """
 
-    #: Texts that the library encodes at once.
-    TOGETHER = 1000
+    #: Texts that the library encodes at once, and how many such groups before their ids are taken over.
+    TOGETHER, GROUPS = 1000, 8
 
     def __init__(self, path: str | None, width: int, end_id: int, text: str | None = None):
         """``text`` is what the file at ``path`` holds, where that is not to be read here."""
@@ -108,7 +110,10 @@ class Encoder:
         other = [key for key in new if not _SOLID.fullmatch(key)] if len(plain) < len(new) else []
         groups = [plain[at : at + self.TOGETHER] for at in range(0, len(plain), self.TOGETHER)]
         line, now = np.frombuffer(self.line, self.kind), self.pieces.now
-        for group, ids in zip(groups, self._ids([b"\n".join(g).decode() for g in groups])):
+        # What the library returns for a token has many times the size of its id, so a few groups at a time.
+        some = (groups[at : at + self.GROUPS] for at in range(0, len(groups), self.GROUPS))
+        coded = chain.from_iterable(zip(held, self._ids([b"\n".join(g).decode() for g in held])) for held in some)
+        for group, ids in coded:
             data = np.array(ids, self.kind)
             ends = np.flatnonzero(data == line[0]) if len(line) == 1 else []
             if len(ends) == len(group) - 1:
@@ -202,15 +207,20 @@ def encoder(text: str, width: int, end_id: int) -> Encoder:
     return made
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches joined until they have ``size`` bytes, as larger ones have fewer distinct words."""
+def _gathered(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches joined until they have ``size`` bytes, larger ones cut by rows.
+
+    Larger batches have fewer distinct words, but what encoding holds grows with the batch.
+    """
+    size = size or BATCH_BYTES
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-        if sum(b.nbytes for b in held) >= size:
-            yield pa.concat_batches(held)
-            held = []
+        step = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, step):
+            held.append(batch.slice(at, step))
+            if sum(b.nbytes for b in held) >= size:
+                yield pa.concat_batches(held)
+                held = []
     if held:
         yield pa.concat_batches(held)
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fleetboard.llm import tokens
 from fleetboard.llm.common import open_file
@@ -92,3 +93,20 @@ def test_a_shard_is_raw_ids(spark, docs, library, texts):
     with open_file(row.path) as file:
         ids = np.frombuffer(file.read(2 * row.n_ids), "<u2")
     assert (ids == 2).sum() >= len(texts) and row.n == len(texts)
+
+
+def test_large_batches_are_cut_and_few_groups_are_held(library, prose, monkeypatch):
+    """What a worker holds is bounded by bytes of texts and by groups, not by the rows of a batch."""
+    values = [prose(300, seed) for seed in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(42)), pa.array(values)], names=["key", "text"])
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 10_000)
+    parts = list(tokens._gathered(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert [v for p in parts for v in p.column(1).to_pylist()] == values + values[:3]
+    assert max(p.num_rows for p in parts) < 20
+    coder, asked = tokens.Encoder(PATH, 2, 2), []
+    coder.TOGETHER, coder.GROUPS, ids = 5, 2, coder._ids
+    coder._ids = lambda texts: asked.append(len(texts)) or ids(texts)
+    got = [data for p in parts for data in coder.encode(p.column(1))]
+    assert len(asked) > 10 and max(asked) <= 5
+    for value, data in zip(values, got):
+        assert list(np.frombuffer(data, "<u2")) == [*library.encode(value or "", add_special_tokens=False).ids, 2]
