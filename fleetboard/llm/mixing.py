@@ -27,6 +27,8 @@ from functools import reduce
 from operator import add
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,15 +173,16 @@ def fit_rates(members: DataFrame, totals: list[float], targets: list[float], at_
 
     def measure(tried: list[np.ndarray]) -> list[tuple[np.ndarray, float]]:
         """Per step the domains' totals after it, and how far it moves the rates, squared."""
+        if not start.any():  # No words, which may be no documents.
+            return [(np.zeros(len(want)), 0.0) for _ in tried]
         rated = now.selectExpr("n * rows AS m", f"{posterior} AS p", "rate").selectExpr("m", "p", f"{_walked(steps, at_least)} AS old")
         ways = f"array({', '.join(map(_numbers, tried))})"
         after = rated.selectExpr("m", "p", "old", f"transform({ways}, v -> greatest(old - {_DOT}, {float(at_least)!r}D)) AS new")
         terms = "flatten(transform(new, x -> concat(transform(p, q -> m * q * x), array(m * (x - old) * (x - old)))))"
-        sums = after.select(F.posexplode(F.expr(terms)).alias("at", "term")).groupBy("at").agg(F.sum("term").alias("sum"))
-        flat = np.zeros(len(tried) * (len(want) + 1))
-        for r in sums.collect():
-            flat[r["at"]] = r["sum"] or 0.0
-        return [(row[:-1], float(row[-1])) for row in flat.reshape(len(tried), -1)]
+        # A document's terms are added up as one vector; a row of each would be documents times steps times domains.
+        vector = array_to_vector(F.expr(f"transform({terms}, t -> coalesce(t, 0D))"))
+        sums = after.agg(vector_to_array(Summarizer.sum(vector)).alias("sums")).first()["sums"]
+        return [(row[:-1], float(row[-1])) for row in np.array(sums).reshape(len(tried), -1)]
 
     def height(sums: np.ndarray) -> float:
         return float(((sums - want) ** 2 / words).sum())

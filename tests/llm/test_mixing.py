@@ -169,3 +169,20 @@ def test_no_python_in_the_plan(corpus):
     docs, labelled = corpus
     plan = mixing.mix(docs, labelled)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_descent_makes_no_row_for_each_document_and_domain(spark, monkeypatch):
+    members, p, n = skewed(spark, 4, (0.3, 0.3))
+    totals = p.T @ n
+    targets = mixing.targets_of(list(totals), list(range(4)), None, 0.7, None)
+    plans, collect = [], type(members).collect
+    monkeypatch.setattr(type(members), "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    found, reached = mixing.fit_rates(members, list(totals), targets)
+    assert reached == pytest.approx(targets, rel=1e-5) and found.count() == len(n)
+    assert len(plans) > 3 and not any("Generate" in plan or "Python" in plan for plan in plans)
+
+
+def test_a_descent_over_no_documents_has_no_words(spark):
+    none = spark.createDataFrame([], "id long, digest long, rows long, n double, p0 double, p1 double")
+    found, reached = mixing.fit_rates(none, [0.0, 0.0], [0.0, 0.0], 2.0)
+    assert found.count() == 0 and reached == [0.0, 0.0]
