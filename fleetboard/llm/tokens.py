@@ -40,7 +40,7 @@ MAGIC = b"TOKSHRD1"
 INDEX_MAGIC = b"TOKINDX1"
 FOOTER = "<8sQQ"
 #: Pieces of texts whose ids a Python worker remembers; up to twice as many at times.
-PIECES = 100_000
+PIECES = 250_000
 #: Bytes of texts that are cut and encoded at once, unless one text alone has more.
 BATCH_BYTES = 2 << 20
 #: Bits per key of a level of the hash.
@@ -54,11 +54,11 @@ class Memory:
         self.size, self.now, self.before = size, {}, {}
 
     def unknown(self, keys: Iterable) -> list:
-        """Those of ``keys`` that are to be learned; all others are in ``now`` after this."""
+        """Those of ``keys`` (distinct) that are to be learned; all others are in ``now`` after this."""
         if len(self.now) > self.size:
             self.now, self.before = {}, self.now
         now, before, new = self.now, self.before, []
-        for key in set(filterfalse(now.__contains__, keys)):
+        for key in filterfalse(now.__contains__, keys):
             if (value := before.get(key)) is None:
                 new.append(key)
             else:

@@ -110,3 +110,11 @@ def test_large_batches_are_cut_and_few_groups_are_held(library, prose, monkeypat
     assert len(asked) > 10 and max(asked) <= 5
     for value, data in zip(values, got):
         assert list(np.frombuffer(data, "<u2")) == [*library.encode(value or "", add_special_tokens=False).ids, 2]
+
+
+def test_a_worker_remembers_the_pieces_of_a_large_vocabulary():
+    memory = tokens.Memory(tokens.PIECES)
+    batches = [[b"%d" % i for i in range(a, a + 60_000)] for a in range(0, 300_000, 60_000)]
+    for batch in batches:
+        memory.now.update(dict.fromkeys(memory.unknown(batch), b""))
+    assert not any(memory.unknown(batch) for batch in batches)
