@@ -199,11 +199,16 @@ def stop_entries(
     add_delay: bool = True,
     use_arrival: bool = False,
     page_s: int = PAGE_SECONDS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One row per upcoming call of a known trip, with its ``page`` on the board.
 
     Past entries leave the arrays before they are exploded or shuffled. By
     default only the newest update of a trip counts; ``dedupe=False`` keeps all.
+    The updates are dealt by trip to ``tasks`` tasks, which join them, take them
+    apart and may count the entries; by default the session says how many. A
+    caller with many updates should give a number in proportion to them, as a
+    small update becomes many entries.
     """
     u = F.col("tripUpdate")
     calls = trips.select(
@@ -217,6 +222,8 @@ def stop_entries(
     if dedupe:
         calls = latest_by_key(calls, "tripId", _order(calls, "feedSec"))
         calls = calls.where(F.size("calls") > 0)
+    if tasks is not None:
+        calls = calls.repartition(tasks, "tripId")
     return entries_of_calls(calls, trip_lookup, zone=zone, page_s=page_s)
 
 

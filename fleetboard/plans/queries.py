@@ -37,6 +37,9 @@ POS_NOW, POS_HORIZON = 1706659200, 86400
 # "Now" and horizon of the trip queries (line items end 2001-11-04).
 TRIP_NOW, TRIP_HORIZON = 1004918400, 400 * 86400
 
+# Trip updates of one task of a stop board, so that more of them make more tasks, not larger ones.
+UPDATES_PER_TASK = 100_000
+
 # The vehicle a user has picked on the map.
 SELECTED = "2"
 
@@ -72,11 +75,13 @@ def _fresh_updates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _entries(spark: SparkSession, d: str, **options) -> DataFrame:
+    updates = V.table(spark, d, "lineitem").count()  # from the file footers
     return O.stop_entries(
         _fresh_updates(spark, d),
         V.trip_lookup(spark, d),
         as_of=TRIP_NOW,
         horizon_s=TRIP_HORIZON,
+        tasks=max(1, -(-updates // UPDATES_PER_TASK)),
         **options,
     )
 

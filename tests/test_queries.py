@@ -3,6 +3,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import rows_of
+from fleetboard.plans import queries as plans
 from fleetboard.plans.oracle import ORACLE
 from fleetboard.plans.queries import QUERIES
 
@@ -58,3 +59,20 @@ def test_the_fact_table_is_scanned_once(spark, sf_dir, name):
 def test_freshness_reaches_the_position_scan(spark, sf_dir):
     plan = QUERIES["live_vehicles"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts," in plan
+
+
+def test_more_updates_make_more_tasks_of_a_stop_board(spark, workdir, monkeypatch):
+    monkeypatch.setattr(plans, "UPDATES_PER_TASK", 6)
+    rows = spark.range(1, 41)
+    rows.selectExpr(
+        "id as l_orderkey", "id + 3 as l_partkey", "id % 5 as l_suppkey", "1 as l_linenumber", "1d as l_quantity",
+        "2d as l_extendedprice", "'N' as l_returnflag", "timestamp_ntz'2001-10-01 00:00:00' as l_shipdate",
+    ).write.parquet(f"{workdir}/lineitem.parquet")
+    rows.selectExpr("id as o_orderkey", "id % 3 as o_custkey", "'1-URGENT' as o_orderpriority").write.parquet(f"{workdir}/orders.parquet")
+    spark.range(3).selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment").write.parquet(f"{workdir}/customer.parquet")
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+    board = plans.stop_board_multiplicity(own, workdir)
+    # Trips whose number 7 divides are unknown; ``id + 3`` is the number of a trip's calls, up to 22.
+    assert {int(r.id) for r in board.collect()} <= {i for i in range(1, 41) if i % 7} and board.count() > 40
+    assert board.rdd.getNumPartitions() == 7
