@@ -178,3 +178,20 @@ def test_topic_options():
     assert read_topic(_Reader(), broker, starting="earliest")["startingOffsets"] == "earliest"
     once = read_topic(_Reader(), broker, stream=False)
     assert (once["startingOffsets"], once["endingOffsets"]) == ("earliest", "latest")
+
+
+def test_messages_are_made_before_the_step_that_reads_them(spark, capsys):
+    events = parse_trip_update(messages(spark, [long_trip(), long_trip("T2")])).select("id", "tripUpdate", "seq")
+    texts = events.select("seq", entity_json(events, "id", "tripUpdate").alias("value"))
+    parsed = parse_trip_update(texts)
+    parsed.explain()
+    steps = [line for line in capsys.readouterr().out.splitlines() if "from_json" in line]
+    assert steps and not [line for line in steps if "StructsToJson" in line]
+    order = lambda df: df.select("seq", "id", "tripUpdate").orderBy("seq").collect()
+    assert order(parsed) == order(events)
+
+
+def test_a_message_without_text_is_an_event_without_values(spark):
+    rows = spark.createDataFrame([(None, 1), ("{", 2)], "value string, seq long")
+    got = {r.seq: (r.id, r.tripUpdate, r._corrupt_record) for r in parse_trip_update(rows).collect()}
+    assert got == {1: (None, None, None), 2: (None, None, "{")}
