@@ -6,42 +6,61 @@ They need the RocksDB state store provider and output mode append.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetboard.functions.timefn import rowtime
-from fleetboard.streaming.state import rank
+from fleetboard.streaming.state import Bucket, Packed, bucket_of, keys_of, packed, rank, unpacked
 
 INSERT, CHANGE, DELETE = "insert", "change", "delete"
+_CHANGE = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("at", T.LongType()),
+        T.StructField("kind", T.StringType()),
+    ]
+)
+_CHANGE_ROW = Row(*_CHANGE.names)
+_SENT = T.StructType([T.StructField("key", T.StringType()), T.StructField("digest", T.LongType())])
 
 
 class _Digest(StatefulProcessor):
-    """The digest of the value that was last sent for a key; none if it was deleted or never sent."""
+    """The digests of the values last sent for a bucket's keys; none of one that was deleted or never sent."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("digest", "digest long")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # Deletes have no digest; they win among rows of the same order, as a larger digest does.
-        new = max(rows, key=lambda r: (rank(r["at"]), r["digest"] is None, r["digest"] or 0))
-        known = self._last.get()
-        known = None if known is None else known[0]
-        if new["digest"] == known:
-            return
-        if new["digest"] is None:
-            self._last.clear()
-            kind = DELETE
-        else:
-            self._last.update((new["digest"],))
-            kind = INSERT if known is None else CHANGE
-        yield Row(key=key[0], value=new["value"], at=new["at"], kind=kind)
+        self._last = Bucket(handle, "digest")  # key: digest
+
+    def handleInputRows(self, key, rows: Iterator[Mapping], timerValues) -> Iterator[Row]:
+        newest = {}
+        for row in rows:
+            # Deletes have no digest; they win among rows of the same order, as a larger digest does.
+            order = rank(row["at"]), row["digest"] is None, row["digest"] or 0
+            if row["key"] not in newest or newest[row["key"]][0] < order:
+                newest[row["key"]] = order, row
+        last, changed = self._last.get(), False
+        for name, (_, new) in newest.items():
+            known = last.get(name)
+            if new["digest"] == known:
+                continue
+            if new["digest"] is None:
+                del last[name]
+                kind = DELETE
+            else:
+                last[name] = new["digest"]
+                kind = INSERT if known is None else CHANGE
+            changed = True
+            yield _CHANGE_ROW(name, new["value"], new["at"], kind)
+        if changed:
+            self._last.update(last)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self._last.update((initialState["digest"],))
+        self._last.update({s["key"]: s["digest"] for s in initialState["sent"]})
 
     def close(self) -> None:
         pass
@@ -59,11 +78,17 @@ def only_changes(upserts: DataFrame, order: str, sent: DataFrame | None = None)
     rows = upserts.select(
         "key", "value", F.col(order).cast("long").alias("at"), F.when(F.col("value").isNotNull(), F.xxhash64("value")).alias("digest")
     )
-    return rows.groupBy("key").transformWithState(
-        statefulProcessor=_Digest(), outputStructType="key string, value string, at long, kind string",
-        outputMode="Append", timeMode="None",
-        initialState=None if sent is None else sent.select("key", "digest").groupBy("key"),
+    changes = packed(rows.withColumn("bucket", bucket_of("key"))).groupBy("bucket").transformWithState(
+        statefulProcessor=Packed(_Digest()), outputStructType=Packed.OUTPUT, outputMode="Append", timeMode="None",
+        initialState=None if sent is None else _by_bucket(sent),
     )
+    return unpacked(changes, _CHANGE)
+
+
+def _by_bucket(sent: DataFrame) -> GroupedData:
+    """A row of each bucket with what has been sent for its keys."""
+    keys = F.collect_list(F.struct(*_SENT.names)).alias("sent")
+    return sent.select(bucket_of("key").alias("bucket"), *_SENT.names).groupBy("bucket").agg(keys).groupBy("bucket")
 
 
 def sent_digests(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
@@ -73,7 +98,14 @@ def sent_digests(spark: SparkSession, checkpoint: str, operator: int = 0) -> Dat
     sends on from there. ``operator`` is the number of the stateful operator in the old job's plan.
     """
     state = spark.read.format("statestore").option("operatorId", operator).option("stateVarName", "digest")
-    return state.load(checkpoint).select("key.key", F.col("value.digest").alias("digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch["data"]:
+                keys = keys_of(data.as_py())
+                yield pa.record_batch([pa.array(keys, pa.string()), pa.array(keys.values(), pa.int64())], _SENT.names)
+
+    return state.load(checkpoint).select("value.data").mapInArrow(run, _SENT)
 
 
 class _Life(StatefulProcessor):

@@ -7,7 +7,7 @@ counts over each trip's newest update alone, without looking at any other trip.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,20 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetboard.functions.timefn import DEFAULT_ZONE, rowtime
 from fleetboard.operators.boards import calls_of, entries_of_calls
+from fleetboard.operators.joins import join_same
 from fleetboard.operators.paging import PAGE_SECONDS
-from fleetboard.streaming.state import Bucket, bucket_of, newest_in_batches, rank
+from fleetboard.streaming.state import Bucket, Packed, bucket_of, packed, rank, unpacked
 
 _CALLS = "array<struct<stopId: string, arrivalSec: bigint, delay: string>>"
+_COUNTED = T.StructType(
+    [
+        T.StructField("tripId", T.StringType()),
+        T.StructField("feedSec", T.LongType()),
+        T.StructField("weight", T.IntegerType()),
+        T.StructField("calls", T.StringType()),
+    ]
+)
+_COUNTED_ROW = Row(*_COUNTED.names)
 
 
 class _Supersede(StatefulProcessor):
@@ -32,7 +42,7 @@ class _Supersede(StatefulProcessor):
         self._handle = handle
         self._counted = Bucket(handle, "counted")  # tripId: (feedSec, seq, calls)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[Mapping], timerValues) -> Iterator[Row]:
         newest = {}
         for r in rows:
             order = rank(r["feedSec"], r["seq"]), r["calls"] or ""
@@ -44,11 +54,11 @@ class _Supersede(StatefulProcessor):
             if old is not None and rank(*old[:2]) >= order[0]:
                 continue
             if old is not None:
-                yield Row(tripId=trip, feedSec=old[0], weight=-1, calls=old[2])
+                yield _COUNTED_ROW(trip, old[0], -1, old[2])
             counted[trip] = new
             if self._horizon_ms is not None and new[0] is not None:
                 ends.add(new[0] * 1000 + self._horizon_ms)
-            yield Row(tripId=trip, feedSec=new[0], weight=1, calls=new[2])
+            yield _COUNTED_ROW(trip, new[0], 1, new[2])
         for end in ends:
             self._handle.registerTimer(end)
         self._counted.update(counted)
@@ -59,7 +69,7 @@ class _Supersede(StatefulProcessor):
         over = [t for t, old in counted.items() if old[0] is not None and old[0] * 1000 + self._horizon_ms <= end]
         for trip in over:
             old = counted.pop(trip)
-            yield Row(tripId=trip, feedSec=old[0], weight=-1, calls=old[2])
+            yield _COUNTED_ROW(trip, old[0], -1, old[2])
         if over:
             self._counted.update(counted)
 
@@ -83,14 +93,19 @@ def call_deltas(
         F.col("id").alias("tripId"), u["timestamp"].alias("feedSec"), F.col("seq").cast("long").alias("seq"),
         F.to_json(calls_of(u, add_delay=add_delay, use_arrival=use_arrival)).alias("calls"),
     )
-    calls = newest_in_batches(calls, "tripId", ["feedSec", "seq", "calls"])
-    if horizon_s is not None:
-        calls = calls.withColumn("rowtime", rowtime(F.col("feedSec"))).withWatermark("rowtime", f"{late_s} seconds")
-    counted = calls.withColumn("bucket", bucket_of("tripId")).groupBy("bucket").transformWithState(
-        statefulProcessor=_Supersede(None if horizon_s is None else horizon_s * 1000),
-        outputStructType="tripId string, feedSec long, weight int, calls string",
+    calls = calls.withColumn("bucket", bucket_of("tripId"))
+    newest = "tripId", ["feedSec", "seq", "calls"]
+    if horizon_s is None:
+        calls = packed(calls, newest=newest)
+    else:
+        # Rows behind the watermark are dropped one by one, so those of a second go together.
+        calls = packed(calls.withColumn("at", F.col("feedSec")), ["bucket", "at"], newest)
+        calls = calls.withColumn("rowtime", rowtime(F.col("at"))).withWatermark("rowtime", f"{late_s} seconds")
+    sent = calls.groupBy("bucket").transformWithState(
+        statefulProcessor=Packed(_Supersede(None if horizon_s is None else horizon_s * 1000)), outputStructType=Packed.OUTPUT,
         outputMode="Append", timeMode="None" if horizon_s is None else "EventTime",
     )
+    counted = unpacked(sent, _COUNTED)
     lists = counted.withColumn("calls", F.from_json("calls", T.DataType.fromDDL(_CALLS)))
     return entries_of_calls(lists, trip_lookup, zone=zone, page_s=page_s, also=["weight"])
 
@@ -118,6 +133,17 @@ def read_weights(
     return rows.groupBy(*entry).agg(F.sum("weight").alias("n")).where("n > 0")
 
 
+def weights_around(spark: SparkSession, path: str, schema: T.StructType, batch_id: int, stops: DataFrame) -> DataFrame:
+    """The entries of ``stops`` (stopId) with how often each counts after a batch (``n``) and ``before`` it."""
+    rows = _weights(spark, path, schema, None).where(F.col("batch") <= batch_id)
+    entry = [c for c in schema.names if c != "weight"]
+    counted = join_same(rows, stops, ["stopId"], "left_semi").groupBy(*entry).agg(
+        F.sum("weight").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("batch") < batch_id, F.col("weight"))), F.lit(0)).alias("before"),
+    )
+    return counted.where("n > 0 OR before > 0")
+
+
 def fold_deltas(spark: SparkSession, path: str, schema: T.StructType, base: str, last_batch: int, before: str | None = None) -> None:
     """Sum up the weights of batches up to ``last_batch`` in the new folder ``base``.
 

@@ -19,9 +19,9 @@ from fleetboard.functions.transit import SENTINEL
 from fleetboard.operators import boards as B
 from fleetboard.operators.joins import join_same, join_stops, join_trips
 from fleetboard.operators.paging import PAGE_SECONDS
-from fleetboard.sinks.upsert import stop_upserts
+from fleetboard.sinks.upsert import stop_key, stop_upserts
 from fleetboard.streaming.changes import only_changes
-from fleetboard.streaming.deltas import add_deltas, call_deltas, read_weights
+from fleetboard.streaming.deltas import add_deltas, call_deltas, weights_around
 from fleetboard.streaming.state import join_trip_stream
 
 Sink = Callable[[DataFrame, int], None]
@@ -76,29 +76,46 @@ class StopBoard:
     as_of: int | None = None
 
     def __call__(self, deltas: DataFrame, batch_id: int) -> None:
-        spark = deltas.sparkSession
+        spark, weights = deltas.sparkSession, f"{self.state_dir}/weights"
         deltas = deltas.persist()  # for the weights and the stops
         try:
             if batch_id == 0:
                 # Without any batch before it the table is there, too.
-                add_deltas(deltas.limit(0), f"{self.state_dir}/weights", -1)
-            add_deltas(deltas, f"{self.state_dir}/weights", batch_id)
-            rows = read_weights(spark, f"{self.state_dir}/weights", deltas.schema, until=batch_id)
-            before = read_weights(spark, f"{self.state_dir}/weights", deltas.schema, until=batch_id - 1)
-            touched = deltas.select("stopId").distinct()
-            now = self._board(join_same(rows, touched, ["stopId"], "left_semi"))
-            upserts = stop_upserts(now).persist()
-            had = stop_upserts(self._board(join_same(before, touched, ["stopId"], "left_semi"))).select("key")
+                add_deltas(deltas.limit(0), weights, -1)
+            add_deltas(deltas, weights, batch_id)
+            stops = f"{self.state_dir}/touched/{batch_id % 2}"
+            deltas.select("stopId").distinct().write.mode("overwrite").parquet(stops)
+        finally:
+            deltas.unpersist()
+        touched = spark.read.schema("stopId string").parquet(stops)
+        shown = self._shown(weights_around(spark, weights, deltas.schema, batch_id, touched)).persist()
+        try:
+            upserts = stop_upserts(B.board_of_counted(shown.where("n > 0 AND here"), self.stop_lookup)).persist()
+            had = shown.where("before > 0 AND was").select(stop_key().alias("key")).distinct()
             gone = had.join(upserts.select("key"), "key", "left_anti").withColumn("value", F.lit(None).cast("string"))
             self.sink(upserts.unionByName(gone), batch_id)
             upserts.unpersist()
         finally:
-            deltas.unpersist()
+            shown.unpersist()
+
+    def _shown(self, counted: DataFrame) -> DataFrame:
+        """Entries of each stop's newest feed time, now (``here``) or before the batch (``was``).
 
-    def _board(self, counted: DataFrame) -> DataFrame:
+        Both are found at once, and only these few entries go on to become pages.
+        """
         if self.horizon_s is not None:
             counted = counted.where(F.col("updateSec") > epoch_of(self.as_of) - self.horizon_s)
-        return B.latest_of_counted(counted, self.stop_lookup)
+        group = F.struct("updateSec", "updateTime")
+        newest = counted.groupBy("stopId").agg(
+            F.max(F.when(F.col("n") > 0, group))["updateTime"].alias("_now"),
+            F.max(F.when(F.col("before") > 0, group))["updateTime"].alias("_before"),
+        )
+        times = newest.withColumn("updateTime", F.explode(F.array_distinct(F.array("_now", "_before"))))
+        times = times.select(
+            "stopId", "updateTime", F.col("updateTime").eqNullSafe(F.col("_now")).alias("here"),
+            F.col("updateTime").eqNullSafe(F.col("_before")).alias("was"),
+        )
+        return join_same(counted, times, ["stopId", "updateTime"], "inner")
 
 
 def run_maintained(
