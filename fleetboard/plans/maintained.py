@@ -9,7 +9,7 @@ from fleetboard import operators as O
 from fleetboard import schemas as S
 from fleetboard.operators import boards as B
 from fleetboard.plans import feeds as V
-from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW, _doubles, query
+from fleetboard.plans.queries import POS_HORIZON, POS_NOW, TRIP_HORIZON, TRIP_NOW, _doubles, query, stateful
 from fleetboard.sinks import (
     RunTable, append_changes, read_board, read_changes, read_committed, with_counts, write_archive, write_committed,
 )
@@ -38,18 +38,6 @@ BEFORE_S, AFTER_S = 6 * 3600, 3600
 BUCKETS = 8
 
 
-def stateful(spark: SparkSession) -> SparkSession:
-    """A session of its own with the state store that keyed states need."""
-    own = spark.newSession()
-    own.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        own.conf.set(name, spark.conf.get(name))
-    return own
-
-
 def day_poll(ts: str = "ts") -> Column:
     return ((F.dayofmonth(ts) - 1) / POLL_DAYS).cast("int")
 

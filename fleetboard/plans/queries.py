@@ -52,6 +52,18 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def stateful(spark: SparkSession) -> SparkSession:
+    """A session of its own with the state store that keyed states need."""
+    own = spark.newSession()
+    own.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(name, spark.conf.get(name))
+    return own
+
+
 def _positions(spark: SparkSession, d: str, newer_than: int | None = None) -> DataFrame:
     events = V.table(spark, d, "events")
     if newer_than is not None:
@@ -609,12 +621,15 @@ def stream_stop_counts(spark: SparkSession, d: str) -> DataFrame:
 
     The watermark trails the newest feed time by the horizon: a state row goes
     when its feed time is no longer fresh, which is when its entries are no
-    longer accepted either.
+    longer accepted either. The state lies on disk: in memory, which is the
+    default, a row for each of very many entries leaves no room for the work.
     """
-    root = shared_folder(spark, "counts")
-    updates = V.trip_updates(V.table_stream(spark, d, "lineitem"))
+    root, own = shared_folder(spark, "counts"), stateful(spark)
+    # Counting the store's rows would look up each one before it is written.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+    updates = V.trip_updates(V.table_stream(own, d, "lineitem"))
     entries = O.stop_entries(
-        updates, V.trip_lookup(spark, d), as_of=TRIP_NOW, horizon_s=TRIP_HORIZON, dedupe=False
+        updates, V.trip_lookup(own, d), as_of=TRIP_NOW, horizon_s=TRIP_HORIZON, dedupe=False
     )
     entries = with_rowtime(entries, "updateSec", f"{TRIP_HORIZON} seconds")
     counted = O.count_copies(entries, ["stopId", "updateTime", "rowtime"])

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -76,3 +78,20 @@ def test_more_updates_make_more_tasks_of_a_stop_board(spark, workdir, monkeypatc
     # Trips whose number 7 divides are unknown; ``id + 3`` is the number of a trip's calls, up to 22.
     assert {int(r.id) for r in board.collect()} <= {i for i in range(1, 41) if i % 7} and board.count() > 40
     assert board.rdd.getNumPartitions() == 7
+
+
+def test_stop_counts_keep_their_state_on_disk(spark, workdir, monkeypatch):
+    rows = spark.range(1, 15)
+    rows.selectExpr(
+        "id as l_orderkey", "id + 3 as l_partkey", "id % 5 as l_suppkey", "1 as l_linenumber", "1d as l_quantity",
+        "2d as l_extendedprice", "'N' as l_returnflag", "timestamp_ntz'2001-10-01 00:00:00' as l_shipdate",
+    ).coalesce(1).write.parquet(f"{workdir}/lineitem.parquet")
+    rows.selectExpr("id as o_orderkey", "id % 3 as o_custkey", "'1-URGENT' as o_orderpriority").write.parquet(f"{workdir}/orders.parquet")
+    spark.range(3).selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment").write.parquet(f"{workdir}/customer.parquet")
+    monkeypatch.setattr(plans, "shared_folder", lambda session, purpose: f"{workdir}/{purpose}")
+    own = spark.newSession()
+    memory = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"  # the default
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", memory)
+    assert plans.stream_stop_counts(own, workdir).count() > 20
+    kept = {f.suffix for f in Path(f"{workdir}/counts/checkpoint/state").rglob("*") if not f.name.startswith(".")}
+    assert ".zip" in kept and ".delta" not in kept
