@@ -10,7 +10,7 @@ from fleetboard import schemas as S
 from fleetboard.plans.maintained import stateful
 from fleetboard.sinks import append_changes, read_board, read_changes
 from fleetboard.sources import land_polls, parse_trip_update, read_polls, run_to_end
-from fleetboard.streaming import StopBoard, call_deltas
+from fleetboard.streaming import StopBoard, call_deltas, join_trip_stream
 from fleetboard.streaming.changes import _Digest
 from fleetboard.streaming.state import _EVENT, GONE, HERE, LEFT, Packed, _Place, bucket_of, packed, unpacked
 
@@ -135,3 +135,20 @@ def test_digests_of_a_bucket_are_read_and_written_at_once():
     assert store.asked == 2
     assert send([row("k1", "a"), row("k2", None), row("k3", "b", 1), row("k3", "a", 2), row("new", None), row(None, "m")]) == [("k2", "delete"), (None, "change")]
     assert send([row("k1", "a")]) == [] and store.asked == 5
+
+
+def test_late_vehicles_are_dropped_one_by_one(spark, workdir):
+    own = stateful(spark)
+    schema = "poll int, id string, tripId string, startDate string, latitude float, longitude float, updateSec long, seq long"
+    row = lambda poll, vehicle, at: (poll, vehicle, "T1", None, 1.0, 2.0, at, poll)
+    rows = [row(0, "a", 1000), row(1, "b", 1010), row(2, "late", 500), row(2, "c", 980), row(2, "d", 1020), row(2, None, 1020), row(2, "e", None)]
+    land_polls(spark.createDataFrame(rows, schema).coalesce(1), f"{workdir}/v")
+    vehicles = read_polls(own, f"{workdir}/v", schema).drop("poll")
+    schema = "poll int, tripId string, feedSec long, seq long, startTime string, next struct<stopSequence: string, stopId: string, approachSec: bigint, delay: string>"
+    land_polls(spark.createDataFrame([(p, "T1", p, p, f"at {p}", Row("1", "s", 3, None)) for p in range(3)], schema), f"{workdir}/t")
+    trips = read_polls(own, f"{workdir}/t", schema).drop("poll")
+    seen = []
+    stream = join_trip_stream(vehicles, trips, salts=1, vehicle_ttl_s=10_000, late_s=50).writeStream.outputMode("append")
+    run_to_end(stream.foreachBatch(lambda b, n: seen.extend((n, r.id, r.startTime) for r in b.collect())).option("checkpointLocation", f"{workdir}/ck"))
+    last = {i: (n, text) for n, i, text in sorted(seen, key=lambda x: x[0]) if n < 3}
+    assert last == {"a": (2, "at 2"), "b": (2, "at 2"), "c": (2, "at 2"), "d": (2, "at 2"), None: (2, "at 2"), "e": (2, "at 2")}
